@@ -6,6 +6,9 @@ import argparse
 import json
 from functools import partial
 
+from pyspark.sql import SparkSession
+
+from tallyloom.functions.staging import clear_stages
 from tallyloom.plans.runs import preprocess_minimal, preprocess_modular, run_basic, run_full
 from tallyloom.schema import MINIMAL_EXPORT_COLUMNS
 from tallyloom.session import create_session
@@ -27,6 +30,13 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = create_session()
+    try:
+        _run(spark, args)
+    finally:
+        clear_stages(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     inferred = args.run.startswith("preprocess")
     raw = read_transactions_csv(spark, args.input, infer_schema=inferred, multi_line=args.multi_line)
     if args.run == "preprocess":

@@ -35,3 +35,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete every table this application staged; call it once no result reads them any more."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.columns import total_amount
-from tallyloom.functions.joins import lookup_join
+from tallyloom.functions.joins import bounded_lookup, lookup_join
 from tallyloom.schema import DEFAULT_COUNTRIES
 
 # Countries of each region; every other country belongs to OTHER_REGION.
@@ -85,6 +85,9 @@ def filter_domain(
     per_country = df.groupBy("Country").agg(
         F.to_date(F.min("InvoiceTS")).alias("first"), F.to_date(F.max("InvoiceTS")).alias("last")
     )
+    # read three times below, so it is evaluated once if it is as small as countries should be
+    small = bounded_lookup(per_country)
+    per_country = per_country if small is None else small
     wanted = F.col("Country").isin(list(defaults))
     overall = per_country.agg(
         F.struct(

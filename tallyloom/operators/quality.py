@@ -74,16 +74,19 @@ def numeric_summary(
 
     ``df`` is read several times; hand in a stored table.
     """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "v"
-    )
-    moments = long.groupBy("column_name").agg(
-        F.count("v").alias("count"),
-        F.round(F.avg("v"), 2).alias("mean"),
-        F.round(F.stddev_samp("v"), 2).alias("std"),
-        F.round(F.min("v"), 2).alias("min"),
-        F.round(F.max("v"), 2).alias("max"),
-    )
+
+    def moments_of(c: str) -> Column:
+        v = F.col(c).cast("double")
+        return F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(v).alias("count"),
+            F.round(F.avg(v), 2).alias("mean"),
+            F.round(F.stddev_samp(v), 2).alias("std"),
+            F.round(F.min(v), 2).alias("min"),
+            F.round(F.max(v), 2).alias("max"),
+        )
+
+    moments = df.agg(F.array(*[moments_of(c) for c in columns]).alias("m")).select(F.inline("m"))
     quartiles = percentiles(df, columns, [0.25, 0.5, 0.75], approx=approx).select(
         "column_name", *[F.round(q, 2).alias(q) for q in ("p25", "p50", "p75")]
     )
@@ -115,20 +118,27 @@ def quality_counts(raw: DataFrame) -> DataFrame:
 
 
 def quality_examples(raw: DataFrame, per_category: int = 3) -> DataFrame:
-    """Up to ``per_category`` lines per tag, the first ones by all columns.
+    """Up to ``per_category`` lines per tag, the first ones by all columns, NULLs first.
 
-    Each task keeps only its own first lines per tag before the shuffle (window group limit).
+    The wanted lines belong to the first ``per_category`` distinct invoice numbers of their tag. Those
+    few numbers are found first and select the candidates, so that only candidates are sorted as rows.
     """
     tags = quality_tags()
     labels = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in tags.items()]))
     columns = [c for c in RAW_COLUMNS if c in raw.columns]
-    order = Window.partitionBy("category").orderBy(*columns)
-    return (
-        raw.select(F.explode(labels).alias("category"), *columns)
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= per_category)
-        .select("category", "rank", *columns)
+    tagged = raw.select(F.explode(labels).alias("category"), *columns)
+
+    def first_rows(df: DataFrame, *order: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("category").orderBy(*order))
+        return df.withColumn("rank", rank).filter(F.col("rank") <= per_category)
+
+    leading = first_rows(tagged.select("category", "InvoiceNo").distinct(), "InvoiceNo").select(
+        F.col("category").alias("tag"), F.col("InvoiceNo").alias("number")
     )
+    # at most per_category rows per tag
+    wanted = (F.col("category") == F.col("tag")) & F.col("InvoiceNo").eqNullSafe(F.col("number"))
+    candidates = tagged.join(F.broadcast(leading), wanted, "left_semi")
+    return first_rows(candidates, *columns).select("category", "rank", *columns)
 
 
 def stage_counts(raw: DataFrame, cleaned: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Registered queries: every operator over the transaction lines derived from a star schema folder.
 
 Results that a sum of doubles can disturb in the last digit are rounded: money to 2, ratios to 6 places.
-Frames that a query reads three times or more are stored first.
+Joined frames that a query reads more than once are stored first, with the columns it needs.
 """
 
 from __future__ import annotations
@@ -53,8 +53,10 @@ def dashboard(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_dashboard(raw(spark, sf), on_bad_date="null")
 
 
-def stored_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return stage(sales(spark, sf), "sales")
+def stored_sales(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """Stored sales with the columns of customer profiles and ``more``."""
+    columns = ["CustomerID", "InvoiceNo", "InvoiceTS", "Quantity", "TotalAmount", *more]
+    return stage(sales(spark, sf).select(*columns), "sales")
 
 
 def segments_of(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def segments_of(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
 
 
 def segment_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return stage(segments_of(spark, sf, sales(spark, sf)), "segments")
+    return stage(segments_of(spark, sf, stored_sales(spark, sf)), "segments")
 
 
 def insight_of(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
@@ -74,7 +76,7 @@ def insight(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf: str) -> DataFrame:
-    encoded = features.encode_by_frequency(stored_sales(spark, sf), "Country", "Country_Encoded")
+    encoded = features.encode_by_frequency(stored_sales(spark, sf, "Country"), "Country", "Country_Encoded")
     return customers.compute_rfm(encoded, extra_features=["Country_Encoded"])
 
 
@@ -220,7 +222,7 @@ def kpi_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rfm(spark: SparkSession, sf: str) -> DataFrame:
-    return _r(customers.compute_rfm(sales(spark, sf)), 2, "Monetary")
+    return _r(customers.compute_rfm(stored_sales(spark, sf)), 2, "Monetary")
 
 
 def rfm_fixed_date(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,6 +233,10 @@ def rfm_encoded(spark: SparkSession, sf: str) -> DataFrame:
     return _r(profiles(spark, sf), 2, "Monetary")
 
 
+def cohort_assign(spark: SparkSession, sf: str) -> DataFrame:
+    return cohorts.cohort_assign(stage(sales(spark, sf), "sales"))
+
+
 def cancellations_by_segment(spark: SparkSession, sf: str) -> DataFrame:
     return segments.cancellations_by_segment(raw(spark, sf), segment_frame(spark, sf))
 
@@ -244,12 +250,12 @@ def churn_risk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vip_top_products(spark: SparkSession, sf: str) -> DataFrame:
-    lines = stored_sales(spark, sf)
+    lines = stored_sales(spark, sf, "Description")
     return insights.vip_top_products(lines, insight_of(spark, sf, lines))
 
 
 def vip_share_by_country(spark: SparkSession, sf: str) -> DataFrame:
-    lines = stored_sales(spark, sf)
+    lines = stored_sales(spark, sf, "StockCode", "Country")
     return insights.vip_share_by_country(lines, insight_of(spark, sf, lines))
 
 
@@ -290,7 +296,7 @@ def rfm_kmeans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _best_of_ten(spark: SparkSession, sf: str) -> clustering.ClusterRun:
-    return clustering.kmeans_rfm3(customers.compute_rfm(sales(spark, sf)), k=4)
+    return clustering.kmeans_rfm3(customers.compute_rfm(stored_sales(spark, sf)), k=4)
 
 
 def kmeans_rfm3(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,7 +407,7 @@ def queries() -> dict[str, Query]:
         "repeat_purchase": _on(insight, customers.repeat_purchase),
         "loyalty_effect": _on(insight, customers.loyalty_effect),
         "loyalty_caps": _on(insight, insights.loyalty_caps),
-        "cohort_assign": _on(sales, cohorts.cohort_assign),
+        "cohort_assign": cohort_assign,
         "cohort_counts": _on(sales, cohorts.cohort_counts),
         "cohort_retention": _on(sales, cohorts.cohort_retention),
         "cohort_retention_wide": _on(sales, cohorts.cohort_retention_wide),
