@@ -36,7 +36,7 @@ from tallyloom.sources import segment_store
 def cases(spark: SparkSession, sf: str, work: str) -> dict[str, Callable[[], DataFrame]]:
     def stored(name: str, df: DataFrame) -> DataFrame:
         path = f"{work}/{name}"
-        df.write.parquet(path)
+        df.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         return spark.read.parquet(path)
 
     raw = stored("raw", catalog.raw(spark, sf))

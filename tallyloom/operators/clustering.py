@@ -46,7 +46,7 @@ def rfm_kmeans(
 
 
 def kmeans_rfm3(
-    profiles: DataFrame, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300, parallelism: int = 4
+    profiles: DataFrame, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300, parallelism: int = 5
 ) -> ClusterRun:
     """Best of ``n_init`` runs by cost on the three RFM features, standardised by the population deviation.
 

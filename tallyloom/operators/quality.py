@@ -96,25 +96,27 @@ def numeric_summary(
     )
 
 
-# Checks of one raw line; a line may carry several tags, "normal" means none of them.
-def quality_tags(fmt_length: int = len("yyyy-MM-dd HH:mm:ss")) -> dict[str, Column]:
+QUALITY_TAGS = ["trim", "cancel", "invalid_date", "invalid_values", "null_customer", "normal"]
+
+
+def with_quality_tags(raw: DataFrame, date_length: int = len("yyyy-MM-dd HH:mm:ss")) -> DataFrame:
+    """Add one flag per check; a line may fail several checks, ``normal`` means none of them."""
     date = F.coalesce("InvoiceDate", F.lit(""))
     padded = [F.col(c).startswith(" ") | F.col(c).endswith(" ") for c in TEXT_COLUMNS]
-    any_padded = F.greatest(*[F.coalesce(p, F.lit(False)) for p in padded])
-    tags = {
-        "trim": any_padded,
+    checks = {
+        "trim": F.greatest(*[F.coalesce(p, F.lit(False)) for p in padded]),
         "cancel": _cancelled_line(),
-        "invalid_date": (F.length(date) < fmt_length) | ~date.contains("-") | ~date.contains(":"),
+        "invalid_date": (F.length(date) < date_length) | ~date.contains("-") | ~date.contains(":"),
         "invalid_values": (F.coalesce("Quantity", F.lit(0)) <= 0) | (F.coalesce("UnitPrice", F.lit(0.0)) <= 0),
         "null_customer": F.coalesce("CustomerID", F.lit("")).rlike(r"^\s*$"),
     }
-    return {**tags, "normal": ~F.greatest(*tags.values())}
+    return raw.withColumns(checks).withColumn("normal", ~F.greatest(*checks))
 
 
 def quality_counts(raw: DataFrame) -> DataFrame:
-    tags = quality_tags()
-    counts = raw.agg(*[F.count_if(flag).alias(name) for name, flag in tags.items()])
-    return counts.unpivot([], list(tags), "category", "rows")
+    flagged = with_quality_tags(raw)
+    counts = flagged.agg(*[F.count_if(F.col(tag)).alias(tag) for tag in QUALITY_TAGS])
+    return counts.unpivot([], QUALITY_TAGS, "category", "rows")
 
 
 def quality_examples(raw: DataFrame, per_category: int = 3) -> DataFrame:
@@ -123,10 +125,9 @@ def quality_examples(raw: DataFrame, per_category: int = 3) -> DataFrame:
     The wanted lines belong to the first ``per_category`` distinct invoice numbers of their tag. Those
     few numbers are found first and select the candidates, so that only candidates are sorted as rows.
     """
-    tags = quality_tags()
-    labels = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in tags.items()]))
     columns = [c for c in RAW_COLUMNS if c in raw.columns]
-    tagged = raw.select(F.explode(labels).alias("category"), *columns)
+    flagged = with_quality_tags(raw).unpivot(columns, QUALITY_TAGS, "category", "tagged")
+    tagged = flagged.filter("tagged").drop("tagged")
 
     def first_rows(df: DataFrame, *order: str) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy("category").orderBy(*order))
