@@ -1,0 +1,54 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.functions.quantiles import percentile_name, percentiles
+
+PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+NAMES = [percentile_name(p) for p in PROBS]
+
+
+def _frame(spark, arrays):
+    rows = [(g, float(v)) for g, values in arrays.items() for v in values]
+    return spark.createDataFrame(rows, "g string, x double").repartition(5)
+
+
+@pytest.mark.parametrize("accuracy", [1, 5, 10_000])
+@pytest.mark.parametrize("shape", ["spread", "duplicates", "heavy_tail", "few"])
+def test_exact_whatever_the_sketch(spark, shape, accuracy):
+    random = np.random.default_rng(3)
+    values = {
+        "spread": random.normal(size=1501),
+        "duplicates": random.integers(0, 4, size=900).astype(float),
+        "heavy_tail": np.exp(random.normal(size=800) * 5),
+        "few": np.array([3.0, 1.0]),
+    }[shape]
+    row = percentiles(_frame(spark, {"a": values}), ["x"], PROBS, accuracy=accuracy).first()
+    assert [row[n] for n in NAMES] == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
+
+
+def test_groups_and_nulls(spark):
+    random = np.random.default_rng(4)
+    arrays = {name: random.gamma(1.0, size=n) for name, n in [("a", 700), ("b", 3), ("c", 1)]}
+    df = _frame(spark, arrays).union(spark.sql("select 'a', cast(null as double) union all select null, 1.0D"))
+    got = {r["g"]: r for r in percentiles(df, ["x"], PROBS, by=["g"]).collect()}
+    assert set(got) == set(arrays)
+    for name, values in arrays.items():
+        assert [got[name][n] for n in NAMES] == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
+
+
+def test_unbounded_groups_fall_back_to_plain_joins(spark, monkeypatch):
+    from tallyloom.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "bounded_lookup", lambda df: None)
+    df = spark.range(300).select((F.col("id") % 3).cast("string").alias("g"), F.col("id").cast("double").alias("x"))
+    got = {r["g"]: r["p50"] for r in percentiles(df, ["x"], [0.5], by=["g"]).collect()}
+    assert got == {"0": 148.5, "1": 149.5, "2": 150.5}
+
+
+def test_several_columns_empty_input_and_approx(spark):
+    df = spark.range(101).select(F.col("id").alias("a"), (F.col("id") * 2).alias("b"))
+    got = {r["column_name"]: r["p50"] for r in percentiles(df, ["a", "b"], [0.5]).collect()}
+    assert got == {"a": 50.0, "b": 100.0}
+    assert percentiles(df.limit(0), ["a"], [0.5]).count() == 0
+    assert percentiles(df, ["a"], [0.5], approx=True).first()["p50"] == 50.0
