@@ -53,6 +53,16 @@ def dashboard(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_dashboard(raw(spark, sf), on_bad_date="null")
 
 
+def event_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as sales lines of one unit; a user's events form one invoice that spans many days."""
+    return star.table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("InvoiceNo"),
+        F.lit(1).alias("Quantity"),
+        F.col("ts").cast("timestamp").alias("InvoiceTS"),
+        F.col("value").alias("TotalAmount"),
+    )
+
+
 def stored_sales(spark: SparkSession, sf: str, *more: str) -> DataFrame:
     """Stored sales with the columns of customer profiles and ``more``."""
     columns = ["CustomerID", "InvoiceNo", "InvoiceTS", "Quantity", "TotalAmount", *more]
@@ -323,19 +333,26 @@ def calinski_harabasz(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.calinski_harabasz(segment_frame(spark, sf), cluster="Cluster")
 
 
+def _run_summary(result: runs.RunResult, k: int) -> DataFrame:
+    """Stored profiles of a whole run, and whether each one carries a label of one of the k clusters."""
+    label_fits = F.col("Cluster").between(0, k - 1) & (F.col("Segment") == clustering.segment_name("Cluster"))
+    stored = readers.flatten_segments(result.segments).withColumn("is_labelled", label_fits)
+    return _r(stored.drop("Cluster", "Segment"), 2, "Monetary")
+
+
 def end_to_end_full(spark: SparkSession, sf: str) -> DataFrame:
     result = runs.run_full(
         raw(spark, sf),
+        k=5,
         export_path=stage_path(spark, "export"),
         store_path=stage_path(spark, "store"),
         regions=star.region_table(spark, sf),
     )
-    return readers.flatten_segments(result.segments)
+    return _run_summary(result, 5)
 
 
 def end_to_end_basic(spark: SparkSession, sf: str) -> DataFrame:
-    result = runs.run_basic(raw(spark, sf), store_path=stage_path(spark, "store"))
-    return readers.flatten_segments(result.segments)
+    return _run_summary(runs.run_basic(raw(spark, sf), k=4, store_path=stage_path(spark, "store")), 4)
 
 
 # --- registry ---
@@ -397,6 +414,12 @@ def queries() -> dict[str, Query]:
         "kpi_sales": kpi_sales,
         "dow_basket": _on(sales, trends.dow_basket),
         "hourly_basket": _on(sales, trends.hourly_basket),
+        "events_hourly": _on(event_sales, trends.hourly_sales),
+        "events_daily_ma7": _on(event_sales, trends.daily_transactions_ma),
+        "events_dow_basket": _on(event_sales, trends.dow_basket),
+        "events_kpi": _on(event_sales, trends.kpi_sales),
+        "filtered_monthly_revenue": _on(filter_date_country, trends.monthly_revenue),
+        "filtered_cohort_counts": _on(filter_date_country, cohorts.cohort_counts),
         "price_quantity_bins": _on(sales, trends.price_quantity_bins),
         "rfm": rfm,
         "rfm_fixed_date": rfm_fixed_date,

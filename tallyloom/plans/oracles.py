@@ -63,6 +63,22 @@ def _segments(rfm: str) -> str:
         FROM {rfm} JOIN customer ON CustomerID = CAST(c_custkey AS VARCHAR) || '.0'"""
 
 
+def _cohort(source: str) -> str:
+    return f"""
+        SELECT s.*, strftime(first_ts, '%Y-%m') AS CohortMonth,
+               CAST((year(InvoiceTS) - year(first_ts)) * 12 + month(InvoiceTS) - month(first_ts) + 1 AS INTEGER)
+                   AS CohortIndex
+        FROM {source} s
+        JOIN (SELECT CustomerID, min(InvoiceTS) AS first_ts FROM {source} GROUP BY CustomerID) f
+        ON s.CustomerID = f.CustomerID"""
+
+
+def _cells(source: str) -> str:
+    return f"""
+        SELECT CohortMonth, CohortIndex, CAST(count(DISTINCT CustomerID) AS BIGINT) AS Customers
+        FROM ({_cohort(source)}) GROUP BY ALL"""
+
+
 _CTES = {
     "raw": _raw(),
     "clean": _trimmed("upper(trim(Country))", "Description IS NOT NULL AND CustomerID IS NOT NULL"),
@@ -77,6 +93,14 @@ _CTES = {
                CAST(hour(InvoiceTS) AS INTEGER) AS Hour
         FROM (SELECT *, try_strptime(InvoiceDate, '{_TS}') AS InvoiceTS FROM raw
               WHERE CustomerID IS NOT NULL AND Quantity > 0)""",
+    "picked": f"""
+        SELECT * FROM dash WHERE CAST(InvoiceTS AS DATE) BETWEEN DATE '{catalog.FILTER_START}'
+        AND DATE '{catalog.FILTER_END}' AND Country IN ({", ".join(f"'{c}'" for c in catalog.FILTER_COUNTRIES)})""",
+    "event_sales": """
+        SELECT CAST(user_id AS VARCHAR) AS InvoiceNo, 1 AS Quantity, ts AS InvoiceTS, "value" AS TotalAmount
+        FROM events""",
+    "basic": f"SELECT *, Quantity * UnitPrice AS TotalAmount FROM ({_trimmed('trim(Country)', 'true')}) WHERE CustomerID <> ''",
+    "basic_rfm": _rfm("basic"),
     "regions": f"""
         SELECT upper(n_name) AS Country, r_name AS Region FROM nation JOIN region ON n_regionkey = r_regionkey
         WHERE r_name <> '{star.UNMAPPED_REGION}'""",
@@ -96,15 +120,8 @@ _CTES = {
     "new_rfm": _rfm("new_sales"),
     "old_store": _segments("old_rfm"),
     "new_store": _segments("new_rfm"),
-    "first_seen": "SELECT CustomerID, min(InvoiceTS) AS first_ts FROM sales GROUP BY CustomerID",
-    "cohort": """
-        SELECT s.*, strftime(first_ts, '%Y-%m') AS CohortMonth,
-               CAST((year(InvoiceTS) - year(first_ts)) * 12 + month(InvoiceTS) - month(first_ts) + 1 AS INTEGER)
-                   AS CohortIndex
-        FROM sales s JOIN first_seen f ON s.CustomerID = f.CustomerID""",
-    "cells": """
-        SELECT CohortMonth, CohortIndex, CAST(count(DISTINCT CustomerID) AS BIGINT) AS Customers
-        FROM cohort GROUP BY ALL""",
+    "cohort": _cohort("sales"),
+    "cells": _cells("sales"),
     "retention": """
         SELECT CohortMonth, CohortIndex, Customers,
                max(CASE WHEN CohortIndex = 1 THEN Customers END) OVER (PARTITION BY CohortMonth) AS CohortSize,
@@ -260,10 +277,39 @@ def _wide(months: int) -> str:
     return f"SELECT CohortMonth, {cells} FROM retention GROUP BY CohortMonth"
 
 
-def _basket(key: str, name: str, where: str = "true") -> str:
+def _basket(source: str, key: str, name: str, where: str = "true") -> str:
     return f"""SELECT {key} AS {name}, {_REVENUE} AS TotalAmount, {_INVOICES} AS Invoices,
         round(sum(TotalAmount) / count(DISTINCT InvoiceNo), 6) AS AvgBasketSize
-        FROM sales WHERE {where} GROUP BY 1"""
+        FROM {source} WHERE {where} GROUP BY 1"""
+
+
+def _hourly(source: str) -> str:
+    return f"""
+        SELECT lpad(CAST(hour(InvoiceTS) AS VARCHAR), 2, '0') || ':00' AS Hour, {_REVENUE} AS Total_Sales,
+               {_INVOICES} AS Transactions, hour(InvoiceTS) BETWEEN 10 AND 15 AS is_peak
+        FROM {source} GROUP BY hour(InvoiceTS)"""
+
+
+def _moving_average(source: str) -> str:
+    return f"""
+        SELECT d AS Date, t AS Transactions,
+               CASE WHEN count(*) OVER w = 7 THEN round(avg(t) OVER w, 6) END AS MA7
+        FROM (SELECT CAST(InvoiceTS AS DATE) AS d, {_INVOICES} AS t FROM {source} GROUP BY 1)
+        WINDOW w AS (ORDER BY d ROWS 6 PRECEDING)"""
+
+
+def _kpi(source: str) -> str:
+    return f"""
+        SELECT {_REVENUE} AS revenue,
+               CAST((SELECT sum(t) FROM (SELECT count(DISTINCT InvoiceNo) AS t FROM {source}
+                     GROUP BY dayname(InvoiceTS))) AS BIGINT) AS weekday_transactions,
+               {_INVOICES} AS transactions, {_ITEMS} AS items_sold
+        FROM {source}"""
+
+
+def _run_summary(rfm: str) -> str:
+    return f"""SELECT CustomerID, Recency, CAST(Frequency AS INTEGER) AS Frequency,
+        round(Monetary, 2) AS Monetary, true AS is_labelled FROM {rfm}"""
 
 
 _CHURN = """
@@ -311,13 +357,12 @@ def oracle_sql() -> dict[str, str]:
     }
     n = _NORMALIZED.format("CustomerID")
     days = "('Monday', 1), ('Tuesday', 2), ('Wednesday', 3), ('Thursday', 4), ('Friday', 5), ('Sunday', 6)"
-    listed = ", ".join(f"'{c}'" for c in catalog.FILTER_COUNTRIES)
-    basic = _trimmed("trim(Country)", "true")
     names = ", ".join(f"'{c}'" for c in star.REAL_COUNTRIES)
     dow = f"SELECT dayname(InvoiceTS) AS Day, {_REVENUE} AS Total_Sales, {_INVOICES} AS Transactions FROM sales GROUP BY 1"
     bodies = {
         "src_csv_fixed": "SELECT * FROM raw",
         "src_csv_latin1": "SELECT * FROM raw",
+        "src_csv_inferred": "SELECT * REPLACE (CAST(StockCode AS INTEGER) AS StockCode) FROM raw",
         "export_csv_roundtrip": f"{_export('modular')} UNION ALL {_export('minimal')}".replace(
             "FROM minimal", "FROM monolith"
         ),
@@ -327,8 +372,8 @@ def oracle_sql() -> dict[str, str]:
             {_FLAT.replace("FROM segs", "FROM old_store")}
             WHERE CustomerID NOT IN (SELECT CustomerID FROM new_store)""",
         "clean_modular": "SELECT * FROM clean",
-        "clean_basic": f"SELECT * FROM ({basic}) AS b WHERE CustomerID <> ''",
-        "clean_basic_keep_null_customer": f"SELECT * FROM ({basic}) AS b",
+        "clean_basic": "SELECT * EXCLUDE (TotalAmount) FROM basic",
+        "clean_basic_keep_null_customer": _trimmed("trim(Country)", "true"),
         "clean_minimal": "SELECT * FROM minimal",
         "clean_dashboard": "SELECT * FROM dash",
         "cleaning_loss_report": """
@@ -341,9 +386,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT a AS rows_before, b AS rows_after, a - b AS rows_removed
             FROM (SELECT CAST(count(*) AS BIGINT) AS a FROM raw), (SELECT CAST(count(*) AS BIGINT) AS b FROM dash)""",
         "cancellations": "SELECT * FROM raw WHERE starts_with(InvoiceNo, 'C')",
-        "filter_date_country": f"""
-            SELECT * FROM dash WHERE CAST(InvoiceTS AS DATE) BETWEEN DATE '{catalog.FILTER_START}'
-            AND DATE '{catalog.FILTER_END}' AND Country IN ({listed})""",
+        "filter_date_country": "SELECT * FROM picked",
+        "filtered_monthly_revenue": f"SELECT {_MONTH} AS Month, {_REVENUE} AS Total_Sales FROM picked GROUP BY 1",
+        "filtered_cohort_counts": _cells("picked"),
         "filter_domain": _domain("sales", star.DEFAULTS),
         "filter_domain_fallback": _domain("dash", ["United Kingdom", "Germany", "France", "EIRE", "Netherlands"]),
         "region_left_join": "SELECT * FROM mapped",
@@ -395,10 +440,8 @@ def oracle_sql() -> dict[str, str]:
         "dow_sales_ordered": f"""
             SELECT CAST(o AS INTEGER) AS DayOrdinal, d AS Day, Total_Sales, Transactions
             FROM (VALUES {days}) AS v(d, o) LEFT JOIN ({dow}) AS s ON v.d = s.Day""",
-        "hourly_sales": f"""
-            SELECT lpad(CAST(hour(InvoiceTS) AS VARCHAR), 2, '0') || ':00' AS Hour, {_REVENUE} AS Total_Sales,
-                   {_INVOICES} AS Transactions, hour(InvoiceTS) BETWEEN 10 AND 15 AS is_peak
-            FROM sales GROUP BY hour(InvoiceTS)""",
+        "hourly_sales": _hourly("sales"),
+        "events_hourly": _hourly("event_sales"),
         "country_revenue": f"SELECT Country, {_REVENUE} AS Total_Sales FROM sales GROUP BY Country",
         "product_sales": f"""
             SELECT Description AS Product, {_ITEMS} AS Quantity, {_REVENUE} AS Total_Sales FROM sales GROUP BY 1""",
@@ -415,19 +458,15 @@ def oracle_sql() -> dict[str, str]:
         "top_international": f"""
             SELECT Country, {_REVENUE} AS Total_Sales FROM sales WHERE Country <> '{star.HOME}'
             GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
-        "daily_transactions_ma7": f"""
-            SELECT d AS Date, t AS Transactions,
-                   CASE WHEN count(*) OVER w = 7 THEN round(avg(t) OVER w, 6) END AS MA7
-            FROM (SELECT CAST(InvoiceTS AS DATE) AS d, {_INVOICES} AS t FROM sales GROUP BY 1)
-            WINDOW w AS (ORDER BY d ROWS 6 PRECEDING)""",
-        "kpi_sales": f"""
-            SELECT {_REVENUE} AS revenue,
-                   CAST((SELECT sum(t) FROM (SELECT count(DISTINCT InvoiceNo) AS t FROM sales
-                         GROUP BY dayname(InvoiceTS))) AS BIGINT) AS weekday_transactions,
-                   {_INVOICES} AS transactions, {_ITEMS} AS items_sold
-            FROM sales""",
-        "dow_basket": _basket("dayname(InvoiceTS)", "DayOfWeek", "dayname(InvoiceTS) <> 'Saturday'"),
-        "hourly_basket": _basket("CAST(hour(InvoiceTS) AS INTEGER)", "Hour"),
+        "daily_transactions_ma7": _moving_average("sales"),
+        "events_daily_ma7": _moving_average("event_sales"),
+        "kpi_sales": _kpi("sales"),
+        "events_kpi": _kpi("event_sales"),
+        "dow_basket": _basket("sales", "dayname(InvoiceTS)", "DayOfWeek", "dayname(InvoiceTS) <> 'Saturday'"),
+        "events_dow_basket": _basket(
+            "event_sales", "dayname(InvoiceTS)", "DayOfWeek", "dayname(InvoiceTS) <> 'Saturday'"
+        ),
+        "hourly_basket": _basket("sales", "CAST(hour(InvoiceTS) AS INTEGER)", "Hour"),
         "price_quantity_bins": f"""
             SELECT CAST(floor(log10(UnitPrice) * 4) AS INTEGER) AS price_bin,
                    CAST(floor(log10(Quantity) * 4) AS INTEGER) AS qty_bin,
@@ -501,6 +540,8 @@ def oracle_sql() -> dict[str, str]:
         "preprocess_monolith": "SELECT * FROM monolith",
         "davies_bouldin": _DAVIES,
         "calinski_harabasz": _CALINSKI,
+        "end_to_end_full": _run_summary("rfm"),
+        "end_to_end_basic": _run_summary("basic_rfm"),
     }
     sql = {name: _with(body) for name, body in bodies.items()}
     sql["region_case"] = _with(_region_case(), raw=_raw(f"list_extract([{names}], n_nationkey + 1)"))

@@ -10,17 +10,14 @@ from conftest import SMALL
 import __spark_entry__ as entry
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-TABLES = ["region", "nation", "customer", "orders", "lineitem", "part"]
+TABLES = ["region", "nation", "customer", "orders", "lineitem", "part", "events"]
 ROWS_ONLY = {
-    "src_csv_inferred",
     "segments_documents",
     "rfm_kmeans",
     "kmeans_rfm3",
     "kmeans_metrics",
     "cluster_centroids",
     "cluster_sizes",
-    "end_to_end_full",
-    "end_to_end_basic",
 }
 
 
