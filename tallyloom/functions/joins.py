@@ -36,7 +36,7 @@ def skew_join(
     how: str = "inner",
     salts: int = 64,
     heavy_share: int = 500,
-    min_heavy_rows: int = 1_000_000,
+    min_heavy_rows: int = 10_000,
     row_count: str | None = None,
 ) -> DataFrame:
     """Shuffle join of ``rows`` to ``lookup`` in which hot keys of ``rows`` are spread over ``salts`` tasks.
@@ -46,7 +46,7 @@ def skew_join(
     The salt depends on the row and its input partition alone, hence is the same when a task reruns.
     ``how`` is inner, left or left_semi; rows with a NULL key are spread as well. If the lookup was
     aggregated from ``rows`` and holds each key's number of rows, name that column in ``row_count`` to
-    save the counting pass; it is left out of the result.
+    save the counting pass; it is left out of the result. Such a lookup should be a stored table.
     """
     if row_count is None:
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))

@@ -31,7 +31,8 @@ def _trimmed(raw: DataFrame) -> DataFrame:
 
 def _valid_sales(df: DataFrame, fmt: str) -> DataFrame:
     dated = df.withColumn("InvoiceTS", parse_invoice_ts(fmt=fmt))
-    return dated.filter(F.col("InvoiceTS").isNotNull() & ~is_cancelled() & has_positive_value())
+    # cheap conditions first: they spare most rejected lines the parsing
+    return dated.filter(~is_cancelled() & has_positive_value() & F.col("InvoiceTS").isNotNull())
 
 
 def clean_modular(raw: DataFrame, fmt: str = INVOICE_DATE_FORMAT) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.functions.columns import money_mean, months_since, year_month
 from tallyloom.functions.joins import skew_join
+from tallyloom.functions.staging import stage
 
 
 def _known(sales: DataFrame) -> DataFrame:
@@ -19,10 +20,16 @@ def _known(sales: DataFrame) -> DataFrame:
 
 
 def cohort_assign(sales: DataFrame) -> DataFrame:
-    """Every line with its CohortMonth (``yyyy-MM``) and CohortIndex (1 = the first month)."""
+    """Every line with its CohortMonth (``yyyy-MM``) and CohortIndex (1 = the first month).
+
+    The first purchases are stored at once, so the lines are read twice in all.
+    """
     lines = _known(sales)
-    first = lines.groupBy("CustomerID").agg(
-        F.min("InvoiceTS").alias("__first"), F.count(F.lit(1)).alias("__lines")
+    first = stage(
+        lines.groupBy("CustomerID").agg(
+            F.min("InvoiceTS").alias("__first"), F.count(F.lit(1)).alias("__lines")
+        ),
+        "first-purchases",
     )
     return (
         skew_join(lines, first, "CustomerID", row_count="__lines")

@@ -122,8 +122,8 @@ def quality_counts(raw: DataFrame) -> DataFrame:
 def quality_examples(raw: DataFrame, per_category: int = 3) -> DataFrame:
     """Up to ``per_category`` lines per tag, the first ones by all columns, NULLs first.
 
-    The wanted lines belong to the first ``per_category`` distinct invoice numbers of their tag. Those
-    few numbers are found first and select the candidates, so that only candidates are sorted as rows.
+    The invoice numbers of the wanted lines are found first from narrow rows, of which each task passes
+    on its own first ones only (window group limit). They select the few lines that are sorted in full.
     """
     columns = [c for c in RAW_COLUMNS if c in raw.columns]
     flagged = with_quality_tags(raw).unpivot(columns, QUALITY_TAGS, "category", "tagged")
@@ -133,7 +133,7 @@ def quality_examples(raw: DataFrame, per_category: int = 3) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy("category").orderBy(*order))
         return df.withColumn("rank", rank).filter(F.col("rank") <= per_category)
 
-    leading = first_rows(tagged.select("category", "InvoiceNo").distinct(), "InvoiceNo").select(
+    leading = first_rows(tagged.select("category", "InvoiceNo"), "InvoiceNo").select(
         F.col("category").alias("tag"), F.col("InvoiceNo").alias("number")
     )
     # at most per_category rows per tag

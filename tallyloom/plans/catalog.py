@@ -34,8 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 FILTER_START, FILTER_END = dt.date(1996, 1, 1), dt.date(1998, 12, 31)
 FILTER_COUNTRIES = [f"nation_{i}" for i in range(5)]
 REFERENCE_DATE = "2001-12-10"
-# The stored segments come from sales before the first date, the upserted ones from the second on.
-STORE_UNTIL, BATCH_FROM = "1996-01-01", "2001-01-01"
+# The stored segments come from the sales before this date, the upserted ones from the sales since.
+STORE_UNTIL = "1998-01-01"
 
 
 # --- input frames ---
@@ -166,9 +166,10 @@ def segments_upsert(spark: SparkSession, sf: str) -> DataFrame:
         frame = segments_of(spark, sf, lines.filter(part))
         return segment_store.segment_documents(frame, "Cluster", "Segment")
 
+    cutoff = F.lit(STORE_UNTIL).cast("timestamp")
     first, second = stage_path(spark, "store"), stage_path(spark, "store")
-    segment_store.upsert_segments(documents(F.col("InvoiceTS") < F.lit(STORE_UNTIL).cast("timestamp")), first)
-    batch = documents(F.col("InvoiceTS") >= F.lit(BATCH_FROM).cast("timestamp"))
+    segment_store.upsert_segments(documents(F.col("InvoiceTS") < cutoff), first)
+    batch = documents(F.col("InvoiceTS") >= cutoff)
     store = segment_store.upsert_segments(batch, second, old_version=first)
     return _r(readers.flatten_segments(store), 2, "Monetary")
 

@@ -115,7 +115,7 @@ _CTES = {
         SELECT s.CustomerID, s.TotalAmount, s.Invoices, n.Recency, n.Frequency, n.Monetary, n.Cluster, n.Segment
         FROM spend s JOIN nsegs n ON s.CustomerID = n.CustomerID""",
     "old_sales": f"SELECT * FROM sales WHERE InvoiceTS < TIMESTAMP '{catalog.STORE_UNTIL}'",
-    "new_sales": f"SELECT * FROM sales WHERE InvoiceTS >= TIMESTAMP '{catalog.BATCH_FROM}'",
+    "new_sales": f"SELECT * FROM sales WHERE InvoiceTS >= TIMESTAMP '{catalog.STORE_UNTIL}'",
     "old_rfm": _rfm("old_sales"),
     "new_rfm": _rfm("new_sales"),
     "old_store": _segments("old_rfm"),

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions.joins import bounded_lookup, lookup_join, skew_join
-from tallyloom.functions.staging import stage, stage_path
+from tallyloom.functions import staging
+from tallyloom.functions.staging import clear_stages, stage, stage_path
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +70,32 @@ def test_stages_live_in_the_shared_folder(spark):
     staged = stage(spark.range(5), "numbers")
     assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
     assert staged.count() == 5 and stage_path(spark, "a") != stage_path(spark, "a")
+
+
+def test_clearing_removes_the_own_tables_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "stage_root", lambda session: str(tmp_path / "app"))
+    (tmp_path / "other").mkdir()
+    stage(spark.range(5), "numbers")
+    assert len(list((tmp_path / "app").iterdir())) == 1
+    clear_stages(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    class Context:
+        applicationId, master = "app-1", "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        staging.stage_root(Session())
+    Context.master = "local[2]"
+    assert staging.stage_root(Session()) == staging.stage_root(Session())
