@@ -67,11 +67,14 @@ def filter_date_country(
 ) -> DataFrame:
     """Rows dated from ``start`` through ``end`` (both days included) in one of ``countries``.
 
-    Written as bounds on the timestamp itself, which a columnar scan can use to skip data.
+    Written as bounds on the timestamp itself, which a columnar scan can use to skip data. On sales stored
+    by month the months outside the range are not read at all.
     """
     first = F.lit(start.isoformat()).cast("timestamp")
     past_end = F.lit((end + dt.timedelta(days=1)).isoformat()).cast("timestamp")
     in_range = (F.col("InvoiceTS") >= first) & (F.col("InvoiceTS") < past_end)
+    if "YearMonth" in df.columns:
+        in_range = in_range & F.col("YearMonth").between(f"{start:%Y-%m}", f"{end:%Y-%m}")
     return df.filter(in_range & F.col("Country").isin(list(countries)))
 
 

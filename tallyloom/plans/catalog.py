@@ -181,6 +181,13 @@ def filter_date_country(spark: SparkSession, sf: str) -> DataFrame:
     return enrichment.filter_date_country(dashboard(spark, sf), FILTER_START, FILTER_END, FILTER_COUNTRIES)
 
 
+def filter_sales_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    path = stage_path(spark, "sales-by-month")
+    writers.write_sales(sales(spark, sf), path)
+    months = spark.read.parquet(path)
+    return enrichment.filter_date_country(months, FILTER_START, FILTER_END, star.DEFAULTS)
+
+
 def region_case(spark: SparkSession, sf: str) -> DataFrame:
     lines = star.raw_transactions(spark, sf, country=star.real_countries())
     mapped = enrichment.add_region(cleaning.clean_modular(lines))
@@ -384,6 +391,7 @@ def queries() -> dict[str, Query]:
         "volume_comparison": _on(raw, cleaning.volume_comparison),
         "cancellations": _on(raw, quality.cancelled_lines),
         "filter_date_country": filter_date_country,
+        "filter_sales_by_month": filter_sales_by_month,
         "filter_domain": _on(sales, enrichment.filter_domain, defaults=star.DEFAULTS),
         "filter_domain_fallback": _on(dashboard, enrichment.filter_domain),
         "region_left_join": region_left_join,

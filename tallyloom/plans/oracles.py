@@ -389,6 +389,10 @@ def oracle_sql() -> dict[str, str]:
         "filter_date_country": "SELECT * FROM picked",
         "filtered_monthly_revenue": f"SELECT {_MONTH} AS Month, {_REVENUE} AS Total_Sales FROM picked GROUP BY 1",
         "filtered_cohort_counts": _cells("picked"),
+        "filter_sales_by_month": f"""
+            SELECT *, {_MONTH} AS YearMonth FROM sales
+            WHERE CAST(InvoiceTS AS DATE) BETWEEN DATE '{catalog.FILTER_START}' AND DATE '{catalog.FILTER_END}'
+            AND Country IN ({", ".join(f"'{c}'" for c in star.DEFAULTS)})""",
         "filter_domain": _domain("sales", star.DEFAULTS),
         "filter_domain_fallback": _domain("dash", ["United Kingdom", "Germany", "France", "EIRE", "Netherlands"]),
         "region_left_join": "SELECT * FROM mapped",

@@ -44,8 +44,8 @@ def preprocess_modular(raw: DataFrame, regions: DataFrame | None = None) -> Data
 
 
 def _featured(sales: DataFrame) -> DataFrame:
-    encoded = encode_by_frequency(sales, "Country", "Country_Encoded")
-    return transform_features(encoded).select(*EXPORT_COLUMNS)
+    encoded = encode_by_frequency(transform_features(sales), "Country", "Country_Encoded")
+    return encoded.select(*EXPORT_COLUMNS)
 
 
 def preprocess_minimal(raw: DataFrame, regions: DataFrame | None = None) -> DataFrame:
@@ -55,8 +55,9 @@ def preprocess_minimal(raw: DataFrame, regions: DataFrame | None = None) -> Data
     """
     dimension = region_dimension(raw.sparkSession, SEED_REGIONS) if regions is None else regions
     sales = stage(add_total_amount(add_region(clean_minimal(raw), dimension)), "minimal-sales")
-    encoded = encode_by_frequency(sales, "Region", "Region_Encoded", on_missing="error")
-    return transform_features(encoded).select(
+    scaled = transform_features(sales)
+    encoded = encode_by_frequency(scaled, "Region", "Region_Encoded", on_missing="error")
+    return encoded.select(
         *MINIMAL_EXPORT_COLUMNS, "Quantity_Normalized", "UnitPrice_Standardized"
     )
 

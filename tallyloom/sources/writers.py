@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from tallyloom.functions.columns import year_month
 from tallyloom.schema import EXPORT_COLUMNS
 
 
@@ -41,3 +42,12 @@ def write_jdbc(
     if num_partitions is not None:
         writer = writer.option("numPartitions", num_partitions)
     writer.jdbc(url=url, table=table, properties=dict(properties))
+
+
+def write_sales(sales: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Store dated sales as Parquet in one folder per month (column YearMonth).
+
+    Rebalancing gives each month files of even size: small months are merged, large ones are split.
+    """
+    by_month = sales.withColumn("YearMonth", year_month()).hint("rebalance", "YearMonth")
+    by_month.write.mode(mode).partitionBy("YearMonth").parquet(path)

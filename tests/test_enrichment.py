@@ -4,6 +4,7 @@ from conftest import as_dict, invoices
 
 from tallyloom.functions.columns import normalized_customer_id
 from tallyloom.operators import enrichment
+from tallyloom.sources.writers import write_sales
 
 
 def test_builtin_regions(spark):
@@ -60,6 +61,20 @@ def test_filter_includes_both_days_and_reaches_the_scan(make_sales, spark, tmp_p
     assert "Description" not in next(line for line in plan.splitlines() if "ReadSchema" in line)
 
 
+def test_months_outside_the_range_are_not_read(make_sales, spark, tmp_path, capsys):
+    rows = [(str(m), f"2010-{m:02d}-15 10:00:00", "1", "A", "mug", 1, 1.0) for m in range(1, 13)]
+    path = str(tmp_path / "sales")
+    write_sales(make_sales(rows), path)
+    stored = spark.read.parquet(path)
+    assert dict(stored.dtypes)["YearMonth"] == "string"
+    kept = enrichment.filter_date_country(stored, dt.date(2010, 3, 15), dt.date(2010, 4, 14), ["A"])
+    assert invoices(kept) == ["3"]
+    kept.explain("formatted")
+    plan = capsys.readouterr().out
+    pruned = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "2010-03" in pruned and "2010-04" in pruned
+
+
 def test_filter_domain_defaults_and_fallback(make_sales):
     rows = [(c, f"2010-12-0{i + 1} 10:00:00", "1", c, "mug", 1, 1.0) for i, c in enumerate("GFEDCBA")]
     sales = make_sales(rows)
