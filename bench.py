@@ -87,7 +87,7 @@ def cases(spark: SparkSession, sf: str, work: str) -> dict[str, Callable[[], Dat
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
