@@ -7,7 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, line_crf, line_dedup, ngram_join, quality_rules
+from tallyloom.functions.staging import stage_path
+from tallyloom.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    line_crf,
+    line_dedup,
+    ngram_join,
+    quality_rules,
+    reshard,
+    unigram,
+    warc,
+)
 from tallyloom.llm.shipping import ship_package
 from tallyloom.llm.tables import table
 
@@ -19,10 +31,48 @@ def tokenizer(name: str) -> str:
     return os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), name)
 
 
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return unigram.count_tokens(table(spark, sf, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """The old layout is one of 16 shards by source, which the hot source makes uneven; the new one has even sizes."""
+    by_source = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(16))
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    placed, changed = reshard.reshard(docs, by_source, 16)
+    rows = reshard.rewrite(placed.drop("source"), changed)
+    return rows.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "old_shard",
+    )
+
+
 def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = stage_path(spark, "warc")
+    warc.write_archives(table(spark, sf, "pages"), path)
+    return warc.read_archives(
+        spark, path, ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
+    )
+
+
+def op5_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf, "pages"))
+
+
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.benchmark_hits(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = line_crf.train(docs, table(spark, sf, "labels"))
@@ -57,7 +107,18 @@ def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op3_bpe, op7_quality_classifier, op8_line_dedup, op9_quality_rules, op10_ngram_join)
+    for f in (
+        op1_token_counts,
+        op2_sharding,
+        op3_bpe,
+        op4_warc,
+        op5_html_text,
+        op6_decontamination,
+        op7_quality_classifier,
+        op8_line_dedup,
+        op9_quality_rules,
+        op10_ngram_join,
+    )
 }
 
 
