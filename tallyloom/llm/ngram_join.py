@@ -23,11 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.functions.staging import stage
 from tallyloom.llm.components import components
-from tallyloom.llm.tables import words
+from tallyloom.llm.tables import slices
 
 PERCENT = 80
 #: A token in more documents is frequent; the limit doubles until at most MOST_FREQUENT tokens are (8 MB, broadcast).
@@ -35,6 +36,8 @@ FREQUENT, MOST_FREQUENT = 50, 1 << 20
 #: Tokens counted per group, tokens sorted at once in a task, and bits of the filter of candidate documents (2 MB).
 GROUP_TOKENS, SORT_TOKENS, FILTER_BITS = 2_000_000, 4_000_000, 1 << 24
 BAND, SMALL_BAND = 1.26, 10
+#: Bytes of text taken at once, and 64-bit words of the bitmap that stands for a set.
+SLICE, BITMAP_WORDS = 400_000, 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -44,32 +47,67 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: Column) -> Column:
-    """The hashes of the words of a text, A-Z lower-cased."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.transform(words(lower), lambda w: F.xxhash64(w))
+def _word_tables() -> tuple[np.ndarray, np.ndarray]:
+    """A number for each byte, the same for both cases of A-Z, and which bytes are white space."""
+    numbers = _mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
+    numbers[ord("A") : ord("Z") + 1] = numbers[ord("a") : ord("z") + 1]
+    blank = np.zeros(256, bool)
+    blank[[0x20, *range(0x09, 0x0E)]] = True
+    return numbers, blank
+
+
+_NUMBERS, _BLANK = _word_tables()
+
+
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts that lie in ``data`` one after the other, and where each text's words begin (and
+    the end). A word's hash is a polynomial of its bytes, mixed with its length."""
+    solid = ~_BLANK[data]
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    inner = bounds[1:-1]
+    inner = inner[inner < len(data)]
+    begins[inner] = solid[inner]
+    starts = np.flatnonzero(begins)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+    last = solid.copy()
+    last[:-1] &= begins[1:] | ~solid[1:]
+    sizes = np.flatnonzero(last) - starts + 1
+    firsts = np.cumsum(sizes) - sizes
+    at = np.flatnonzero(solid)
+    place = np.arange(len(at)) - np.repeat(firsts, sizes)
+    powers = np.cumprod(np.full(int(sizes.max()), _STEP, np.uint64))
+    hashes = np.add.reduceat(_NUMBERS[data[at]] * powers[place], firsts)
+    return _mix(hashes + sizes.astype(np.uint64)), np.searchsorted(starts, bounds)
 
 
 def token_sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
-    """Per row of a batch with column ``hashes``: the sorted distinct n-gram tokens. A text with fewer words than
-    ``size`` has one token for all of them, a text without words none."""
-    column = batch.column("hashes")
-    offsets = column.offsets.to_numpy()
-    flat = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
-    grams = np.zeros(max(len(flat) - size + 1, 0), np.uint64)
-    for k in range(size):
-        grams = grams * _STEP + flat[k : k + len(grams)]
-    grams = _mix(grams)
-    for start, end in zip(offsets[:-1], offsets[1:], strict=True):
-        if end - start >= size:
-            yield np.unique(grams[start : end - size + 1])
-        elif end > start:
-            one = np.array([end - start], np.uint64)
-            for h in flat[start:end]:
-                one = _mix(one * _STEP + h)
-            yield one
-        else:
-            yield np.zeros(0, np.uint64)
+    """Per row of a batch with column ``text``: the sorted distinct n-gram tokens, A-Z lower-cased. A text with fewer
+    words than ``size`` has one token for all of them, a text without words none."""
+    for part in slices(iter([batch]), "text", SLICE):
+        column = pa.compute.fill_null(part.column("text").cast(pa.large_string()), "")
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        flat, firsts = word_hashes(data, offsets - offsets[0])
+        grams = np.zeros(max(len(flat) - size + 1, 0), np.uint64)
+        for k in range(size):
+            grams = grams * _STEP + flat[k : k + len(grams)]
+        grams = _mix(grams)
+        for start, end in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+            if end - start >= size:
+                tokens = np.sort(grams[start : end - size + 1])
+                fresh = np.empty(len(tokens), bool)
+                fresh[0] = True
+                np.not_equal(tokens[1:], tokens[:-1], out=fresh[1:])
+                yield tokens if fresh.all() else tokens[fresh]
+            elif end > start:
+                one = np.array([end - start], np.uint64)
+                for h in flat[start:end]:
+                    one = _mix(one * _STEP + h)
+                yield one
+            else:
+                yield np.zeros(0, np.uint64)
 
 
 def _fingerprints(docs: DataFrame, size: int) -> DataFrame:
@@ -230,8 +268,6 @@ def _entry_batch(ids, sizes, signatures, kinds) -> pa.RecordBatch:
 
 def _postings(entries: DataFrame, members: DataFrame) -> DataFrame:
     """(signature, node, n, kind) with one row per node, of signatures that two nodes hold."""
-    from pyspark.sql import Window
-
     by = Window.partitionBy("signature").orderBy("doc_id")
     # A rare token is in at most as many documents as make it frequent, so its rows may meet in one task.
     near = F.coalesce(F.lag("doc_id").over(by), F.lead("doc_id").over(by))
@@ -255,23 +291,46 @@ def _plausible(pairs: DataFrame) -> DataFrame:
     return pairs.where(sizes).where(f"kind > 0 or shared >= {enough}")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, tokens) of the given nodes. A fixed-size bit filter spares most other documents; the join is exact."""
+def _of_nodes(docs: DataFrame, nodes: DataFrame, schema: str, values) -> DataFrame:
+    """What ``values`` makes of the sets of the given nodes, as rows (node, ...). A bit filter of fixed size spares
+    most other documents the work; the join that follows is exact."""
     at = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)).cast("int")
-    words_ = nodes.select(at.alias("at")).groupBy(F.expr("at div 64").cast("int").alias("word"))
-    rows = words_.agg(F.bit_or(F.expr("shiftleft(1L, at % 64)")).alias("bits")).toArrow()
+    by_word = nodes.select(at.alias("at")).groupBy(F.expr("at div 64").cast("int").alias("word"))
+    rows = by_word.agg(F.bit_or(F.expr("shiftleft(1L, at % 64)")).alias("bits")).toArrow()
     filled = np.zeros(FILTER_BITS // 64, np.int64)  # at most FILTER_BITS / 64 rows
     filled[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
-    passed = docs.sparkSession.sparkContext.broadcast(np.unpackbits(filled.view(np.uint8), bitorder="little").view(bool))
+    passed = docs.sparkSession.sparkContext.broadcast(filled.view(np.uint8))
 
     def run(batches):
+        bits = np.unpackbits(passed.value, bitorder="little").view(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(passed.value[batch.column("at").to_numpy()]))
-            sets = [tokens.tobytes() for tokens in token_sets(batch, size)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["node", "tokens"])
+            batch = batch.filter(pa.array(bits[batch.column("at").to_numpy()]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *values(batch)], names)
 
+    names = ["node", *(field.split()[0] for field in schema.split(", "))]
     marked = docs.withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int"))
-    return marked.mapInArrow(run, "node long, tokens binary").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    found = marked.mapInArrow(run, f"node long, {schema}")
+    return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    return _of_nodes(
+        docs, nodes, "tokens binary", lambda batch: [pa.array([t.tobytes() for t in token_sets(batch, size)], pa.binary())]
+    )
+
+
+def _bitmaps(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """For each node ``BITMAP_WORDS`` words of bits; a bit is 1 if an odd number of tokens falls on it."""
+
+    def values(batch):
+        rows = np.zeros((batch.num_rows, BITMAP_WORDS), np.uint64)
+        for row, tokens in zip(rows, token_sets(batch, size), strict=True):
+            spread = _mix(tokens + _STEP)
+            word = (spread >> np.uint64(6)) % np.uint64(BITMAP_WORDS)
+            np.bitwise_xor.at(row, word.astype(np.int64), np.uint64(1) << (spread & np.uint64(63)))
+        return [pa.array(column.view(np.int64)) for column in np.ascontiguousarray(rows.T)]
+
+    return _of_nodes(docs, nodes, ", ".join(f"w{k} long" for k in range(BITMAP_WORDS)), values)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -289,7 +348,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _links(spark: SparkSession, docs: DataFrame, postings: DataFrame, size: int) -> DataFrame:
+def _links(docs: DataFrame, postings: DataFrame, size: int) -> DataFrame:
     firsts = postings.groupBy("signature").agg(F.min_by(F.struct("node", "n", "kind"), "node").alias("p"), F.count(F.lit(1)).alias("held"))
     pivots = stage(firsts.where("held > 1").select("signature", "p"), "pivots")
     met = postings.join(pivots, "signature").where("node <> p.node")
@@ -312,11 +371,21 @@ def _links(spark: SparkSession, docs: DataFrame, postings: DataFrame, size: int)
     placed = stage(placed, "placed")
     mixed = placed.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     rest = stage(placed.join(mixed.select("signature"), "signature", "left_semi"), "unsettled")
-    a = rest.select("signature", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "kind", "component")])
-    b = rest.select("signature", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "kind", "component")])
-    # Only sets of different components whose sizes allow similarity meet here.
-    across = a.join(b, "signature").where(
-        f"node_a < node_b and component_a <> component_b and 100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)"
+    if rest.isEmpty():
+        return linked
+    bitmaps = _bitmaps(docs, rest.select("node").distinct(), size)
+    rest = stage(rest.join(bitmaps, "node"), "unsettled-bits")
+    a = rest.select("signature", *[F.col(c).alias(f"{c}_a") for c in rest.columns if c != "signature"])
+    b = rest.select("signature", *[F.col(c).alias(f"{c}_b") for c in rest.columns if c != "signature"])
+    # Tokens in one set only flip a bit each, so sets differ in at least as many tokens as their bitmaps in bits.
+    # Only sets of different components whose sizes and bitmaps allow similarity meet here.
+    differing = " + ".join(f"bit_count(w{k}_a ^ w{k}_b)" for k in range(BITMAP_WORDS))
+    across = a.join(
+        b,
+        (a["signature"] == b["signature"])
+        & F.expr("node_a < node_b and component_a <> component_b")
+        & F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+        & F.expr(f"{differing} <= n_a + n_b - 2 * {_overlap_bound('n_a', 'n_b')}"),
     )
     pairs = across.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
         F.max("n_a").alias("n_a"),
@@ -338,15 +407,15 @@ def similar_documents(docs: DataFrame, size: int = 5) -> DataFrame:
     by two). Other columns are ignored.
     """
     spark = docs.sparkSession
-    hashed = docs.select("doc_id", word_hashes(F.col("text")).alias("hashes"))
-    prints = stage(_fingerprints(hashed, size), "fingerprints")
-    named, hashed = prints.where("doc_id is not null and n > 0"), hashed.where("doc_id is not null")
+    docs = docs.select("doc_id", "text")
+    prints = stage(_fingerprints(docs, size), "fingerprints")
+    named, docs = prints.where("doc_id is not null and n > 0"), docs.where("doc_id is not null")
     classes = stage(named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node")), "classes")
     members = stage(named.join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "node"), "members")
     total = named.agg(F.sum("n")).first()[0] or 0
-    frequent, bits = frequent_tokens(hashed, total, size)
-    postings = stage(_postings(_entries(hashed, size, frequent, bits), members), "postings")
-    found = stage(components(_links(spark, hashed, postings, size)), "components")
+    frequent, bits = frequent_tokens(docs, total, size)
+    postings = stage(_postings(_entries(docs, size, frequent, bits), members), "postings")
+    found = stage(components(_links(docs, postings, size)), "components")
     placed = members.join(found, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component_id"))
     alone = prints.where("doc_id is null or n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return placed.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
