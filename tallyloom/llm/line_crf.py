@@ -105,6 +105,19 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.stack(columns, axis=1).astype(np.float32), np.maximum(chars, 1), bounds
 
 
+def features_of(texts: list[str], at_once: int = 1_000_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``line_features`` of many texts, worked out for about ``at_once`` characters at a time."""
+    parts, first, size = [], 0, 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= at_once or i == len(texts):
+            parts.append(line_features(texts[first:i]))
+            first, size = i, 0
+    sizes = np.concatenate([np.diff(bounds) for _, _, bounds in parts])
+    features, lengths = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    return features, lengths, np.concatenate(([0], np.cumsum(sizes)))
+
+
 def forward_backward(good: np.ndarray, moves: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log forward and backward messages of all lines. ``good`` is the log potential of the good state (the bad one
     has 0), ``moves`` the 2 x 2 log transitions. Step t of all chains that are long enough is taken at once."""
@@ -143,7 +156,7 @@ class LineCrf:
 
     def log_odds(self, texts: list[str]) -> np.ndarray:
         """Of the length-weighted mean of the lines' marginals."""
-        features, lengths, bounds = line_features(texts)
+        features, lengths, bounds = features_of(texts)
         good = self.marginals(features.astype(np.float64), bounds)
         mean = np.add.reduceat(good * lengths, bounds[:-1]) / np.add.reduceat(lengths, bounds[:-1])
         mean = np.clip(mean, 1e-6, 1 - 1e-6)
@@ -170,7 +183,7 @@ def fit(texts: list[str], labels: list[int], steps: int = 120, rate: float = 0.2
     """Maximum likelihood with a ridge penalty; every line carries the label of its document."""
     if not texts:
         return LineCrf(np.zeros(len(FEATURES)), np.zeros((2, 2)))
-    features, _, bounds = line_features(texts)
+    features, _, bounds = features_of(texts)
     x, n = features.astype(np.float64), len(features)
     y = np.repeat(np.array(labels, np.float64), np.diff(bounds))
     inner = np.ones(n, bool)
