@@ -1,32 +1,11 @@
-"""Joins against lookup tables whose size or key skew is not known in advance."""
+"""Joins on keys of unknown skew."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A lookup above this many rows is not broadcast.
-BROADCAST_ROWS = 10_000
-
-
-def bounded_lookup(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``lookup`` as a broadcastable local table, or None if it has more than ``max_rows`` rows.
-
-    Evaluates ``lookup`` once; at most ``max_rows + 1`` rows ever reach the driver.
-    """
-    rows = lookup.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return F.broadcast(lookup.sparkSession.createDataFrame(rows, lookup.schema))
-
-
-def lookup_join(
-    rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join to a lookup: broadcast when it is proven small, else a shuffle join with split hot keys."""
-    small = bounded_lookup(lookup, max_rows)
-    if small is not None:
-        return rows.join(small, key, how)
-    return skew_join(rows, lookup, key, how)
+# At most this many keys are hot, so their list may be broadcast and their lookup rows copied.
+MOST_HEAVY_KEYS = 10_000
 
 
 def skew_join(
@@ -34,40 +13,36 @@ def skew_join(
     lookup: DataFrame,
     key: str,
     how: str = "inner",
-    salts: int = 64,
-    heavy_share: int = 500,
-    min_heavy_rows: int = 10_000,
+    task_rows: int = 1_000_000,
     row_count: str | None = None,
 ) -> DataFrame:
-    """Shuffle join of ``rows`` to ``lookup`` in which hot keys of ``rows`` are spread over ``salts`` tasks.
-
-    A key is hot when it owns more than 1/``heavy_share`` of all rows, so there are fewer than
-    ``heavy_share`` hot keys and their list may be broadcast. Only their lookup rows are replicated.
-    The salt depends on the row and its input partition alone, hence is the same when a task reruns.
-    ``how`` is inner, left or left_semi; rows with a NULL key are spread as well. If the lookup was
-    aggregated from ``rows`` and holds each key's number of rows, name that column in ``row_count`` to
-    save the counting pass; it is left out of the result. Such a lookup should be a stored table.
+    """Shuffle join of ``rows`` to ``lookup`` in which a hot key is spread over as many tasks as its rows fill.
+
+    A key is hot above ``task_rows`` rows, or above a 1/``MOST_HEAVY_KEYS`` share of all rows if that is more; it
+    gets one salt for every so many rows, and only its lookup rows are replicated. The salt depends on the row
+    and its input partition alone, hence is the same when a task reruns. ``how`` is inner, left or left_semi; rows
+    with a NULL key are spread as well. If the lookup was aggregated from ``rows`` and holds each key's number of
+    rows, name that column in ``row_count`` to save the counting pass; it is left out of the result. Such a
+    lookup, and ``rows``, should be stored tables.
     """
     if row_count is None:
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     else:
         counts = lookup.select(key, F.col(row_count).alias("__rows"))
         lookup = lookup.drop(row_count)
-    total = counts.groupBy().agg(F.sum("__rows")).scalar()
+    share = F.ceil(counts.groupBy().agg(F.sum("__rows")).scalar() / MOST_HEAVY_KEYS)
+    part = F.greatest(F.lit(task_rows).cast("long"), F.coalesce(share, F.lit(0)).cast("long"))
     heavy = (
-        counts.filter((F.col("__rows") > min_heavy_rows) & (F.col("__rows") * heavy_share > total))
-        .filter(F.col(key).isNotNull())
-        .select(key, F.lit(True).alias("__heavy"))
+        counts.filter(F.col(key).isNotNull())
+        .withColumn("__part", part)
+        .filter(F.col("__rows") > F.col("__part"))
+        .select(key, F.ceil(F.col("__rows") / F.col("__part")).cast("int").alias("__salts"))
     )
-    by_content = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts))
-    spread = F.pmod(by_content + F.spark_partition_id(), F.lit(salts))
-    salted_rows = rows.join(F.broadcast(heavy), key, "left").withColumn(
-        "__salt", F.when(F.col("__heavy") | F.col(key).isNull(), spread.cast("int")).otherwise(0)
-    ).drop("__heavy")
-    copies = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_lookup = (
-        lookup.join(F.broadcast(heavy), key, "left")
-        .withColumn("__salt", F.explode(copies))
-        .drop("__heavy")
+    spread = F.xxhash64(*[F.col(c) for c in rows.columns]) + F.spark_partition_id()
+    salts = F.when(F.col(key).isNull(), MOST_HEAVY_KEYS).otherwise(F.coalesce("__salts", F.lit(1)))
+    salted_rows = rows.join(F.broadcast(heavy), key, "left").withColumn("__salt", F.pmod(spread, salts).cast("int"))
+    salted_lookup = lookup.join(F.broadcast(heavy), key, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))
     )
-    return salted_rows.join(salted_lookup, [key, "__salt"], how).drop("__salt")
+    joined = salted_rows.drop("__salts").join(salted_lookup.drop("__salts"), [key, "__salt"], how)
+    return joined.drop("__salt")

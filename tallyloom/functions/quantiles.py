@@ -2,7 +2,7 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer. Here a sketch first
 brackets each wanted rank, a counting pass fixes how many rows lie below and inside each bracket, and
-only the values of the bracket that holds the rank are sorted. The counts are exact, so the answer is
+only the values of the bracket that holds the rank are sorted, by ranges. The counts are exact, so the answer is
 exact even if the sketch misses: then the neighbouring zone is searched instead.
 """
 
@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.functions.joins import bounded_lookup
+from tallyloom.functions.running import running_total
 
 SKETCH_ACCURACY = 10_000
 
@@ -93,10 +93,9 @@ def percentiles(
     per_value = found.groupBy(*keys, "i", "v", "first", "last", "fraction", "before").agg(
         F.count(F.lit(1)).alias("n")
     )
-    upwards = Window.partitionBy(*keys, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = per_value.withColumn("end", F.col("before") + F.sum("n").over(upwards)).withColumn(
-        "start", F.col("end") - F.col("n")
-    )
+    # a bracket spans as many ranges of values as it fills, whatever the sketch left in it
+    totals = running_total(per_value, [*keys, "i"], [F.col("v")], "n", "upto", "percentile-ranges")
+    ranked = totals.withColumn("end", F.col("before") + F.col("upto")).withColumn("start", F.col("end") - F.col("n"))
 
     def at(i: int, rank: str) -> Column:
         here = (F.col("i") == i) & (F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("end"))
@@ -112,8 +111,5 @@ def percentiles(
 
 
 def _small(df: DataFrame, grouped: bool) -> DataFrame:
-    """Broadcast a per-group table: without groups it has one row per column, else its size is checked."""
-    if not grouped:
-        return F.broadcast(df)
-    small = bounded_lookup(df)
-    return df if small is None else small
+    """A per-group table: without groups it has one row per column and is broadcast, else Spark decides."""
+    return df if grouped else F.broadcast(df)

@@ -12,14 +12,11 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.functions.joins import bounded_lookup
 from tallyloom.functions.staging import stage
 from tallyloom.operators.features import z_score_scale
 
 PROFILE_FEATURES = ("Recency", "Frequency", "Monetary", "Country_Encoded", "Sum_Qty")
 RFM_FEATURES = ("Recency", "Frequency", "Monetary")
-# Labellings with more clusters than this are refused by the pairwise index.
-MAX_CLUSTERS = 1_000
 
 
 @dataclass(frozen=True)
@@ -41,7 +38,7 @@ def rfm_kmeans(
     max_iter: int = 300,
     tol: float = 1e-4,
 ) -> ClusterRun:
-    """One k-means|| run on features standardised by the sample deviation."""
+    """One k-means|| run on features standardised by the sample deviation. Null and blank ids are left out."""
     return _cluster(profiles, k, features, [seed], max_iter, tol, population=False)
 
 
@@ -70,6 +67,8 @@ def _cluster(
     parallelism: int = 1,
 ) -> ClusterRun:
     spark = profiles.sparkSession
+    # Lines without a customer share one blank id; they are no customer and would be a cluster of their own.
+    profiles = profiles.filter(F.trim(F.col("CustomerID").cast("string")) != "")
     # Stored once, in a layout fixed by the ids: iterations reread a narrow table, and a rerun of the
     # same input sees the same partitions.
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -138,6 +137,22 @@ def _cluster(
     return ClusterRun(assignments, centroids, len(centers), silhouette, model.summary.trainingCost)
 
 
+def check_labels(run: ClusterRun, features: Sequence[str], population: bool) -> DataFrame:
+    """``assignments`` plus the squared distance ``distance`` to the own centre on standardised features, and
+    ``is_nearest``, whether no returned centre is nearer. Computed from the returned rows and centres alone."""
+    deviation = F.stddev_pop if population else F.stddev_samp
+    stats = run.assignments.agg(*[F.coalesce(deviation(f), F.lit(0.0)).alias(f) for f in features]).first()
+    used = [f for f in features if stats[f] > 0]
+    centres = {r["cluster"]: r for r in run.centroids.collect()}  # k rows
+    gaps = [
+        F.lit(float("inf")) if c not in centres else sum((((F.col(f) - centres[c][f]) / stats[f]) ** 2 for f in used), F.lit(0.0))
+        for c in range(max(centres) + 1)
+    ]
+    rows = run.assignments.withColumn("gaps", F.array(*gaps)).withColumn("distance", F.get("gaps", F.col("cluster")))
+    nearest = F.coalesce(F.col("distance") <= F.array_min("gaps") + 1e-9, F.lit(False))
+    return rows.withColumn("is_nearest", nearest).drop("gaps")
+
+
 def cluster_metrics(run: ClusterRun, features: Sequence[str] = RFM_FEATURES) -> DataFrame:
     """One row: k, silhouette (squared distances), SSE, Davies-Bouldin and Calinski-Harabasz."""
     scores = davies_bouldin(run.assignments, features).withColumnRenamed("score", "davies_bouldin")
@@ -180,29 +195,27 @@ def _scaled(df: DataFrame, features: Sequence[str], cluster: str) -> DataFrame:
 
 
 def davies_bouldin(df: DataFrame, features: Sequence[str] = RFM_FEATURES, cluster: str = "cluster") -> DataFrame:
-    """Davies-Bouldin index of a labelling on standardised features, one row ``score``."""
+    """Davies-Bouldin index of a labelling on standardised features, one row ``score``.
+
+    Each cluster is compared with every other one, as the index is defined; the comparisons are spread over tasks
+    and only the worst of each cluster is kept.
+    """
     z = [f"z_{f}" for f in features]
     points = _scaled(df, features, cluster)
-    centres = bounded_lookup(points.groupBy("c").agg(*[F.avg(x).alias(f"m_{x}") for x in z]), MAX_CLUSTERS)
-    if centres is None:
-        raise ValueError(f"the labelling has more than {MAX_CLUSTERS} clusters")
-    joined = points.join(centres, "c")
-    distance = F.sqrt(sum(((F.col(x) - F.col(f"m_{x}")) * (F.col(x) - F.col(f"m_{x}")) for x in z), F.lit(0.0)))
-    spread = joined.groupBy("c", *[f"m_{x}" for x in z]).agg(F.avg(distance).alias("s"))
-    # the pairs of centres are formed inside one row of at most MAX_CLUSTERS entries
-    clusters = spread.agg(F.collect_list(F.struct("s", *[f"m_{x}" for x in z])).alias("all"))
-    k = F.size("all")
-
-    def ratio(a: Column, b: Column) -> Column:
-        gap = F.sqrt(sum(((a[f"m_{x}"] - b[f"m_{x}"]) * (a[f"m_{x}"] - b[f"m_{x}"]) for x in z), F.lit(0.0)))
-        return F.try_divide(a["s"] + b["s"], gap)
-
-    worst = F.transform(
-        "all",
-        lambda a, i: F.array_max(F.transform("all", lambda b, j: F.when(i != j, ratio(a, b)))),
-    )
-    total = F.aggregate(worst, F.lit(0.0), lambda acc, x: acc + F.coalesce(x, F.lit(0.0)))
-    return clusters.select(F.round(F.when(k > 1, total / k), 6).alias("score"))
+    means = [F.avg(x).alias(f"m_{x}") for x in z]
+    centres = stage(points.filter(F.col("c").isNotNull()).groupBy("c").agg(*means), "centres")
+
+    def distance(xs: list[Column], ys: list[Column]) -> Column:
+        return F.sqrt(sum(((x - y) * (x - y) for x, y in zip(xs, ys, strict=True)), F.lit(0.0)))
+
+    to_centre = distance([F.col(x) for x in z], [F.col(f"m_{x}") for x in z])
+    spread = stage(points.join(centres, "c").groupBy("c", *[f"m_{x}" for x in z]).agg(F.avg(to_centre).alias("s")), "spreads")
+    a, b = spread.alias("a"), spread.alias("b")
+    gap = distance([F.col(f"a.m_{x}") for x in z], [F.col(f"b.m_{x}") for x in z])
+    ratio = F.try_divide(F.col("a.s") + F.col("b.s"), gap)
+    worst = a.join(b, F.col("a.c") != F.col("b.c")).groupBy("a.c").agg(F.max(ratio).alias("worst"))
+    total = worst.agg(F.sum(F.coalesce("worst", F.lit(0.0))).alias("total"), F.count(F.lit(1)).alias("k"))
+    return total.select(F.round(F.when(F.col("k") > 1, F.col("total") / F.col("k")), 6).alias("score"))
 
 
 def calinski_harabasz(df: DataFrame, features: Sequence[str] = RFM_FEATURES, cluster: str = "cluster") -> DataFrame:

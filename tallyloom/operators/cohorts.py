@@ -71,19 +71,13 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
 def cohort_retention_wide(sales: DataFrame, indexes: Sequence[int] | None = None) -> DataFrame:
     """Retention with one column ``m<index>`` per cohort index.
 
-    Without ``indexes`` the columns run from 1 to the span of the sales in months, found by one
-    aggregate over the dates.
+    Without ``indexes`` there is a column for each index that occurs. The long form is stored first, so the sales
+    are read once and the driver sees the distinct indexes of that small table only.
     """
+    retention = stage(cohort_retention(sales), "retention")
     if indexes is None:
-        span = (
-            _known(sales)
-            .agg(F.min("InvoiceTS").alias("a"), F.max("InvoiceTS").alias("b"))
-            .select(months_since("b", "a").alias("n"))
-            .first()["n"]
-        )
-        indexes = range(1, (span or 0) + 1)
+        indexes = sorted(r["CohortIndex"] for r in retention.select("CohortIndex").distinct().collect())
     wanted = list(indexes)
-    retention = cohort_retention(sales)
     cells = [F.max(F.when(F.col("CohortIndex") == i, F.col("Retention"))).alias(f"m{i}") for i in wanted]
     if not cells:
         return retention.select("CohortMonth").distinct()

@@ -38,13 +38,11 @@ def compute_rfm(
 
 
 def top_customers(sales: DataFrame, n: int = 10) -> DataFrame:
-    spend = (
-        sales.filter(F.col("CustomerID").isNotNull())
-        .groupBy("CustomerID")
-        .agg(money(F.sum("TotalAmount")).alias("TotalAmount"))
-    )
-    best = spend.orderBy(F.desc("TotalAmount"), "CustomerID").limit(n)
-    return best.withColumn("CustomerID", normalized_customer_id())
+    """The customers with the highest spend, ties by id. Ids are normalised first, so two spellings of one id are
+    one customer, and lines whose id is blank or unreadable belong to none."""
+    known = sales.withColumn("CustomerID", normalized_customer_id()).filter(F.col("CustomerID").isNotNull())
+    spend = known.groupBy("CustomerID").agg(money(F.sum("TotalAmount")).alias("TotalAmount"))
+    return spend.orderBy(F.desc("TotalAmount"), "CustomerID").limit(n)
 
 
 def customer_country(sales: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.columns import total_amount
-from tallyloom.functions.joins import bounded_lookup, lookup_join
+from tallyloom.functions.staging import stage
 from tallyloom.schema import DEFAULT_COUNTRIES
 
 # Countries of each region; every other country belongs to OTHER_REGION.
@@ -49,12 +49,12 @@ def add_region(df: DataFrame, dimension: DataFrame | None = None) -> DataFrame:
     """Left join on Country; unmapped and missing countries get ``Other``.
 
     The built-in mapping is a constant of 45 rows and is broadcast. A dimension table of the caller is
-    broadcast only if it turns out to be small.
+    broadcast only if Spark finds it small; else adaptive execution splits hot countries.
     """
     if dimension is None:
         joined = df.join(F.broadcast(region_dimension(df.sparkSession)), "Country", "left")
     else:
-        joined = lookup_join(df, dimension, "Country", "left")
+        joined = df.join(dimension, "Country", "left")
     return joined.na.fill({"Region": OTHER_REGION}).select(*df.columns, "Region")
 
 
@@ -88,9 +88,8 @@ def filter_domain(
     per_country = df.groupBy("Country").agg(
         F.to_date(F.min("InvoiceTS")).alias("first"), F.to_date(F.max("InvoiceTS")).alias("last")
     )
-    # read three times below, so it is evaluated once if it is as small as countries should be
-    small = bounded_lookup(per_country)
-    per_country = per_country if small is None else small
+    # read three times below, so it is stored once
+    per_country = stage(per_country, "countries")
     wanted = F.col("Country").isin(list(defaults))
     overall = per_country.agg(
         F.struct(

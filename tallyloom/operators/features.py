@@ -6,46 +6,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.functions.joins import BROADCAST_ROWS, skew_join
+from tallyloom.functions.running import running_total
+from tallyloom.functions.staging import stage
 
 
-def frequency_index(
-    df: DataFrame, column: str, out: str, max_rows: int = BROADCAST_ROWS
-) -> tuple[DataFrame, int, bool]:
-    """Labels of ``column`` numbered from 0 by descending frequency, ties by label.
+def frequency_index(df: DataFrame, column: str, out: str) -> tuple[DataFrame, int]:
+    """Labels of ``column`` numbered from 0 by descending frequency, ties by label, and their number.
 
-    Returns (labels, number of labels, whether the labels are small and marked for broadcast). A label
-    list above ``max_rows`` stays distributed: it is sorted by range and numbered partition by partition.
+    The labels are a stored table, numbered by ranges; however many there are, none passes through the driver.
     """
-    spark = df.sparkSession
-    ordered = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), column)
-        .select(F.col(column).cast("string"))
-    )
-    schema = f"`{column}` string, `{out}` double"
-    head = ordered.limit(max_rows + 1).collect()
-    if len(head) <= max_rows:
-        rows = [(row[0], float(i)) for i, row in enumerate(head)]
-        return F.broadcast(spark.createDataFrame(rows, schema)), len(rows), True
-    numbered = ordered.rdd.zipWithIndex().map(lambda pair: (pair[0][0], float(pair[1])))
-    labels = spark.createDataFrame(numbered, schema)
-    return labels, labels.count(), False
-
-
-def encode_by_frequency(
-    df: DataFrame, column: str, out: str, on_missing: str = "keep", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+    label = F.col(column).cast("string").alias(column)
+    counts = df.filter(F.col(column).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    ones = counts.select(column, "n", F.lit("").alias("all"), F.lit(1).alias("one"))
+    numbered = running_total(ones, ["all"], [F.desc("n"), F.col(column)], "one", "place", "label-ranges")
+    labels = stage(numbered.select(column, (F.col("place") - 1).cast("double").alias(out)), "labels")
+    return labels, labels.count()
+
+
+def encode_by_frequency(df: DataFrame, column: str, out: str, on_missing: str = "keep") -> DataFrame:
     """Add ``out``, the frequency rank of ``column``.
 
-    ``on_missing='keep'`` gives a NULL label the number of labels as index; ``'error'`` fails the job.
+    ``on_missing='keep'`` gives a NULL label the number of labels as index; ``'error'`` fails the job. The label
+    table's size is known, so Spark broadcasts it if small; else adaptive execution splits hot labels.
     """
     if on_missing not in ("keep", "error"):
         raise ValueError("on_missing must be 'keep' or 'error'")
-    labels, n, small = frequency_index(df, column, out, max_rows)
-    joined = df.join(labels, column, "left") if small else skew_join(df, labels, column, "left")
+    labels, n = frequency_index(df, column, out)
+    joined = df.join(labels, column, "left")
     if on_missing == "keep":
         missing: Column = F.lit(float(n))
     else:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions.columns import is_cancelled, normalized_customer_id
-from tallyloom.functions.joins import lookup_join, skew_join
+from tallyloom.functions.joins import skew_join
 from tallyloom.functions.quantiles import percentiles
+from tallyloom.functions.staging import stage
 
 
 def segment_box_stats(segments: DataFrame, value: str = "Monetary") -> DataFrame:
@@ -21,7 +22,7 @@ def segment_box_stats(segments: DataFrame, value: str = "Monetary") -> DataFrame
     inside = x.between(F.col("p25") - reach, F.col("p75") + reach)
     points = segments.select("Segment", F.col(value).cast("double").alias("x")).dropna()
     return (
-        lookup_join(points, box, "Segment")
+        points.join(box, "Segment")
         .groupBy("Segment", "p25", "p50", "p75")
         .agg(
             F.round(F.min(F.when(inside, x)), 2).alias("whisker_low"),
@@ -46,11 +47,12 @@ def cancellations_by_segment(raw: DataFrame, segments: DataFrame) -> DataFrame:
     Lines shrink to distinct (customer, invoice) pairs before the join; a customer that still owns a
     large share of them is split over several tasks.
     """
-    pairs = (
+    pairs = stage(
         raw.filter(is_cancelled())
         .select(normalized_customer_id().alias("CustomerID"), "InvoiceNo")
         .filter(F.col("CustomerID").isNotNull())
-        .distinct()
+        .distinct(),
+        "cancelled-invoices",
     )
     labels = segments.select(normalized_customer_id().alias("CustomerID"), "Segment")
     return (

@@ -151,11 +151,18 @@ def export_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def segments_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The nested documents, each field under its path."""
+    stored = stage(_documents(spark, sf), "documents")
+    paths = ["_id", "rfm.recency", "rfm.frequency", "rfm.monetary", "segment.cluster_id", "segment.label"]
+    return _r(stored.select(*[F.col(p).alias(p.replace(".", "_")) for p in paths]), 2, "rfm_monetary")
+
+
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return segment_store.segment_documents(segment_frame(spark, sf), "Cluster", "Segment")
 
 
 def segments_flatten(spark: SparkSession, sf: str) -> DataFrame:
-    documents = stage(segments_documents(spark, sf), "documents")
+    documents = stage(_documents(spark, sf), "documents")
     return _r(readers.flatten_segments(documents), 2, "Monetary")
 
 
@@ -231,10 +238,27 @@ def numeric_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, sf: str) -> DataFrame:
-    lines = raw(spark, sf)
+    lines = stage(raw(spark, sf), "raw")
     return quality.stage_counts(lines, cleaning.clean_modular(lines))
 
 
+def quality_examples(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_examples(stage(raw(spark, sf), "raw"))
+
+
+#: The months of the retention table: those that the test tables can reach.
+RETENTION_MONTHS = range(1, 81)
+
+
+def cohort_retention_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return cohorts.cohort_retention_wide(sales(spark, sf), RETENTION_MONTHS)
+
+
+def vip_share_by_country_wide(spark: SparkSession, sf: str) -> DataFrame:
+    lines = stored_sales(spark, sf, "StockCode", "Country")
+    return insights.vip_share_by_country_wide(lines, insight_of(spark, sf, lines), star.SEGMENTS)
+
+
 def kpi_sales(spark: SparkSession, sf: str) -> DataFrame:
     return trends.kpi_sales(sales(spark, sf))
 
@@ -289,12 +313,12 @@ def encode_region(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def minmax_quantity(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = features.min_max_scale(sales(spark, sf), "Quantity", "Quantity_Normalized")
+    scaled = features.min_max_scale(stage(sales(spark, sf), "sales"), "Quantity", "Quantity_Normalized")
     return _r(scaled.select(*RAW_COLUMNS, "Quantity_Normalized"), 6, "Quantity_Normalized")
 
 
 def zscore_price(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = features.z_score_scale(sales(spark, sf), {"UnitPrice": "UnitPrice_Standardized"})
+    scaled = features.z_score_scale(stage(sales(spark, sf), "sales"), {"UnitPrice": "UnitPrice_Standardized"})
     return _r(scaled.select(*RAW_COLUMNS, "UnitPrice_Standardized"), 6, "UnitPrice_Standardized")
 
 
@@ -310,7 +334,17 @@ def preprocess_monolith(spark: SparkSession, sf: str) -> DataFrame:
 
 def rfm_kmeans(spark: SparkSession, sf: str) -> DataFrame:
     run = clustering.rfm_kmeans(profiles(spark, sf), 5)
-    return clustering.label_clusters(run.assignments)
+    checked = clustering.label_clusters(clustering.check_labels(run, clustering.PROFILE_FEATURES, population=False))
+    return _labelled(checked.withColumnRenamed("segment_label", "Segment"), 5)
+
+
+def _labelled(checked: DataFrame, k: int) -> DataFrame:
+    """Each customer's figures, whether its centre is the nearest one and whether its label names the cluster.
+
+    Which cluster gets which number depends on the seeds, so the numbers are checked and not compared."""
+    fits = F.col("cluster").between(0, k - 1) & (F.col("Segment") == clustering.segment_name())
+    columns = ["CustomerID", *[F.col(f).cast("double").alias(f) for f in clustering.RFM_FEATURES]]
+    return _r(checked.withColumn("label_fits", fits).select(*columns, "is_nearest", "label_fits"), 2, "Monetary")
 
 
 def _best_of_ten(spark: SparkSession, sf: str) -> clustering.ClusterRun:
@@ -318,19 +352,54 @@ def _best_of_ten(spark: SparkSession, sf: str) -> clustering.ClusterRun:
 
 
 def kmeans_rfm3(spark: SparkSession, sf: str) -> DataFrame:
-    return _best_of_ten(spark, sf).assignments.withColumn("Segment", clustering.segment_name())
+    checked = clustering.check_labels(_best_of_ten(spark, sf), clustering.RFM_FEATURES, population=True)
+    return _labelled(checked.withColumn("Segment", clustering.segment_name()), 4)
 
 
 def kmeans_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return clustering.cluster_metrics(_best_of_ten(spark, sf))
+    """The reported measures, each one as whether it equals the figure worked out from labels and centres."""
+    run = _best_of_ten(spark, sf)
+    checked = stage(clustering.check_labels(run, clustering.RFM_FEATURES, population=True), "checked")
+    again = checked.agg(F.sum("distance").alias("d"), F.count(F.lit(1)).alias("n"), F.countDistinct("cluster").alias("c"))
+    davies = clustering.davies_bouldin(checked).groupBy().agg(F.max("score")).scalar()
+    calinski = clustering.calinski_harabasz(checked).groupBy().agg(F.max("score")).scalar()
+    metrics = clustering.cluster_metrics(run).crossJoin(F.broadcast(again))  # one row each
+    # Within and between sums of squares on standardised features add up to features times customers.
+    total = F.lit(float(len(clustering.RFM_FEATURES))) * F.col("n")
+    ratio = ((total - F.col("d")) / (F.col("k") - 1)) / (F.col("d") / (F.col("n") - F.col("k")))
+    return metrics.select(
+        F.col("k").cast("int").alias("k"),
+        F.col("n").alias("customers"),
+        (F.abs(F.col("sse") - F.col("d")) <= F.col("d") * 1e-6).alias("sse_fits"),
+        F.col("silhouette").between(-1.0, 1.0).alias("silhouette_in_range"),
+        (F.col("davies_bouldin") == davies).alias("davies_bouldin_fits"),
+        # centres are means up to the tolerance of the iterations
+        (F.abs(calinski / ratio - 1) <= 0.01).alias("calinski_harabasz_fits"),
+    )
 
 
 def cluster_centroids(spark: SparkSession, sf: str) -> DataFrame:
-    return clustering.cluster_centroids(_best_of_ten(spark, sf))
+    """Each segment's centre: whether it is the mean of its members, up to the tolerance of the iterations."""
+    run = _best_of_ten(spark, sf)
+    named = run.assignments.withColumn("Segment", clustering.segment_name())
+    centres = clustering.cluster_centroids(run)
+    means = named.groupBy("Segment").agg(*[F.avg(f).alias(f"mean_{f}") for f in clustering.RFM_FEATURES])
+    scale = run.assignments.agg(F.struct(*[F.stddev_pop(f).alias(f) for f in clustering.RFM_FEATURES])).scalar()
+    near = [
+        F.abs(F.col(f) - F.col(f"mean_{f}")) <= F.col("scale")[f] * 0.02 for f in clustering.RFM_FEATURES
+    ]
+    joined = centres.join(means, "Segment", "left").withColumn("scale", scale)
+    return joined.select("Segment", F.coalesce(near[0] & near[1] & near[2], F.lit(False)).alias("is_mean"))
 
 
 def cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    return clustering.cluster_sizes(_best_of_ten(spark, sf).assignments)
+    """The number of segments, whether none is empty, and the customers in all of them."""
+    sizes = clustering.cluster_sizes(_best_of_ten(spark, sf).assignments)
+    return sizes.agg(
+        F.count(F.lit(1)).alias("segments"),
+        (F.min("Customers") > 0).alias("none_empty"),
+        F.sum("Customers").alias("customers"),
+    )
 
 
 def davies_bouldin(spark: SparkSession, sf: str) -> DataFrame:
@@ -342,10 +411,14 @@ def calinski_harabasz(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run_summary(result: runs.RunResult, k: int) -> DataFrame:
-    """Stored profiles of a whole run, and whether each one carries a label of one of the k clusters."""
-    label_fits = F.col("Cluster").between(0, k - 1) & (F.col("Segment") == clustering.segment_name("Cluster"))
-    stored = readers.flatten_segments(result.segments).withColumn("is_labelled", label_fits)
-    return _r(stored.drop("Cluster", "Segment"), 2, "Monetary")
+    """Stored profiles of a whole run, and whether each one carries the name and number of its nearest centre."""
+    checked = clustering.check_labels(result.clusters, clustering.PROFILE_FEATURES, population=False)
+    nearest = checked.select("CustomerID", "cluster", "is_nearest").withColumnsRenamed({"cluster": "own"})
+    named = (F.col("Cluster") == F.col("own")) & (F.col("Segment") == clustering.segment_name("own"))
+    stored = readers.flatten_segments(result.segments).join(nearest, "CustomerID", "left")
+    fits = F.coalesce(F.col("is_nearest") & named & F.col("own").between(0, k - 1), F.lit(False))
+    rows = stored.withColumn("is_labelled", fits).drop("Cluster", "Segment", "own", "is_nearest")
+    return _r(rows, 2, "Monetary")
 
 
 def end_to_end_full(spark: SparkSession, sf: str) -> DataFrame:
@@ -406,7 +479,7 @@ def queries() -> dict[str, Query]:
         "cancel_trend_monthly": _on(raw, quality.cancel_trend_monthly),
         "numeric_summary": numeric_summary,
         "quality_counts": _on(raw, quality.quality_counts),
-        "quality_examples": _on(raw, quality.quality_examples),
+        "quality_examples": quality_examples,
         "stage_counts": stage_counts,
         "sales_daily": _on(sales, trends.sales_daily),
         "sales_monthly": _on(sales, trends.sales_monthly),
@@ -442,7 +515,7 @@ def queries() -> dict[str, Query]:
         "cohort_assign": cohort_assign,
         "cohort_counts": _on(sales, cohorts.cohort_counts),
         "cohort_retention": _on(sales, cohorts.cohort_retention),
-        "cohort_retention_wide": _on(sales, cohorts.cohort_retention_wide),
+        "cohort_retention_wide": cohort_retention_wide,
         "cohort_ltv": _on(sales, cohorts.cohort_ltv),
         "insight_frame": insight_frame,
         "pareto_segments": _on(insight, insights.pareto_segments),
@@ -450,6 +523,7 @@ def queries() -> dict[str, Query]:
         "vip_segment": _on(insight, insights.vip_segment),
         "vip_top_products": vip_top_products,
         "vip_share_by_country": vip_share_by_country,
+        "vip_share_by_country_wide": vip_share_by_country_wide,
         "cancellations_by_segment": cancellations_by_segment,
         "segment_monetary_box": _on(segment_frame, segments.segment_box_stats),
         "encode_country": encode_country,

@@ -309,7 +309,7 @@ def _kpi(source: str) -> str:
 
 def _run_summary(rfm: str) -> str:
     return f"""SELECT CustomerID, Recency, CAST(Frequency AS INTEGER) AS Frequency,
-        round(Monetary, 2) AS Monetary, true AS is_labelled FROM {rfm}"""
+        round(Monetary, 2) AS Monetary, true AS is_labelled FROM {rfm} WHERE trim(CustomerID) <> ''"""
 
 
 _CHURN = """
@@ -344,8 +344,9 @@ _CALINSKI = """
          (SELECT sum((x - cx) * (x - cx) + (y - cy) * (y - cy) + (z - cz) * (z - cz)) AS w
           FROM scaled JOIN centres USING (c))"""
 
-# Months between the first and the last sale of the test tables.
-_SPAN_MONTHS = 80
+_CLUSTERED = """SELECT CustomerID, CAST(Recency AS DOUBLE) AS Recency, CAST(Frequency AS DOUBLE) AS Frequency,
+    round(Monetary, 2) AS Monetary, true AS is_nearest, true AS label_fits FROM rfm WHERE trim(CustomerID) <> ''"""
+_NAMED = "(SELECT CAST(count(*) AS BIGINT) FROM rfm WHERE trim(CustomerID) <> '') AS customers"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -367,6 +368,25 @@ def oracle_sql() -> dict[str, str]:
             "FROM minimal", "FROM monolith"
         ),
         "segments_flatten": _FLAT,
+        "segments_documents": """
+            SELECT CustomerID AS _id, Recency AS rfm_recency, CAST(Frequency AS INTEGER) AS rfm_frequency,
+                   round(Monetary, 2) AS rfm_monetary, Cluster AS segment_cluster_id, Segment AS segment_label
+            FROM segs""",
+        "rfm_kmeans": _CLUSTERED,
+        "kmeans_rfm3": _CLUSTERED,
+        "kmeans_metrics": f"""
+            SELECT 4 AS k, {_NAMED}, true AS sse_fits, true AS silhouette_in_range, true AS davies_bouldin_fits,
+                   true AS calinski_harabasz_fits""",
+        "cluster_centroids": "SELECT 'Segment-' || i AS Segment, true AS is_mean FROM range(4) t(i)",
+        "cluster_sizes": f"SELECT CAST(4 AS BIGINT) AS segments, true AS none_empty, {_NAMED}",
+        "vip_share_by_country_wide": f"""
+            SELECT Country, {", ".join(f"coalesce(max(SharePct) FILTER (Segment = '{s}'), 0.0e0) AS {s}" for s in star.SEGMENTS)}
+            FROM (SELECT Country, Segment, round(Customers * 100.0e0 / sum(Customers) OVER (PARTITION BY Country), 6) AS SharePct
+                  FROM (SELECT Country, Segment, CAST(count(*) AS BIGINT) AS Customers
+                        FROM homes JOIN insight USING (CustomerID) GROUP BY 1, 2)
+                  WHERE Country IN (SELECT Country FROM homes JOIN insight USING (CustomerID)
+                                    GROUP BY Country ORDER BY count(*) DESC, Country LIMIT 10))
+            GROUP BY Country""",
         "segments_upsert": f"""
             {_FLAT.replace("FROM segs", "FROM new_store")} UNION ALL
             {_FLAT.replace("FROM segs", "FROM old_store")}
@@ -483,9 +503,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT * REPLACE (round(Monetary, 2) AS Monetary)
             FROM ({_rfm("sales", extra="max((SELECT Country_Encoded FROM codes WHERE codes.Country = sales.Country)) AS Country_Encoded,")})""",
         "top_customers": f"""
-            SELECT {n} AS CustomerID, TotalAmount
-            FROM (SELECT CustomerID, {_REVENUE} AS TotalAmount FROM sales GROUP BY 1
-                  ORDER BY 2 DESC, 1 LIMIT 10)""",
+            SELECT {n} AS CustomerID, {_REVENUE} AS TotalAmount FROM sales
+            WHERE {n} IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
         "customer_country": """
             SELECT CustomerID, arg_min(Country, row(InvoiceTS, InvoiceNo, StockCode)) AS Country
             FROM sales GROUP BY CustomerID""",
@@ -507,7 +526,7 @@ def oracle_sql() -> dict[str, str]:
         "cohort_assign": "SELECT * FROM cohort",
         "cohort_counts": "SELECT * FROM cells",
         "cohort_retention": "SELECT * FROM retention",
-        "cohort_retention_wide": _wide(_SPAN_MONTHS),
+        "cohort_retention_wide": _wide(len(catalog.RETENTION_MONTHS)),
         "cohort_ltv": f"""
             SELECT CohortMonth, {_mean('spend')} AS AvgLTV
             FROM (SELECT CohortMonth, CustomerID, sum(TotalAmount) AS spend FROM cohort GROUP BY 1, 2) GROUP BY 1""",

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tallyloom.functions.joins import lookup_join
 
 HOME = "NATION_0"
 DEFAULTS = [f"NATION_{i}" for i in range(5)]
@@ -61,6 +60,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str, country: Column | None =
     )
 
 
+#: The segment names of the customer table.
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
 def real_countries() -> Column:
     """Country expression with real names, for the built-in region mapping."""
     return F.element_at(F.array(*[F.lit(c) for c in REAL_COUNTRIES]), F.col("n_nationkey") + 1)
@@ -85,6 +88,6 @@ def fixed_segments(spark: SparkSession, sf_dir: str, rfm: DataFrame) -> DataFram
     names = customers.select("Segment").distinct()
     position = F.row_number().over(Window.orderBy("Segment")) - 1  # one row per segment name
     numbered = names.withColumn("Cluster", position)
-    return lookup_join(rfm.join(customers, "CustomerID"), numbered, "Segment").select(
+    return rfm.join(customers, "CustomerID").join(numbered, "Segment").select(
         "CustomerID", "Recency", "Frequency", "Monetary", "Cluster", "Segment"
     )

@@ -11,6 +11,7 @@ def _nullable(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 _S, _I, _D = T.StringType(), T.IntegerType(), T.DoubleType()
 
+# Columns of the raw lines and fields of the segment documents.
 RAW = _nullable(
     ("InvoiceNo", _S),
     ("StockCode", _S),

@@ -1,3 +1,5 @@
+import dataclasses
+
 import numpy as np
 import pytest
 from conftest import as_dict
@@ -116,10 +118,28 @@ def test_metrics_row(run):
     assert row["k"] == 3 and row["sse"] == run.sse and row["davies_bouldin"] < 1 < row["calinski_harabasz"]
 
 
-def test_too_many_clusters_are_refused(profiles, monkeypatch):
-    monkeypatch.setattr(clustering, "MAX_CLUSTERS", 2)
-    with pytest.raises(ValueError):
-        clustering.davies_bouldin(profiles, cluster="label")
+def test_many_clusters_have_an_index(spark):
+    random = np.random.default_rng(5)
+    labels = np.repeat(np.arange(1500), 2)
+    x = random.normal(size=(3000, 3)) * 50
+    rows = [(*map(float, row), int(label)) for row, label in zip(x, labels, strict=True)]
+    df = spark.createDataFrame(rows, "Recency double, Frequency double, Monetary double, label int")
+    score = clustering.davies_bouldin(df, cluster="label").first()["score"]
+    assert score == pytest.approx(_scores(x, labels)[0], rel=1e-5)
+
+
+def test_wrong_labels_are_seen(run):
+    good = clustering.check_labels(run, FEATURES, population=True)
+    assert good.count() == 180 and good.filter("not is_nearest").count() == 0
+    broken = run.assignments.selectExpr("CustomerID", *FEATURES, "if(CustomerID = 'c3', (cluster + 1) % 3, cluster) cluster")
+    wrong = clustering.check_labels(dataclasses.replace(run, assignments=broken), FEATURES, population=True)
+    assert [r["CustomerID"] for r in wrong.filter("not is_nearest").collect()] == ["c3"]
+
+
+def test_blank_ids_are_no_customers(spark, profiles):
+    blank = profiles.limit(2).selectExpr("if(label = 0, '  ', '') CustomerID", "Recency", "Frequency", "1e9D Monetary", "label")
+    result = clustering.kmeans_rfm3(profiles.unionByName(blank), 3, n_init=2)
+    assert result.assignments.count() == 180
 
 
 def test_labels(spark):

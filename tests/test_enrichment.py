@@ -25,14 +25,15 @@ def test_builtin_regions(spark):
     assert enrichment.region_dimension(spark, enrichment.SEED_REGIONS).count() == 5
 
 
-def test_large_dimension_takes_the_shuffle_join(spark, monkeypatch):
-    from tallyloom.functions import joins
-
+def test_large_dimension_takes_the_shuffle_join(spark):
     dimension = spark.range(50).selectExpr("concat('C', id) as Country", "concat('R', id % 3) as Region")
     df = spark.range(200).selectExpr("concat('C', id % 60) as Country", "id as x")
     small = sorted(map(tuple, enrichment.add_region(df, dimension).collect()))
-    monkeypatch.setattr(joins, "bounded_lookup", lambda lookup, max_rows: None)
-    assert sorted(map(tuple, enrichment.add_region(df, dimension).collect())) == small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, enrichment.add_region(df, dimension).collect())) == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(r[2] == "Other" for r in small) == sum(i % 60 >= 50 for i in range(200))
 
 

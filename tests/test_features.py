@@ -16,13 +16,20 @@ def df(spark):
     )
 
 
-@pytest.mark.parametrize("max_rows", [100, 1])
-def test_index_agrees_with_string_indexer(df, max_rows):
+def test_many_labels_are_numbered_in_order(spark):
+    n = 20_000
+    many = spark.range(n + 3).selectExpr("lpad(id % 20000, 6, '0') as Country")
+    labels, count = features.frequency_index(many, "Country", "i")
+    assert count == n
+    assert as_dict(labels, "Country", "i") == {f"{i:06d}": float(i) for i in range(n)}
+
+
+def test_index_agrees_with_string_indexer(df):
     indexer = StringIndexer(
         inputCol="Country", outputCol="i", handleInvalid="keep", stringOrderType="frequencyDesc"
     )
     expected = as_dict(indexer.fit(df).transform(df), "Country", "i")
-    got = features.encode_by_frequency(df, "Country", "i", max_rows=max_rows)
+    got = features.encode_by_frequency(df, "Country", "i")
     assert as_dict(got, "Country", "i") == expected == {"a": 0.0, "b": 1.0, "c": 2.0, None: 3.0}
     assert got.columns == [*df.columns, "i"] and got.count() == 6
 

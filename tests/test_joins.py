@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.functions.joins import bounded_lookup, lookup_join, skew_join
+from tallyloom.functions.joins import skew_join
+from tallyloom.functions.running import running_total
 from tallyloom.functions import staging
 from tallyloom.functions.staging import clear_stages, stage, stage_path
 
@@ -21,7 +22,7 @@ def tables(spark):
 def test_split_keys_give_the_plain_join(tables, how):
     rows, lookup = tables
     plain = sorted(map(str, rows.join(lookup, "k", how).collect()))
-    split = skew_join(rows, lookup, "k", how, salts=8, min_heavy_rows=0)
+    split = skew_join(rows, lookup, "k", how, task_rows=100)
     assert sorted(map(str, split.collect())) == plain
     assert split.columns == rows.join(lookup, "k", how).columns
 
@@ -44,7 +45,7 @@ def test_hot_key_is_spread_over_tasks(spark, tables):
         total = rows.join(lookup, "k").count()
         assert largest(rows.join(lookup, "k")) > total / 3
         # rows repeat few distinct contents, so the input partition has to do the spreading
-        assert largest(skew_join(rows, lookup, "k", salts=32, min_heavy_rows=0)) < total / 4
+        assert largest(skew_join(rows, lookup, "k", task_rows=30)) < total / 4
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
@@ -53,17 +54,26 @@ def test_hot_key_is_spread_over_tasks(spark, tables):
 def test_counts_from_the_lookup(tables):
     rows, _ = tables
     lookup = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("m"))
-    joined = skew_join(rows, lookup, "k", salts=4, min_heavy_rows=0, row_count="n")
+    joined = skew_join(rows, lookup, "k", task_rows=200, row_count="n")
     assert joined.columns == ["k", "x", "m"]
     assert joined.count() == rows.filter("k is not null").count()
 
 
-def test_size_check(spark, tables):
-    rows, lookup = tables
-    assert bounded_lookup(lookup, 29) is None
-    assert bounded_lookup(lookup, 30).count() == 30
-    for limit in (5, 100):
-        assert lookup_join(rows, lookup, "k", max_rows=limit).count() == rows.join(lookup, "k").count()
+def test_salts_grow_with_the_rows_of_a_key(spark):
+    def salts(n):
+        rows = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("x"))
+        lookup = spark.range(3).select(F.col("id").cast("int").alias("k"))
+        plan = skew_join(rows, lookup, "k", task_rows=100)
+        assert plan.count() == n
+        return rows.groupBy("k").count().select(F.ceil(F.col("count") / 100)).first()[0]
+
+    assert salts(1000) == 10 and salts(4000) == 40
+
+
+def test_running_total_over_ranges(spark):
+    df = spark.range(500).select((F.col("id") % 2).alias("g"), F.col("id").alias("v"), F.lit(3).alias("n"))
+    got = running_total(df, ["g"], [F.desc("v")], "n", "upto").collect()
+    assert len(got) == 500 and all(r["upto"] == 3 * ((499 - r["v"]) // 2 + 1) for r in got)
 
 
 def test_stages_live_in_the_shared_folder(spark):

@@ -37,10 +37,7 @@ def test_groups_and_nulls(spark):
         assert [got[name][n] for n in NAMES] == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
 
 
-def test_unbounded_groups_fall_back_to_plain_joins(spark, monkeypatch):
-    from tallyloom.functions import quantiles
-
-    monkeypatch.setattr(quantiles, "bounded_lookup", lambda df: None)
+def test_groups_join_without_a_hint(spark):
     df = spark.range(300).select((F.col("id") % 3).cast("string").alias("g"), F.col("id").cast("double").alias("x"))
     got = {r["g"]: r["p50"] for r in percentiles(df, ["x"], [0.5], by=["g"]).collect()}
     assert got == {"0": 148.5, "1": 149.5, "2": 150.5}
