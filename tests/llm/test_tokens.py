@@ -1,0 +1,69 @@
+import hashlib
+import random
+
+import pytest
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from frames import *  # noqa: F403
+from tallyloom.llm import bpe, unigram
+from tallyloom.llm.queries import tokenizer
+
+BPE, PIECES = tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
+TEXTS = [
+    "", " ", "\n\n a  b\t\tc \n", "it's we'll<|endoftext|>x  <|endoftext|> ", "x" * 3000, "\x1c\x1da\x85b c ²½ ١٢٣ 漢字",
+    "a\xa0 b 　c   \n  x 's 're", "<0x0A> <unk> ▁▁a▁b zzzz ЖЖ ԱԲ ᚠᚢ", "  leading", "trailing  ",
+]
+
+
+def test_bpe_agrees_with_the_library():
+    library, own = Tokenizer.from_file(BPE), bpe.coder_of(BPE)
+    random.seed(4)
+    alphabet = "abcdeé '\n\t.,!1200漢 s"
+    for text in TEXTS + ["".join(random.choices(alphabet, k=random.randint(1, 60))) for _ in range(300)]:
+        ids = own.encode(text)
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        assert own.decode(ids) == library.decode(ids, skip_special_tokens=False) == text
+
+
+def test_bpe_over_documents(odd_docs, no_docs, clashing):
+    library = Tokenizer.from_file(BPE)
+    rows = bpe.encode_documents(odd_docs, BPE, with_ids=True).collect()
+    texts = [r["text"] or "" for r in odd_docs.collect()]
+    assert sorted(r["decoded"] for r in rows) == sorted(texts)
+    for r in rows:
+        ids = library.encode(r["decoded"], add_special_tokens=False).ids
+        assert r["ids"] == ids and r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(r["decoded"].encode()).hexdigest()
+    assert bpe.encode_documents(no_docs, BPE).count() == 0
+    assert bpe.encode_documents(clashing, BPE).count() == len(rows)
+
+
+def test_unigram_counts_agree_with_the_library():
+    vocabulary = unigram.vocabulary_of(PIECES)
+    library = Tokenizer(models.Unigram(vocabulary, 0, True))
+    library.pre_tokenizer = pre_tokenizers.Metaspace()
+    own = unigram.UnigramCounter(vocabulary)
+    for text in TEXTS:
+        assert own.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_unigram_ties_and_gaps():
+    random.seed(2)
+    for _ in range(100):
+        pieces = {"".join(random.choices("abc▁", k=random.randint(1, 4))): -float(random.randint(0, 4)) for _ in range(12)}
+        vocabulary = [("<unk>", 0.0), *((f"<0x{i:02X}>", -9.0) for i in range(256)), *pieces.items()]
+        library = Tokenizer(models.Unigram(vocabulary, 0, True))
+        library.pre_tokenizer = pre_tokenizers.Metaspace()
+        own = unigram.UnigramCounter(vocabulary)
+        for _ in range(20):
+            text = "".join(random.choices("abcdé ", k=random.randint(1, 14)))
+            assert own.count(text) == len(library.encode(text).ids)
+
+
+@pytest.mark.parametrize("frame", ["odd_docs", "clashing", "no_docs"])
+def test_unigram_over_documents(frame, request):
+    docs = request.getfixturevalue(frame)
+    own = unigram.counter_of(PIECES)
+    got = sorted(map(tuple, unigram.count_tokens(docs, PIECES).collect()), key=str)
+    assert got == sorted(((r["doc_id"], own.count(r["text"] or "")) for r in docs.collect()), key=str)
