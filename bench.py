@@ -11,6 +11,7 @@ import os
 import statistics
 import tempfile
 import time
+import uuid
 from collections.abc import Callable
 
 import pyspark
@@ -33,6 +34,9 @@ from tallyloom.plans.runs import preprocess_modular
 from tallyloom.sources import segment_store
 
 
+REGISTERED = ["sales_monthly", "stage_counts", "minmax_quantity", "quality_examples", "numeric_summary", "cohort_assign"]
+
+
 def cases(spark: SparkSession, sf: str, work: str) -> dict[str, Callable[[], DataFrame]]:
     def stored(name: str, df: DataFrame) -> DataFrame:
         path = f"{work}/{name}"
@@ -45,7 +49,11 @@ def cases(spark: SparkSession, sf: str, work: str) -> dict[str, Callable[[], Dat
     frame = stored("segments", star.fixed_segments(spark, sf, profiles))
     insight = stored("insight", insights.insight_frame(sales, frame))
     documents = stored("documents", segment_store.segment_documents(frame, "Cluster", "Segment"))
+    batch = stored("batch", documents.where("pmod(xxhash64(_id), 3) = 0"))
     regions = star.region_table(spark, sf)
+    registered = catalog.queries()
+    coded = features.encode_by_frequency(sales, "Country", "Country_Encoded")
+    wide = stored("wide-profiles", customers.compute_rfm(coded, extra_features=["Country_Encoded"]))
     return {
         "clean_modular": lambda: cleaning.clean_modular(raw),
         "clean_dashboard": lambda: cleaning.clean_dashboard(raw, on_bad_date="null"),
@@ -75,19 +83,21 @@ def cases(spark: SparkSession, sf: str, work: str) -> dict[str, Callable[[], Dat
         "vip_share_by_country": lambda: insights.vip_share_by_country(sales, insight),
         "cancellations_by_segment": lambda: segments.cancellations_by_segment(raw, frame),
         "segment_monetary_box": lambda: segments.segment_box_stats(frame),
-        "segments_upsert": lambda: segment_store.merge_documents(documents, documents),
+        "segments_upsert": lambda: segment_store.upsert_segments(batch, f"{work}/store-{uuid.uuid4().hex}", f"{work}/documents"),
         "zscore_price": lambda: features.z_score_scale(sales, {"UnitPrice": "UnitPrice_Standardized"}),
         "preprocess_modular": lambda: preprocess_modular(raw, regions),
         "davies_bouldin": lambda: clustering.davies_bouldin(frame, cluster="Cluster"),
-        "rfm_kmeans": lambda: clustering.rfm_kmeans(profiles, 5, clustering.RFM_FEATURES).assignments,
+        "rfm_kmeans": lambda: clustering.rfm_kmeans(wide, 5).assignments,
         "kmeans_rfm3": lambda: clustering.kmeans_rfm3(profiles, 4).assignments,
+        # as registered, with the five-table join
+        **{f"query_{name}": (lambda name=name: registered[name](spark, sf)) for name in REGISTERED},
     }
 
 
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
@@ -98,7 +108,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    medians, spread = {}, {}
+    medians, spread, rows = {}, {}, {}
     with tempfile.TemporaryDirectory(prefix="bench-") as work:
         for name, build in cases(spark, sf, work).items():
             times = []
@@ -106,6 +116,7 @@ def main() -> None:
                 start = time.perf_counter()
                 build().write.format("noop").mode("overwrite").save()
                 times.append(time.perf_counter() - start)
+            rows[name] = build().count()
             medians[name] = round(statistics.median(times[1:]), 3)
             spread[name] = round(max(times[1:]) - min(times[1:]), 3)
         lines = spark.read.parquet(f"{work}/raw").count()
@@ -119,6 +130,7 @@ def main() -> None:
                 "sf": sf.rsplit("sf", 1)[-1],
                 "spread": spread,
                 "raw_lines": lines,
+                "rows": rows,
                 "runs": runs,
                 "spark": pyspark.__version__,
                 "cpus": int(cpus),

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -27,7 +30,7 @@ def stage_root(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return "/".join([stage_root(spark), *_scopes, f"{label}-{uuid.uuid4().hex}"])
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -37,8 +40,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end: consume the results (write or collect them) before."""
+    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    path = "/".join([stage_root(spark), *_scopes])
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        _delete(spark, path)
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Delete every table this application staged; call it once no result reads them any more."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+    _delete(spark, stage_root(spark))

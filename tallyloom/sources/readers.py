@@ -19,12 +19,22 @@ def read_transactions_csv(
     """Raw transaction lines with a header; quotes are doubled inside quoted fields.
 
     Malformed numbers become NULL. A file read with ``multi_line`` (line breaks inside quoted fields)
-    cannot be split over tasks, so switch it on only for such files. ``infer_schema`` costs a pass over
-    the data. UTF-8 and ISO-8859-1 files can both be split.
+    cannot be split over tasks, so switch it on only for such files; without it, a record that such a line
+    break cuts in two fails the job. ``infer_schema`` costs a pass over the data. UTF-8 and ISO-8859-1 files
+    can both be split.
     """
     reader = spark.read.options(header=True, quote='"', escape='"', encoding=encoding, multiLine=multi_line)
-    reader = reader.option("inferSchema", True) if infer_schema else reader.schema(RAW)
-    return reader.csv(path)
+    schema = reader.option("inferSchema", True).csv(path).schema if infer_schema else RAW
+    if multi_line:
+        return reader.schema(schema).csv(path)
+    # A malformed line with an odd number of quotes is one part of a record that goes on in another line.
+    marked = T.StructType([*schema.fields, T.StructField("__malformed", T.StringType())])
+    lines = reader.schema(marked).option("columnNameOfCorruptRecord", "__malformed").csv(path)
+    quotes = F.length("__malformed") - F.length(F.translate("__malformed", '"', ""))
+    place = F.coalesce(F.col(schema.fieldNames()[0]).cast("string"), F.lit("?"))
+    hint = F.concat(F.lit("a quoted field holds a line break; read the file with multi_line=True; record "), place)
+    whole = F.when(F.coalesce(quotes % 2 == 1, F.lit(False)), F.raise_error(hint).cast("boolean")).otherwise(True)
+    return lines.filter(whole).select(*schema.fieldNames())
 
 
 def read_jdbc(
@@ -36,9 +46,13 @@ def read_jdbc(
     lower_bound: int | None = None,
     upper_bound: int | None = None,
     num_partitions: int | None = None,
+    single_connection: bool = False,
 ) -> DataFrame:
-    """Database table; give the partition arguments to read it in parallel range slices."""
+    """Database table in parallel range slices of ``partition_column``, or, only if asked for by
+    ``single_connection``, in one task."""
     if partition_column is None:
+        if not single_connection:
+            raise ValueError("give the partition arguments, or single_connection=True to read in one task")
         return spark.read.jdbc(url=url, table=table, properties=dict(properties))
     return spark.read.jdbc(
         url=url,

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.joins import skew_join
 from tallyloom.functions.running import running_total
 from tallyloom.functions import staging
-from tallyloom.functions.staging import clear_stages, stage, stage_path
+from tallyloom.functions.staging import clear_stages, stage, stage_path, stage_scope
 
 
 @pytest.fixture(scope="module")
@@ -91,6 +91,15 @@ def test_clearing_removes_the_own_tables_only(spark, tmp_path, monkeypatch):
     assert [p.name for p in tmp_path.iterdir()] == ["other"]
 
 
+def test_a_scope_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "stage_root", lambda session: str(tmp_path))
+    with stage_scope(spark):
+        assert stage(spark.range(5), "outer").count() == 5
+        with stage_scope(spark):
+            assert stage(spark.range(6), "inner").count() == 6
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
     class Context:
         applicationId, master = "app-1", "spark://host:7077"

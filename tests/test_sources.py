@@ -27,6 +27,9 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text(HEADER + '1,S,"two\nlines",6,2010-12-01 08:26:00,2.5,17850,France\n', encoding="utf-8")
     assert read_transactions_csv(spark, str(path), multi_line=True).first()["Description"] == "two\nlines"
+    for infer in (False, True):
+        with pytest.raises(Exception, match="multi_line=True"):
+            read_transactions_csv(spark, str(path), infer_schema=infer).count()
 
 
 def test_latin1(spark, tmp_path):
@@ -57,6 +60,8 @@ def test_database_failures_are_raised(spark, raw):
     with pytest.raises(Exception, match="NoSuchDriver"):
         write_jdbc(raw, "t", "jdbc:none://nowhere/db", missing, num_partitions=2)
     with pytest.raises(Exception, match="NoSuchDriver"):
+        read_jdbc(spark, "t", "jdbc:none://nowhere/db", missing, single_connection=True)
+    with pytest.raises(ValueError):
         read_jdbc(spark, "t", "jdbc:none://nowhere/db", missing)
     with pytest.raises(Exception, match="NoSuchDriver"):
         read_jdbc(spark, "t", "jdbc:none://nowhere/db", missing, "id", 0, 100, 4)
