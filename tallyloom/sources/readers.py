@@ -29,7 +29,8 @@ def read_transactions_csv(
         return reader.schema(schema).csv(path)
     # A malformed line with an odd number of quotes is one part of a record that goes on in another line.
     marked = T.StructType([*schema.fields, T.StructField("__malformed", T.StringType())])
-    lines = reader.schema(marked).option("columnNameOfCorruptRecord", "__malformed").csv(path)
+    options = {"columnNameOfCorruptRecord": "__malformed", "columnPruning": False}  # a pruned line is not checked
+    lines = reader.schema(marked).options(**options).csv(path)
     quotes = F.length("__malformed") - F.length(F.translate("__malformed", '"', ""))
     place = F.coalesce(F.col(schema.fieldNames()[0]).cast("string"), F.lit("?"))
     hint = F.concat(F.lit("a quoted field holds a line break; read the file with multi_line=True; record "), place)
