@@ -23,12 +23,15 @@ RULES = {
     "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
     "shouting": "2 * n_upper > word_chars",
     "odd_word_length": "word_chars > 20 * n_words or word_chars < 2 * n_words",
+    "several_repeated_lines": "n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines",
 }
 #: Policy versions; the base policy is the part that every version contains.
 POLICIES = {
     "base": ["few_words", "repeated_windows"],
     "v1": ["few_words", "repeated_windows", "many_symbols"],
     "v2": ["few_words", "repeated_windows", "many_symbols", "repeated_lines", "shouting", "odd_word_length"],
+    # A share of very few lines says little: a notice at both ends of a short document is no repetition.
+    "v3": ["few_words", "repeated_windows", "many_symbols", "several_repeated_lines", "shouting", "odd_word_length"],
 }
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper"]
 

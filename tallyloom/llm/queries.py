@@ -97,7 +97,7 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
         *quality_rules.MEASURES,
         "failed",
         (~quality_rules.passes("base")).alias("base_failed"),
-        quality_rules.passes("v2").alias("kept"),
+        quality_rules.passes("v3").alias("kept"),
     )
 
 

@@ -53,10 +53,11 @@ judged AS (
         + CASE WHEN 4 * n_symbols > n_words THEN 4 ELSE 0 END
         + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
         + CASE WHEN 2 * n_upper > word_chars THEN 16 ELSE 0 END
-        + CASE WHEN word_chars > 20 * n_words OR word_chars < 2 * n_words THEN 32 ELSE 0 END AS bits
+        + CASE WHEN word_chars > 20 * n_words OR word_chars < 2 * n_words THEN 32 ELSE 0 END
+        + CASE WHEN n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines THEN 64 ELSE 0 END AS bits
     FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper,
-       bits::BIGINT AS failed, bits & 3 <> 0 AS base_failed, bits = 0 AS kept
+       bits::BIGINT AS failed, bits & 3 <> 0 AS base_failed, bits & 119 = 0 AS kept
 FROM judged
 """
 

@@ -80,6 +80,15 @@ def test_policies_read_the_ledger(spark, make_docs):
         assert {r["rule"] for r in quality_rules.ablations(rows, version).collect()} == set(rules)
 
 
+def test_a_notice_at_both_ends_is_no_repetition(make_docs):
+    body = " ".join(f"word{i}" for i in range(30))
+    texts = [f"the notice\n{body}\nthe notice", "\n".join(f"{body}{i}" if i % 2 else "again" for i in range(10))]
+    rows = quality_rules.ledger(make_docs(texts))
+    assert [r["doc_id"] for r in rows.where(quality_rules.passes("v2")).collect()] == []
+    bit = quality_rules.rule_bit("several_repeated_lines")
+    assert {r["doc_id"]: r["failed"] & bit for r in rows.collect()} == {0: 0, 1: bit}
+
+
 def brute_components(rows, size=5):
     sets = defaultdict(set)
     for r in rows:
