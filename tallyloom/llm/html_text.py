@@ -1,9 +1,11 @@
 """Main text of web pages by two passes of block rules.
 
-A page is cut into blocks of text between block-level tags. The first pass decides a block by where it stands
-(inside a menu, advert, form, comment list, or inside the article) and by link density, length and stop-word
-density; short blocks without such a sign stay ambiguous. The second pass gives each of them the label of the
-nearest decided block, above or below. Good blocks are joined in page order.
+A page is cut into blocks of text between block-level tags. The first pass decides a block by link density, length
+and stop-word density, on every page; blocks inside a menu, advert, form or comment list are bad. What these signs
+leave open stays ambiguous: short blocks, and in the article also long ones with many links or few stop words. The
+second pass gives an ambiguous block the label of the nearest decided block, above or below, on the same side of the
+article's border; in the article it is bad only between two bad ones. Good blocks are joined in page order, so long
+prose outside an article element counts too.
 """
 
 from __future__ import annotations
@@ -127,36 +129,52 @@ def blocks(html: str) -> list[Block]:
     return found
 
 
-def labels(page: list[Block]) -> list[bool]:
-    """Which blocks are main text."""
-    marked = any(b.main and not b.boiler for b in page)
+def _nearest(first: list[bool | None], places: list[int]) -> dict[int, list[tuple[int, bool]]]:
+    """For each undecided one of ``places``: (distance, label) of the nearest decided ones above and below it."""
+    decided = [i for i in places if first[i] is not None]
+    found, after = {}, 0
+    for i in places:
+        while after < len(decided) and decided[after] < i:
+            after += 1
+        if first[i] is None:
+            found[i] = [(abs(decided[j] - i), first[decided[j]]) for j in (after - 1, after) if 0 <= j < len(decided)]
+    return found
+
+
+def first_pass(page: list[Block]) -> list[bool | None]:
+    """What length, links and stop words say of each block, and boilerplate tags; None if that is too little."""
     first: list[bool | None] = []
     for b in page:
         found = _WORD.findall(b.text.lower())
         stops = sum(w in STOP_WORDS for w in found) / max(len(found), 1)
         if b.boiler:
             first.append(False)
-        elif marked:
-            # Menus inside the article are boilerplate, all else in it is text; outside it nothing is.
-            first.append(b.main and not (b.linked > MANY_LINKS * len(b.text) and len(found) < SHORT))
         elif b.linked > MANY_LINKS * len(b.text):
-            first.append(False)
+            first.append(None if b.main and len(found) >= SHORT else False)
         elif len(found) >= SHORT and stops >= STOPS_HIGH or len(found) >= LONG and stops >= STOPS_LOW:
             first.append(True)
-        elif len(found) >= LONG:
+        elif len(found) >= LONG and not b.main:
             first.append(False)
         else:
             first.append(None)
-    decided = [i for i, label in enumerate(first) if label is not None]
-    result, after = [], 0
-    for i, label in enumerate(first):
-        while after < len(decided) and decided[after] < i:
-            after += 1
-        if label is None:
-            # The nearer one wins, a good one among equals; a page without any decided block is all text.
-            near = [(abs(decided[j] - i), not first[decided[j]]) for j in (after - 1, after) if 0 <= j < len(decided)]
-            label = not min(near)[1] if near else True
-        result.append(bool(label))
+    return first
+
+
+def labels(page: list[Block]) -> list[bool]:
+    """Which blocks are main text."""
+    first = first_pass(page)
+    marked = any(b.main and not b.boiler for b in page)
+    result = [bool(label) for label in first]
+    for inside in (True, False):
+        # An advert within the article says nothing of the blocks beside it.
+        places = [i for i, b in enumerate(page) if b.main == inside and not (inside and b.boiler)]
+        for i, near in _nearest(first, places).items():
+            if inside:
+                # The article speaks for its blocks, unless bad ones stand both above and below.
+                result[i] = len(near) < 2 or any(good for _, good in near)
+            else:
+                # The nearer one wins, a good one among equals; without any, all is text, or all in the article.
+                result[i] = min(near, key=lambda x: (x[0], not x[1]))[1] if near else not marked
     return result
 
 

@@ -91,6 +91,31 @@ def test_blocks_without_an_article():
     ]
 
 
+PROSE = "the cat sat on the mat and it was in the house with the dog " * 3
+
+
+def test_text_outside_the_article_element():
+    rest = f"<h2>More</h2><p>{PROSE}</p><p>Short one.</p>"
+    html = f"<nav>Home</nav><p>By me</p><article><p>A teaser.</p></article>{rest}<footer>&copy; x</footer>"
+    assert main_text(html).split("\n\n") == ["A teaser.", "More", PROSE.strip(), "Short one."]
+
+
+def test_blocks_inside_the_article_are_judged():
+    links = "<p><a href=x>one</a> <a href=y>two</a></p>"
+    spam = "<p>" + "buy cheap shoes " * 12 + "</p>"
+    html = f"<article><div class='ad'>Buy</div><h1>Title</h1><div class='share'>Share</div><p>{PROSE}</p>"
+    html += f"{links}<p>Read on</p>{spam}{links}<p>{PROSE}</p><p>End</p></article>{spam}<p>x</p>"
+    assert main_text(html).split("\n\n") == ["Title", PROSE.strip(), PROSE.strip(), "End"]
+
+
+def test_article_text_of_all_pages(spark):
+    """The given pages have their text in one article element, none of it in menus, and nothing else outside."""
+    for row in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").toLocalIterator():
+        start = row["html"].index("<article>")
+        inside = blocks(row["html"][start : row["html"].index("</article>", start)])
+        assert main_text(row["html"]) == "\n\n".join(b.text for b in inside)
+
+
 def test_extraction_over_pages(spark, pages):
     rows = extract_text(pages.withColumn("text", F.lit("clash"))).collect()
     assert len(rows) == pages.count() and all(r["n_chars"] == len(r["text"]) for r in rows)
