@@ -6,6 +6,8 @@ leave open stays ambiguous: short blocks, and in the article also long ones with
 second pass gives an ambiguous block the label of the nearest decided block, above or below, on the same side of the
 article's border; in the article it is bad only between two bad ones. Good blocks are joined in page order, so long
 prose outside an article element counts too.
+
+The stop words are those of English, French, German and Spanish. On a page in another language they do not count.
 """
 
 from __future__ import annotations
@@ -54,6 +56,8 @@ _TOKEN = re.compile(
     re.I | re.S,
 )
 _WORD = re.compile(r"[^\W\d_]+")
+#: Letters of Thai, Lao, Burmese and Khmer, kana, and Chinese characters.
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
 
 
 @dataclass
@@ -141,19 +145,35 @@ def _nearest(first: list[bool | None], places: list[int]) -> dict[int, list[tupl
     return found
 
 
+def _words(text: str) -> tuple[int, float]:
+    """The number of words, in scripts without spaces two letters each, and the share of them on the list."""
+    found = _WORD.findall(text.lower())
+    n = len(found) if text.isascii() else len(found) + len(_UNSPACED.findall(text)) // 2
+    return n, sum(w in STOP_WORDS for w in found) / max(n, 1)
+
+
 def first_pass(page: list[Block]) -> list[bool | None]:
-    """What length, links and stop words say of each block, and boilerplate tags; None if that is too little."""
+    """What length, links and stop words say of each block, and boilerplate tags; None if that is too little.
+
+    The list fits a page if blocks with its words hold at least as many words as those almost without. Where it does
+    not fit, because the page is in another language, length alone makes a block with few links text.
+    """
+    counted = [(0, 0.0) if b.boiler else _words(b.text) for b in page]
+    linked = [b.linked > MANY_LINKS * len(b.text) for b in page]
+    known = strange = 0
+    for (n, stops), links in zip(counted, linked, strict=True):
+        if n >= SHORT and not links:
+            known, strange = (known + n, strange) if stops >= STOPS_LOW else (known, strange + n)
+    fits = known >= strange or strange < LONG
     first: list[bool | None] = []
-    for b in page:
-        found = _WORD.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in found) / max(len(found), 1)
+    for b, (n, stops), links in zip(page, counted, linked, strict=True):
         if b.boiler:
             first.append(False)
-        elif b.linked > MANY_LINKS * len(b.text):
-            first.append(None if b.main and len(found) >= SHORT else False)
-        elif len(found) >= SHORT and stops >= STOPS_HIGH or len(found) >= LONG and stops >= STOPS_LOW:
+        elif links:
+            first.append(None if b.main and n >= SHORT else False)
+        elif n >= SHORT and (stops >= STOPS_HIGH or not fits and stops < STOPS_LOW) or n >= LONG and stops >= STOPS_LOW:
             first.append(True)
-        elif len(found) >= LONG and not b.main:
+        elif n >= LONG and not b.main:
             first.append(False)
         else:
             first.append(None)

@@ -108,6 +108,23 @@ def test_blocks_inside_the_article_are_judged():
     assert main_text(html).split("\n\n") == ["Title", PROSE.strip(), PROSE.strip(), "End"]
 
 
+RUSSIAN = "утром над рекой поднялся густой туман а старый паромщик молча смотрел как вода уносит последние жёлтые листья "
+CHINESE = "清晨河面上升起浓雾老船夫默默看着流水带走最后几片黄叶他想起很多年前离开家乡的那个早晨母亲站在门口没有说话"
+
+
+@pytest.mark.parametrize("text", [RUSSIAN * 3, RUSSIAN, CHINESE])
+def test_pages_in_other_languages(text):
+    notice = f"<p>{PROSE[:70]}</p>" if text == RUSSIAN * 3 else ""
+    paragraphs = f"<p>{text}</p>" * 3 + "<p>Да</p>"
+    html = f"<nav><a href=x>Home</a></nav>{paragraphs}{notice}<footer>x</footer>"
+    assert main_text(html).split("\n\n")[:4] == [*[text.strip()] * 3, "Да"]
+
+
+def test_keywords_on_a_page_in_a_listed_language():
+    spam = "<p>" + "buy cheap shoes " * 12 + "</p>"
+    assert main_text(f"<p>{PROSE}</p><p>{PROSE}</p>{spam}") == f"{PROSE.strip()}\n\n{PROSE.strip()}"
+
+
 def test_article_text_of_all_pages(spark):
     """The given pages have their text in one article element, none of it in menus, and nothing else outside."""
     for row in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").toLocalIterator():
