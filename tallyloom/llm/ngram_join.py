@@ -12,7 +12,8 @@ can be similar share a band. In the smallest bands frequent tokens sign alone.
 
 Candidates are verified on whole sets. First each set is compared with one partner, the smallest of a signature
 it shares most with; what that links becomes one component, and then only pairs across components remain. Equal
-sets are one node throughout, so a group of copies is never paired with itself.
+sets are one node throughout, so a group of copies is never paired with itself. ``similar_pairs`` verifies all
+candidates and gives every link.
 """
 
 from __future__ import annotations
@@ -348,7 +349,37 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def _meeting(rest: DataFrame, settled: str) -> DataFrame:
+    """Plausible pairs (a, b) of nodes that share a signature, but for those of which ``settled`` holds; ``rest`` are
+    postings with the bitmaps of their nodes."""
+    a = rest.select("signature", *[F.col(c).alias(f"{c}_a") for c in rest.columns if c != "signature"])
+    b = rest.select("signature", *[F.col(c).alias(f"{c}_b") for c in rest.columns if c != "signature"])
+    # Tokens in one set only flip a bit each, so sets differ in at least as many tokens as their bitmaps in bits.
+    # Only unsettled sets whose sizes and bitmaps allow similarity meet here.
+    differing = " + ".join(f"bit_count(w{k}_a ^ w{k}_b)" for k in range(BITMAP_WORDS))
+    across = a.join(
+        b,
+        (a["signature"] == b["signature"])
+        & F.expr(f"node_a < node_b and not ({settled})")
+        & F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+        & F.expr(f"{differing} <= n_a + n_b - 2 * {_overlap_bound('n_a', 'n_b')}"),
+    )
+    pairs = across.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
+        F.max("n_a").alias("n_a"),
+        F.max("n_b").alias("n_b"),
+        F.max(F.greatest("kind_a", "kind_b")).alias("kind"),
+        F.count(F.lit(1)).alias("shared"),
+    )
+    return _plausible(pairs).select("a", "b")
+
+
+def _verify(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return stage(_verified(pairs, stage(_sets(docs, nodes, size), "sets")), "links")
+
+
 def _links(docs: DataFrame, postings: DataFrame, size: int) -> DataFrame:
+    """Enough similar pairs (a, b) to connect every component."""
     firsts = postings.groupBy("signature").agg(F.min_by(F.struct("node", "n", "kind"), "node").alias("p"), F.count(F.lit(1)).alias("held"))
     pivots = stage(firsts.where("held > 1").select("signature", "p"), "pivots")
     met = postings.join(pivots, "signature").where("node <> p.node")
@@ -360,12 +391,7 @@ def _links(docs: DataFrame, postings: DataFrame, size: int) -> DataFrame:
     )
     best = _plausible(counted).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
     chosen = stage(best.select("a", "b"), "first-pairs")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        return stage(_verified(pairs, stage(_sets(docs, nodes, size), "sets")), "links")
-
-    linked = verify(chosen)
+    linked = _verify(docs, chosen, size)
     found = components(linked)
     placed = postings.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stage(placed, "placed")
@@ -375,26 +401,35 @@ def _links(docs: DataFrame, postings: DataFrame, size: int) -> DataFrame:
         return linked
     bitmaps = _bitmaps(docs, rest.select("node").distinct(), size)
     rest = stage(rest.join(bitmaps, "node"), "unsettled-bits")
-    a = rest.select("signature", *[F.col(c).alias(f"{c}_a") for c in rest.columns if c != "signature"])
-    b = rest.select("signature", *[F.col(c).alias(f"{c}_b") for c in rest.columns if c != "signature"])
-    # Tokens in one set only flip a bit each, so sets differ in at least as many tokens as their bitmaps in bits.
-    # Only sets of different components whose sizes and bitmaps allow similarity meet here.
-    differing = " + ".join(f"bit_count(w{k}_a ^ w{k}_b)" for k in range(BITMAP_WORDS))
-    across = a.join(
-        b,
-        (a["signature"] == b["signature"])
-        & F.expr("node_a < node_b and component_a <> component_b")
-        & F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
-        & F.expr(f"{differing} <= n_a + n_b - 2 * {_overlap_bound('n_a', 'n_b')}"),
-    )
-    pairs = across.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
-        F.max("n_a").alias("n_a"),
-        F.max("n_b").alias("n_b"),
-        F.max(F.greatest("kind_a", "kind_b")).alias("kind"),
-        F.count(F.lit(1)).alias("shared"),
-    )
-    left = stage(_plausible(pairs).select("a", "b").join(chosen, ["a", "b"], "left_anti"), "second-pairs")
-    return linked if left.isEmpty() else linked.unionByName(verify(left))
+    pairs = _meeting(rest, "component_a = component_b")
+    left = stage(pairs.join(chosen, ["a", "b"], "left_anti"), "second-pairs")
+    return linked if left.isEmpty() else linked.unionByName(_verify(docs, left, size))
+
+
+def _indexed(docs: DataFrame, prints: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """The node of each document with a set, (doc_id, n, node), and the postings of the nodes."""
+    named = prints.where("doc_id is not null and n > 0")
+    classes = stage(named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node")), "classes")
+    members = stage(named.join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "node"), "members")
+    total = named.agg(F.sum("n")).first()[0] or 0
+    frequent, bits = frequent_tokens(docs, total, size)
+    return members, stage(_postings(_entries(docs, size, frequent, bits), members), "postings")
+
+
+def similar_pairs(docs: DataFrame, size: int = 5) -> DataFrame:
+    """Every link between different sets: rows (a, b), a < b, of Jaccard similarity 0.8 or more, where documents with
+    equal sets are named by their smallest id.
+
+    The result itself grows with the square of a group of near copies; ``similar_documents`` does without. Rows
+    without an id or without words have no link; rows that share an id should share their text.
+    """
+    docs = docs.select("doc_id", "text").where("doc_id is not null")
+    _, postings = _indexed(docs, stage(_fingerprints(docs, size), "fingerprints"), size)
+    shared = postings.groupBy("signature").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    rest = stage(postings.join(shared.select("signature"), "signature", "left_semi"), "shared")
+    bitmaps = _bitmaps(docs, rest.select("node").distinct(), size)
+    pairs = stage(_meeting(stage(rest.join(bitmaps, "node"), "shared-bits"), "false"), "pairs")
+    return _verify(docs, pairs, size)
 
 
 def similar_documents(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -406,15 +441,10 @@ def similar_documents(docs: DataFrame, size: int = 5) -> DataFrame:
     their text, else each row is judged by its own. Words, shingles and sets are compared by 64-bit hashes (sets
     by two). Other columns are ignored.
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     prints = stage(_fingerprints(docs, size), "fingerprints")
-    named, docs = prints.where("doc_id is not null and n > 0"), docs.where("doc_id is not null")
-    classes = stage(named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node")), "classes")
-    members = stage(named.join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "node"), "members")
-    total = named.agg(F.sum("n")).first()[0] or 0
-    frequent, bits = frequent_tokens(docs, total, size)
-    postings = stage(_postings(_entries(docs, size, frequent, bits), members), "postings")
+    docs = docs.where("doc_id is not null")
+    members, postings = _indexed(docs, prints, size)
     found = stage(components(_links(docs, postings, size)), "components")
     placed = members.join(found, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component_id"))
     alone = prints.where("doc_id is null or n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))

@@ -133,6 +133,30 @@ def test_similar_documents(copies, monkeypatch, limit):
     assert got == brute_components(copies.collect())
 
 
+def brute_pairs(rows, size=5):
+    first, sets = {}, {}
+    for r in sorted((r for r in rows if r["doc_id"] is not None), key=lambda r: r["doc_id"]):
+        words = re.findall(r"[^\x20\x09-\x0D]+", (r["text"] or "").translate(LOWER))
+        grams = frozenset(tuple(words[i : i + size]) for i in range(max(len(words) - size, 0) + 1)) if words else frozenset()
+        if grams and first.setdefault(grams, r["doc_id"]) == r["doc_id"]:
+            sets[r["doc_id"]] = grams
+    return sorted((a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+
+
+@pytest.mark.parametrize("limit", [50, 4, 1])
+def test_similar_pairs_are_all_links(copies, monkeypatch, limit):
+    monkeypatch.setattr(ngram_join, "FREQUENT", limit)
+    expected = brute_pairs(copies.collect())
+    assert sorted(map(tuple, ngram_join.similar_pairs(copies).collect())) == expected
+    linked = {x for pair in expected for x in pair}
+    assert len(expected) > len(linked)  # far more links than a component needs
+
+
+def test_similar_pairs_of_odd_rows(odd_docs, no_docs):
+    assert sorted(map(tuple, ngram_join.similar_pairs(odd_docs).collect())) == brute_pairs(odd_docs.collect())
+    assert ngram_join.similar_pairs(no_docs).count() == 0
+
+
 @pytest.mark.parametrize("frame", ["odd_docs", "clashing"])
 def test_similar_documents_odd_rows(frame, request):
     docs = request.getfixturevalue(frame)
