@@ -46,8 +46,7 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of the benchmark."""
     ship_package(spark)
-    hits = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.without_hits(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

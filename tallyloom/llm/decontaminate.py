@@ -229,3 +229,19 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         results.append(narrow.mapInArrow(run, SCHEMA))
     return reduce(DataFrame.unionByName, results) if results else spark.createDataFrame([], SCHEMA)
+
+
+def without_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows without any occurrence of a benchmark item, each judged by its own text, with or without an id."""
+    for block in _blocks(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            block = sent.value
+            for batch in slices(batches, "text", SLICE):
+                texts = [normalized(t) for t in batch.column("text").to_pylist()]
+                hit = {match[0] for match in _matches(block, texts)}
+                yield batch.filter(pa.array([t not in hit for t in range(len(texts))], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -63,3 +63,12 @@ def test_stages_handle_odd_rows(spark, odd_docs, no_docs):
         assert out.count() <= odd_docs.count() and function(spark, no_docs, SMALL).count() == 0
         if name != "encode":
             assert out.columns == odd_docs.columns
+
+
+def test_benchmark_passages_leave_without_an_id_too(spark, make_docs):
+    passage = spark.read.parquet(f"{SMALL}/benchmark.parquet").first()["text"]
+    leak = f"before {passage} after"
+    docs = make_docs(["clean", leak], [(None, leak, "en", "s", 1), (None, "clean too", None, None, None), (0, leak, "en", "s", 1)])
+    kept = corpus_pipeline.drop_benchmark(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == [(0, "clean"), (None, "clean too")]
