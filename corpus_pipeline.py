@@ -35,12 +35,10 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones, that with the smallest id; documents without an id stay."""
+    """One document of each group of similar ones, that with the smallest id; documents without an id stay. Rows that
+    share an id but not the text are documents of their own."""
     ship_package(spark)
-    groups = ngram_join.similar_documents(docs)
-    first = groups.where("doc_id = component_id").select("doc_id")
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    return ngram_join.one_of_each(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

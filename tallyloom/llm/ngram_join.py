@@ -27,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyloom.functions.joins import skew_join
 from tallyloom.functions.staging import stage
 from tallyloom.llm.components import components
 from tallyloom.llm.tables import slices
@@ -416,36 +417,95 @@ def _indexed(docs: DataFrame, prints: DataFrame, size: int) -> tuple[DataFrame,
     return members, stage(_postings(_entries(docs, size, frequent, bits), members), "postings")
 
 
+def _digest(text: str = "text"):
+    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+
+
+def _names(docs: DataFrame, prints: DataFrame) -> DataFrame | None:
+    """(doc_id, digest, name): a number for each text of each id, in the order of ids, if an id has texts with
+    different sets; None if the ids can stand for their texts."""
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("n", "f1", "f2") for f in (F.min, F.max)]
+    spans = prints.where("doc_id is not null").groupBy("doc_id").agg(*ends)
+    if spans.where("min_n < max_n or min_f1 < max_f1 or min_f2 < max_f2").isEmpty():
+        return None
+    texts = docs.where("doc_id is not null").select("doc_id", _digest().alias("digest")).distinct()
+    return stage(texts.orderBy("doc_id", "digest").withColumn("name", F.monotonically_increasing_id()), "names")
+
+
+def _named(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Documents whose id is that of one set, their fingerprints, and the names that stand for their ids, if any."""
+    docs = docs.select("doc_id", "text")
+    prints = stage(_fingerprints(docs, size), "fingerprints")
+    names = _names(docs, prints)
+    if names is None:
+        return docs, prints, None
+    named = docs.withColumn("digest", _digest()).join(names, ["doc_id", "digest"], "left")
+    docs = stage(named.select(F.col("name").alias("doc_id"), "text"), "named")
+    return docs, stage(_fingerprints(docs, size), "fingerprints"), names
+
+
 def similar_pairs(docs: DataFrame, size: int = 5) -> DataFrame:
-    """Every link between different sets: rows (a, b), a < b, of Jaccard similarity 0.8 or more, where documents with
+    """Every link between different sets: rows (a, b), a <= b, of Jaccard similarity 0.8 or more, where documents with
     equal sets are named by their smallest id.
 
     The result itself grows with the square of a group of near copies; ``similar_documents`` does without. Rows
-    without an id or without words have no link; rows that share an id should share their text.
+    without an id or without words have no link. Rows that share an id but not the text are documents of their own;
+    a link between two of them has a = b.
     """
-    docs = docs.select("doc_id", "text").where("doc_id is not null")
-    _, postings = _indexed(docs, stage(_fingerprints(docs, size), "fingerprints"), size)
+    docs, prints, names = _named(docs, size)
+    docs = docs.where("doc_id is not null")
+    _, postings = _indexed(docs, prints, size)
     shared = postings.groupBy("signature").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     rest = stage(postings.join(shared.select("signature"), "signature", "left_semi"), "shared")
     bitmaps = _bitmaps(docs, rest.select("node").distinct(), size)
     pairs = stage(_meeting(stage(rest.join(bitmaps, "node"), "shared-bits"), "false"), "pairs")
-    return _verify(docs, pairs, size)
+    links = _verify(docs, pairs, size)
+    for end in ("a", "b") if names is not None else ():
+        known = names.select(F.col("name").alias(end), "doc_id")
+        links = skew_join(links, known, end).withColumn(end, F.col("doc_id")).drop("doc_id")
+    return links.select("a", "b")
 
 
-def similar_documents(docs: DataFrame, size: int = 5) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles`` (size of its set of ``size``-word shingles) and
-    ``component_id``, the smallest id it reaches over links of Jaccard similarity 0.8 or more.
-
-    Null and empty texts and texts without words have an empty set and are linked with nothing. Rows without an id
-    keep their count and have no component. Repeated rows give repeated rows; rows that share an id should share
-    their text, else each row is judged by its own. Words, shingles and sets are compared by 64-bit hashes (sets
-    by two). Other columns are ignored.
-    """
-    docs = docs.select("doc_id", "text")
-    prints = stage(_fingerprints(docs, size), "fingerprints")
+def _placed(docs: DataFrame, prints: DataFrame, size: int) -> DataFrame:
     docs = docs.where("doc_id is not null")
     members, postings = _indexed(docs, prints, size)
     found = stage(components(_links(docs, postings, size)), "components")
     placed = members.join(found, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component_id"))
     alone = prints.where("doc_id is null or n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return placed.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def similar_documents(docs: DataFrame, size: int = 5) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles`` (size of its set of ``size``-word shingles) and
+    ``component_id``, the smallest id it reaches over links of Jaccard similarity 0.8 or more.
+
+    Null and empty texts and texts without words have an empty set and are linked with nothing. Rows without an id
+    keep their count and have no component. Repeated rows give repeated rows. Rows that share an id but not the text
+    are documents of their own, which link by their own texts; two components may then have the same id, as
+    ``one_of_each`` knows. Words, shingles and sets are compared by 64-bit hashes (sets by two). Other columns are
+    ignored.
+    """
+    docs, prints, names = _named(docs, size)
+    placed = _placed(docs, prints, size)
+    if names is None:
+        return placed
+    rows = stage(placed.withColumnRenamed("doc_id", "name"), "placed-names")
+    own = rows.join(names.select("name", "doc_id"), "name", "left").drop("name")
+    smallest = names.select(F.col("name").alias("component_id"), F.col("doc_id").alias("smallest"))
+    return skew_join(stage(own, "own-names"), smallest, "component_id", "left").select(
+        "doc_id", "n_shingles", F.col("smallest").alias("component_id")
+    )
+
+
+def one_of_each(docs: DataFrame, size: int = 5) -> DataFrame:
+    """One row of each component, that with the smallest id, and all rows without an id; all columns."""
+    named, prints, names = _named(docs, size)
+    first = _placed(named, prints, size).where("doc_id = component_id").select("doc_id")
+    if names is None:
+        kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    else:
+        chosen = names.join(first.select(F.col("doc_id").alias("name")), "name", "left_semi")
+        chosen = chosen.select("doc_id", F.col("digest").alias("__digest"))
+        marked = docs.withColumn("__digest", _digest()).join(chosen, ["doc_id", "__digest"], "left_semi")
+        kept = marked.dropDuplicates(["doc_id", "__digest"])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -170,6 +170,24 @@ def test_similar_documents_odd_rows(frame, request):
             assert (r["n_shingles"], r["component_id"]) == expected[r["doc_id"]]
 
 
+def test_rows_that_share_an_id_but_not_the_text(make_docs):
+    random.seed(12)
+    a, b, c = (" ".join(random.choices("abcdefghijklmnop", k=120)) for _ in range(3))
+    near = lambda text: text + " x"
+    rows = [(5, a), (5, b), (5, b), (5, ""), (3, near(a)), (7, near(b)), (3, c), (9, near(c)), (None, a), (1, "alone")]
+    docs = make_docs([], [(i, t, "en", "s", len(t)) for i, t in rows])
+    got = ngram_join.similar_documents(docs).collect()
+    place = {(5, a): 3, (5, b): 5, (5, ""): 5, (3, near(a)): 3, (7, near(b)): 5, (3, c): 3, (9, near(c)): 3, (1, "alone"): 1}
+    size = lambda text: min(len(text), max(1, len({tuple(text.split()[k : k + 5]) for k in range(len(text.split()) - 4)})))
+    expected = [(i, size(t), place.get((i, t))) for i, t in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+    assert sorted(map(tuple, ngram_join.similar_pairs(docs).collect())) == [(3, 5), (3, 9), (5, 7)]
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    expected = [(3, near(a)), (5, b), (5, ""), (3, c), (None, a), (1, "alone")]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(expected, key=str)
+
+
 def test_similar_documents_of_none(no_docs):
     assert ngram_join.similar_documents(no_docs).count() == 0
 
