@@ -62,6 +62,7 @@ class Block:
     items: np.ndarray
     places: np.ndarray
     present: np.ndarray  # by the leading bits of a hash
+    short: dict[int, dict[str, list[int]]]  # items without a q-gram: length, text, numbers
 
     @staticmethod
     def of(ids: list, texts: list[str]) -> Block:
@@ -74,7 +75,27 @@ class Block:
         grams, first = np.unique(every[order], return_index=True)
         present = np.zeros(1 << FILTER_BITS, bool)
         present[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        return Block(ids, codes, grams, np.append(first, len(every)), items[order], places[order], present)
+        short: dict[int, dict[str, list[int]]] = {}
+        for i, text in enumerate(texts):
+            if 0 < len(text) < Q:
+                short.setdefault(len(text), {}).setdefault(text, []).append(i)
+        return Block(ids, codes, grams, np.append(first, len(every)), items[order], places[order], present, short)
+
+    def short_matches(self, text: str) -> Iterator[tuple[int, int, int]]:
+        """(item, start, end) of the items of fewer than Q characters, letter by letter, without overlaps of one item."""
+        letters = _codes(text).astype(np.uint64)
+        for size, items in self.short.items():
+            if len(text) < size:
+                continue
+            powers = np.array([pow(_POWER, k, 1 << 64) for k in range(size)], np.uint64)
+            hashes = sum(letters[k : len(text) - size + 1 + k] * powers[k] for k in range(size))
+            wanted = [np.sum(_codes(t).astype(np.uint64) * powers, dtype=np.uint64) for t in items]
+            free: dict[int, int] = {}
+            for start in np.flatnonzero(np.isin(hashes, np.array(wanted, np.uint64))).tolist():
+                for item in items.get(text[start : start + size], ()):
+                    if start >= free.get(item, 0):
+                        free[item] = start + size
+                        yield item, start, start + size
 
     def regions(self, codes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int]]:
         """(text, item, first diagonal) of the bands that meet the bound; ``bounds`` are the texts' first places."""
@@ -182,13 +203,17 @@ def _matches(block: Block, texts: list[str]) -> Iterator[tuple[int, int, int, in
             if all(end <= a or start >= b for a, b in taken):
                 taken.append((start, end))
                 yield text, item, start, end, edits
+    if block.short:
+        for number, text in enumerate(texts):
+            for item, start, end in block.short_matches(text):
+                yield number, item, start, end, 0
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     ids, texts, size = [], [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
         text = normalized(row["text"])
-        if len(text) < Q:
+        if not text:
             continue
         ids.append(row["item_id"])
         texts.append(text)
@@ -208,7 +233,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the normalised document, and ``edits``, at most a tenth of the item's characters.
 
     Null and empty texts and documents shorter than an item have none; items of fewer than 8 normalised characters
-    have no q-gram and are not searched. Repeated rows give repeated hits; empty tables give none. Other columns
+    have no q-gram and are searched letter by letter, without edits. Repeated rows give repeated hits; empty tables give none. Other columns
     are ignored.
     """
     spark = docs.sparkSession

@@ -241,6 +241,14 @@ def test_benchmark_hits_equal_full_alignment(spark, make_docs):
     assert best == expected and len(expected) > 20
 
 
+def test_short_benchmark_items_are_found(spark, make_docs):
+    items = [(0, "Aa"), (1, "b"), (2, "seven c"), (3, " "), (4, "aa"), (5, "é😀")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    hits = decontaminate.benchmark_hits(make_docs(["aaaaa b", "x  Seven\nC", "b", "", None, "qé😀q"]), bench).collect()
+    expected = [(0, i, s, s + 2, 0) for i in (0, 4) for s in (0, 2)] + [(0, 1, 6, 7, 0), (1, 2, 2, 9, 0), (2, 1, 0, 1, 0), (5, 5, 1, 3, 0)]
+    assert sorted(map(tuple, hits)) == sorted(expected)
+
+
 def test_benchmark_blocks_and_empty_tables(spark, odd_docs, no_docs, monkeypatch):
     bench = spark.createDataFrame([(i, f"{r}") for i, r in enumerate(["aer3 completely other words", "one two three four"])], "item_id long, text string")
     whole = sorted(map(tuple, decontaminate.benchmark_hits(odd_docs, bench).collect()))
