@@ -19,7 +19,7 @@ def _moved(rows: DataFrame, column: str, pointers: DataFrame) -> DataFrame:
     return joined.withColumn(column, F.coalesce("_parent", column)).drop("_node", "_parent")
 
 
-def _roots(pointers: DataFrame) -> DataFrame:
+def roots(pointers: DataFrame) -> DataFrame:
     """Pointers (node, parent) with parent < node, followed to the ends."""
     while True:
         jumped = pointers.select("node", F.col("parent").alias("old"), "parent")
@@ -37,7 +37,7 @@ def components(links: DataFrame) -> DataFrame:
     while not links.isEmpty():
         ways = links.select(F.explode(F.expr("array(struct(a as node, b as near), struct(b as node, a as near))")).alias("x"))
         hooks = ways.select("x.*").groupBy("node").agg(F.min("near").alias("parent")).where("parent < node")
-        pointers = _roots(stage(hooks, "hooks"))
+        pointers = roots(stage(hooks, "hooks"))
         labels = stage(_moved(labels, "component", pointers), "labels")
         links = stage(_moved(_moved(links, "a", pointers), "b", pointers).where("a <> b").distinct(), "links")
     return labels

@@ -11,12 +11,15 @@ from tallyloom.functions.staging import stage_path
 from tallyloom.llm import (
     bpe,
     decontaminate,
+    fill_middle,
     html_text,
     line_crf,
     line_dedup,
     ngram_join,
+    pivot_search,
     quality_rules,
     reshard,
+    spelling,
     unigram,
     warc,
 )
@@ -105,6 +108,18 @@ def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return fill_middle.fill_middle(table(spark, sf, "documents"), with_texts=False)
+
+
+def op12_topk_search(spark: SparkSession, sf: str) -> DataFrame:
+    return pivot_search.top_inner_products(table(spark, sf, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -118,6 +133,9 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_quality_rules,
         op10_ngram_join,
+        op11_fill_middle,
+        op12_topk_search,
+        op13_spelling_variants,
     )
 }
 

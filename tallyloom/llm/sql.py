@@ -61,6 +61,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 FROM judged
 """
 
+OP11 = rf"""
+WITH cut AS (
+    SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM ({_DOCS})),
+hashed AS (
+    SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y,
+           ('0x' || h[17:24])::BIGINT % 100 AS plain, ('0x' || h[25:32])::BIGINT % 100 AS kind
+    FROM cut),
+parted AS (
+    SELECT doc_id, text, n, array_to_string(u[1:least(x, y)], '') AS prefix,
+           array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS middle,
+           array_to_string(u[greatest(x, y) + 1:], '') AS suffix,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR plain >= 90
+                THEN 'plain' WHEN kind < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM hashed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parted
+"""
+
+# floor(64 * x) are small whole numbers, whose products doubles sum exactly.
+OP12 = """
+WITH vectors AS (
+    SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+    FROM vectors q JOIN vectors v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": OP8, "op9_quality_rules": OP9}
+    return {"op8_line_dedup": OP8, "op9_quality_rules": OP9, "op11_fill_middle": OP11, "op12_topk_search": OP12}

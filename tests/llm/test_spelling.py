@@ -1,0 +1,123 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from frames import *  # noqa: F403
+from tallyloom.llm import spelling
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_words(rows):
+    counts = Counter()
+    for doc, text in rows:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", text or ""):
+            word = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{word}".encode())
+            if h % 31 == 0:
+                at = h % len(word)
+                word = word[:at] + word[at + 1 :]
+            counts[word] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def brute(words):
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 10 * words[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return sorted(((w, form[w], root(w), n, len(near[w]), words.get(form[w])) for w, n in words.items()), key=str)
+
+
+def result(docs):
+    frame = spelling.group_variants(docs)
+    assert frame.dtypes == [("word", "string"), ("form", "string"), ("root", "string"), ("n", "bigint"), ("n_near", "bigint"), ("form_n", "bigint")]
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
+@pytest.fixture
+def small_groups(monkeypatch):
+    for name, value in (("GROUP_WORDS", 30), ("LEAF_WORDS", 3), ("COUNTED", 50), ("SAMPLE", 60), ("_PIECE", 37)):
+        monkeypatch.setattr(spelling, name, value)
+
+
+def variants(count, seed):
+    """Words and edits of them, anagrams and letters beyond z among them, in very different numbers."""
+    random.seed(seed)
+    letters = "abceéßÿÀ÷z"
+    out = []
+    for _ in range(count):
+        base = "".join(random.choices(letters, k=random.randint(6, 10)))
+        out += [base] * random.choice([1, 2, 40, 400])
+        for _ in range(4):
+            at, kind = random.randrange(len(base)), random.randrange(4)
+            letter = random.choice(letters)
+            edited = [base[:at] + base[at + 1 :], base[:at] + letter + base[at:], base[:at] + letter + base[at + 1 :], "".join(sorted(base))]
+            out += [edited[kind]] * random.choice([1, 2, 3, 30])
+    random.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_variants_against_all_pairs(spark, small_groups, seed):
+    words = variants(60, seed)
+    rows = [(i, " ".join(words[i::25]).replace("a", "A")) for i in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = brute(brute_words(rows))
+    assert result(docs) == expected
+    assert any(r[1] and r[2] != r[1] for r in expected) or seed != 1
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    words = brute_words(rows)
+    found = result(docs)
+    assert {r[0]: r[3] for r in found} == words
+    by_parts = {}  # words one edit apart share one of the words that lack a letter
+    for w in words:
+        for part in {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}:
+            by_parts.setdefault(part, []).append(w)
+    near = {w: set() for w in words}
+    for some in by_parts.values():
+        for a in some:
+            near[a].update(b for b in some if one_edit(a, b))
+    assert {r[0]: r[4] for r in found} == {w: len(v) for w, v in near.items()}
+
+
+def test_odd_rows(spark, odd_docs, no_docs, clashing, small_groups):
+    for docs in (odd_docs, clashing):
+        rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+        assert result(docs) == brute(brute_words(rows))
+    assert result(no_docs) == []
+    long = "x" * 200_000
+    rows = [(1, long), (2, long), (3, long + "y"), (4, long + "y"), (None, "ABCDEFGH abcdefgh"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(docs) == brute(brute_words(rows))
+
+
+def test_counts_are_a_lower_bound_of_edits():
+    words = list(dict.fromkeys(variants(40, 3)))
+    held = spelling.Words(pa.array(words))
+    for i in range(0, len(words), 3):
+        for j in range(len(words)):
+            if one_edit(words[i], words[j]):
+                assert np.bitwise_count(held.codes[i] ^ held.codes[j]) <= spelling.RADIUS
