@@ -34,6 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 FILTER_START, FILTER_END = dt.date(1996, 1, 1), dt.date(1998, 12, 31)
 FILTER_COUNTRIES = [f"nation_{i}" for i in range(5)]
 REFERENCE_DATE = "2001-12-10"
+# So small that the files of the smallest tables are cut, too.
+MULTI_LINE_RANGE = 1 << 18
 # The stored segments come from the sales before this date, the upserted ones from the sales since.
 STORE_UNTIL = "1998-01-01"
 
@@ -123,6 +125,19 @@ def src_csv_latin1(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_transactions_csv(spark, path, encoding="ISO-8859-1")
 
 
+def multi_line_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw lines of which every other product has a quoted name over several lines."""
+    broken = F.concat(F.lit('"'), F.translate("Description", " ", "\n"), F.lit('",\n'))
+    odd = F.col("StockCode").cast("int") % 2 == 1
+    return raw(spark, sf).withColumn("Description", F.when(odd, broken).otherwise(F.col("Description")))
+
+
+def src_csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    path = stage_path(spark, "multi-line-csv")
+    writers.export_csv(multi_line_lines(spark, sf), path, RAW_COLUMNS)
+    return readers.read_transactions_csv(spark, path, multi_line=True, range_bytes=MULTI_LINE_RANGE)
+
+
 def export_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     lines = raw(spark, sf)
     regions = star.region_table(spark, sf)
@@ -451,6 +466,7 @@ def queries() -> dict[str, Query]:
         "src_csv_fixed": src_csv_fixed,
         "src_csv_inferred": src_csv_inferred,
         "src_csv_latin1": src_csv_latin1,
+        "src_csv_multiline": src_csv_multiline,
         "export_csv_roundtrip": export_csv_roundtrip,
         "segments_documents": segments_documents,
         "segments_flatten": segments_flatten,

@@ -363,6 +363,10 @@ def oracle_sql() -> dict[str, str]:
     bodies = {
         "src_csv_fixed": "SELECT * FROM raw",
         "src_csv_latin1": "SELECT * FROM raw",
+        "src_csv_multiline": """
+            SELECT * REPLACE (CASE WHEN CAST(StockCode AS INTEGER) % 2 = 1
+                                   THEN '"' || replace(Description, ' ', chr(10)) || '",' || chr(10)
+                                   ELSE Description END AS Description) FROM raw""",
         "src_csv_inferred": "SELECT * REPLACE (CAST(StockCode AS INTEGER) AS StockCode) FROM raw",
         "export_csv_roundtrip": f"{_export('modular')} UNION ALL {_export('minimal')}".replace(
             "FROM minimal", "FROM monolith"

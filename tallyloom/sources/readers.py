@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.schema import RAW, SEGMENT_DOCUMENT
+from tallyloom.sources.quoted_csv import RANGE_BYTES, read_quoted_csv
 
 
 def read_transactions_csv(
@@ -15,18 +16,19 @@ def read_transactions_csv(
     infer_schema: bool = False,
     encoding: str = "UTF-8",
     multi_line: bool = False,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Raw transaction lines with a header; quotes are doubled inside quoted fields.
 
-    Malformed numbers become NULL. A file read with ``multi_line`` (line breaks inside quoted fields)
-    cannot be split over tasks, so switch it on only for such files; without it, a record that such a line
-    break cuts in two fails the job. ``infer_schema`` costs a pass over the data. UTF-8 and ISO-8859-1 files
-    can both be split.
+    Malformed numbers become NULL. With ``multi_line`` quoted fields may hold line breaks: such files are read by
+    byte ranges of ``range_bytes``, twice, and in Python workers, so switch it on only for them; without it, a record
+    that such a line break cuts in two fails the job. ``infer_schema`` costs a pass over the data. UTF-8 and ISO-8859-1
+    files can be split either way.
     """
-    reader = spark.read.options(header=True, quote='"', escape='"', encoding=encoding, multiLine=multi_line)
-    schema = reader.option("inferSchema", True).csv(path).schema if infer_schema else RAW
     if multi_line:
-        return reader.schema(schema).csv(path)
+        return read_quoted_csv(spark, path, None if infer_schema else RAW, encoding, range_bytes)
+    reader = spark.read.options(header=True, quote='"', escape='"', encoding=encoding)
+    schema = reader.option("inferSchema", True).csv(path).schema if infer_schema else RAW
     # A malformed line with an odd number of quotes is one part of a record that goes on in another line.
     marked = T.StructType([*schema.fields, T.StructField("__malformed", T.StringType())])
     options = {"columnNameOfCorruptRecord": "__malformed", "columnPruning": False}  # a pruned line is not checked
