@@ -13,6 +13,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.functions.files import delete
+
 _local_roots: dict[str, str] = {}
 _scopes: list[str] = []
 
@@ -40,12 +42,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-
-
 @contextmanager
 def stage_scope(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside are deleted at the end: consume the results (write or collect them) before."""
@@ -55,9 +51,9 @@ def stage_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.pop()
-        _delete(spark, path)
+        delete(spark, path)
 
 
 def clear_stages(spark: SparkSession) -> None:
     """Delete every table this application staged; call it once no result reads them any more."""
-    _delete(spark, stage_root(spark))
+    delete(spark, stage_root(spark))

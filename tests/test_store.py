@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tallyloom.schema import SEGMENT_DOCUMENT
 from tallyloom.sources.readers import flatten_segments, read_segment_documents
 from tallyloom.sources.segment_store import (
+    SegmentStore,
     merge_documents,
     push_documents,
     segment_documents,
@@ -75,3 +76,76 @@ def test_documents_are_pushed_from_the_executors(spark, tmp_path):
 
     push_documents(_docs(spark, ("a", 1.0, "x"), ("b", 2.0, "y")), send)
     assert sorted(p.name + p.read_text() for p in tmp_path.glob("*.txt")) == ["a.txtx", "b.txty"]
+
+
+def _files(path):
+    return {str(p): (p.stat().st_mtime_ns, p.read_bytes()) for p in path.glob("data/*/bucket=*/*.parquet")}
+
+
+def test_an_upsert_leaves_the_files_of_other_buckets_alone(spark, tmp_path):
+    store = SegmentStore(spark, str(tmp_path), buckets=16)
+    assert store.versions() == [] and store.read().count() == 0 and store.read().schema == SEGMENT_DOCUMENT
+    first = _docs(spark, *[(str(i), float(i), "x") for i in range(400)])
+    assert store.upsert(first) == 1
+    before = _files(tmp_path)
+    old = {r["path"]: r["bucket"] for r in store.manifest().collect()}
+    assert set(old.values()) == set(range(16))
+    assert store.upsert(_docs(spark, ("7", -7.0, "z"), ("new", 1.0, "y"))) == 2
+    new = {r["path"]: r["bucket"] for r in store.manifest().collect()}
+    written = set(new) - set(old)
+    assert 1 <= len({new[p] for p in written}) <= 2
+    assert {p for p in old if old[p] not in {new[w] for w in written}} == set(new) & set(old)
+    assert len(set(new) & set(old)) >= 14
+    after = _files(tmp_path)
+    assert {p: after[p] for p in before} == before  # neither rewritten nor touched
+    expected = {str(i): (float(i), "x") for i in range(400)}
+    assert _labels(store.read(1)) == expected
+    assert _labels(store.read()) == {**expected, "7": (-7.0, "z"), "new": (1.0, "y")}
+    assert store.upsert(_docs(spark, ("7", -7.0, "z"), ("new", 1.0, "y"))) == 3
+    assert _labels(store.read()) == _labels(store.read(2))
+
+
+def test_a_failed_upsert_leaves_the_old_version(spark, tmp_path):
+    store = SegmentStore(spark, str(tmp_path), buckets=4)
+    store.upsert(_docs(spark, ("a", 1.0, "x"), ("b", 2.0, "y")))
+    failing = F.udf(lambda i: 1 / 0, "double")
+    bad = _docs(spark, ("a", 1.0, "x")).withColumn("note", failing("_id"))
+    with pytest.raises(Exception, match="ZeroDivision"):
+        store.upsert(bad)
+    assert store.versions() == [1] and _labels(store.read()) == {"a": (1.0, "x"), "b": (2.0, "y")}
+    # a manifest that was begun and not committed is no version
+    (tmp_path / "versions" / "000000002").mkdir()
+    assert store.versions() == [1] and _labels(store.read()) == {"a": (1.0, "x"), "b": (2.0, "y")}
+    with pytest.raises(Exception, match="already exists"):
+        store.upsert(_docs(spark, ("c", 1.0, "x")))
+    assert store.versions() == [1]
+    with pytest.raises(ValueError, match="no version 9"):
+        store.read(9)
+
+
+def test_store_keeps_the_merging_rules(spark, tmp_path):
+    store = SegmentStore(spark, str(tmp_path), buckets=8)
+    store.upsert(_docs(spark, ("a", 1.0, "x"), ("b", 2.0, "y"), ("c", 3.0, "q")))
+    batch = _docs(spark, ("a", 7.0, "late"), ("a", 9.0, "early"), (None, 1.0, "none"), ("d", 4.0, "late"))
+    ordered = batch.withColumn("at", F.when(F.col("segment.label") == "late", 2).otherwise(1))
+    store.upsert(ordered.drop("rfm"), order_by="at")
+    assert _labels(store.read()) == {"a": (1.0, "late"), "b": (2.0, "y"), "c": (3.0, "q"), "d": (None, "late")}
+    store.upsert(_docs(spark, ("b", 5.0, "y")).withColumn("note", F.lit("hi")))
+    notes = {r["_id"]: r["note"] for r in store.read().collect()}
+    assert notes == {"a": None, "b": "hi", "c": None, "d": None} and _labels(store.read())["b"] == (5.0, "y")
+    store.upsert(_docs(spark))
+    assert store.versions() == [1, 2, 3, 4] and _labels(store.read()) == _labels(store.read(3))
+    assert _labels(SegmentStore(spark, str(tmp_path), buckets=99).read(1)) == {"a": (1.0, "x"), "b": (2.0, "y"), "c": (3.0, "q")}
+
+
+def test_forgotten_versions_take_their_own_files_with_them(spark, tmp_path):
+    store = SegmentStore(spark, str(tmp_path), buckets=4)
+    for value in (1.0, 2.0, 3.0):
+        store.upsert(_docs(spark, *[(i, value, "x") for i in "abcdefgh"]))
+    store.upsert(_docs(spark, ("a", 4.0, "x")))
+    expected = _labels(store.read())
+    store.forget(keep=1)
+    assert store.versions() == [4] and _labels(store.read()) == expected
+    assert len(list((tmp_path / "data").iterdir())) == 2
+    store.upsert(_docs(spark, ("b", 5.0, "x")))
+    assert _labels(store.read()) == {**expected, "b": (5.0, "x")}
