@@ -22,7 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--input", required=True, help="CSV file or folder of raw transaction lines")
     parser.add_argument("--output", required=True, help="folder for exports and the segment store")
     parser.add_argument("--k", type=int, help="number of clusters (default: 5, basic: 4)")
-    parser.add_argument("--previous-store", help="segment store version to merge into")
+    parser.add_argument("--store", help="segment store to merge into (default: segments in the output folder)")
     parser.add_argument("--multi-line", action="store_true", help="quoted fields contain line breaks")
     parser.add_argument("--jdbc-url", help="database for the monthly aggregate")
     parser.add_argument("--jdbc-table", default="agg_sales_monthly")
@@ -46,7 +46,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         export_csv(preprocess_minimal(raw), f"{args.output}/preprocessed", MINIMAL_EXPORT_COLUMNS)
         return
 
-    sinks = {"store_path": f"{args.output}/segments", "previous_store": args.previous_store}
+    # Stages stay in the work folder until the run is through: started again, a killed run goes on after the last one.
+    sinks = {"store_path": args.store or f"{args.output}/segments", "work_path": f"{args.output}/_work", "inputs": args.input}
     if args.jdbc_url:
         with open(args.jdbc_properties, encoding="utf-8") as handle:
             properties = json.load(handle)
@@ -57,6 +58,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         result = run_full(raw, args.k or 5, export_path=f"{args.output}/preprocessed", **sinks)
     else:
         result = run_basic(raw, args.k or 4, **sinks)
+    result.log.discard()
     print(json.dumps({**result.stage_rows, "silhouette": result.clusters.silhouette, "sse": result.clusters.sse}))
 
 

@@ -189,11 +189,10 @@ def segments_upsert(spark: SparkSession, sf: str) -> DataFrame:
         return segment_store.segment_documents(frame, "Cluster", "Segment")
 
     cutoff = F.lit(STORE_UNTIL).cast("timestamp")
-    first, second = stage_path(spark, "store"), stage_path(spark, "store")
-    segment_store.upsert_segments(documents(F.col("InvoiceTS") < cutoff), first)
-    batch = documents(F.col("InvoiceTS") >= cutoff)
-    store = segment_store.upsert_segments(batch, second, old_version=first)
-    return _r(readers.flatten_segments(store), 2, "Monetary")
+    store = segment_store.SegmentStore(spark, stage_path(spark, "store"))
+    store.upsert(documents(F.col("InvoiceTS") < cutoff))
+    store.upsert(documents(F.col("InvoiceTS") >= cutoff))
+    return _r(readers.flatten_segments(store.read()), 2, "Monetary")
 
 
 # --- filters and projections ---
