@@ -98,7 +98,7 @@ class Held:
         self.vectors = _matrix(rows.column("x"))
         self.most = float(np.abs(self.vectors).max(initial=0))
         self.short = self.vectors.astype(np.float32)
-        self.table = _matrix(rows.column("to")).astype(np.float32)
+        self.table = np.ascontiguousarray(_matrix(rows.column("to")).astype(np.float32).T)  # a row for each pivot
         #: what rounding to 32 bits can add to a difference of distances
         self.error = 4 * float(np.spacing(self.table.max(initial=0)))
 
@@ -107,13 +107,22 @@ class Held:
         exact = self.most * max(float(np.abs(q).max(initial=0)), 1) * len(q) < 2**24
         return (self.short, q.astype(np.float32)) if exact else (self.vectors, q)
 
+    def bounds(self, norm: float, to: np.ndarray) -> np.ndarray:
+        """The largest whole inner product that each row can have with a query of this norm and these distances."""
+        lower, gap = np.zeros(len(self.ids), np.float32), np.empty(len(self.ids), np.float32)
+        for distances, own in zip(self.table, to.astype(np.float32), strict=True):
+            np.abs(np.subtract(distances, own, out=gap), out=gap)
+            np.maximum(lower, gap, out=lower)
+        both = norm + self.norms
+        return np.floor((both - np.maximum(lower.astype(np.float64) - self.error, 0) ** 2) / 2 + SLACK * (1 + both))
+
     def best(self, own: int, q: np.ndarray, norm: float, to: np.ndarray, floor: float, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the at most ``k`` best rows for a query, its own left out, that score ``floor`` or more."""
-        lower = np.abs(self.table - to.astype(np.float32)).max(axis=1).astype(np.float64)
-        both = norm + self.norms
-        bound = np.floor((both - np.maximum(lower - self.error, 0) ** 2) / 2 + SLACK * (1 + both))
+        bound = self.bounds(norm, to)
         (order,) = np.nonzero((bound >= floor) & (self.ids != own))
-        order = order[np.argsort(-bound[order], kind="stable")]  # equal bounds stay in the order of ids
+        below = bound.max(initial=-np.inf) - bound[order]
+        below = below.astype(np.uint16) if below.max(initial=0) < 1 << 16 else below  # short numbers sort faster
+        order = order[np.argsort(below, kind="stable")]  # equal bounds stay in the order of ids
         vectors, q = self.of(q)
         ids, scores = self.ids[:0], bound[:0]
         at, step = 0, FIRST
@@ -124,7 +133,7 @@ class Held:
                     break
                 floor = scores[-1]
             rows = order[at : at + step]
-            fresh = (vectors[rows] @ q).astype(np.float64)
+            fresh = (vectors.take(rows, axis=0) @ q).astype(np.float64)
             good = fresh >= floor
             ids, scores = np.concatenate((ids, self.ids[rows[good]])), np.concatenate((scores, fresh[good]))
             keep = np.lexsort((ids, -scores))[:k]
