@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.staging import stage
 from tallyloom.operators.features import z_score_scale
+from tallyloom.operators.seeded_kmeans import best_runs
 
 PROFILE_FEATURES = ("Recency", "Frequency", "Monetary", "Country_Encoded", "Sum_Qty")
 RFM_FEATURES = ("Recency", "Frequency", "Monetary")
@@ -39,102 +38,87 @@ def rfm_kmeans(
     tol: float = 1e-4,
 ) -> ClusterRun:
     """One k-means|| run on features standardised by the sample deviation. Null and blank ids are left out."""
-    return _cluster(profiles, k, features, [seed], max_iter, tol, population=False)
+
+    def fit(points: DataFrame, names: Sequence[str]) -> tuple[list, float]:
+        vectors = VectorAssembler(inputCols=list(names), outputCol="features").transform(points).select("features")
+        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = KMeans(k=k, seed=seed, featuresCol="features", maxIter=max_iter, tol=tol).fit(vectors)
+            return [c.tolist() for c in model.clusterCenters()], model.summary.trainingCost
+        finally:
+            vectors.unpersist()
+
+    return _cluster(_feature_table(profiles, features), features, fit, population=False)
 
 
 def kmeans_rfm3(
-    profiles: DataFrame, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300, parallelism: int = 5
+    profiles: DataFrame, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300, tol: float = 1e-4
 ) -> ClusterRun:
-    """Best of ``n_init`` runs by cost on the three RFM features, standardised by the population deviation.
+    """Best of ``n_init`` runs by cost from k-means++ centres, on the three RFM features, standardised by the population
+    deviation.
 
     ``k`` must lie between 2 and the smaller of 20 and the number of customers minus one.
     """
-    seeds = range(seed, seed + n_init)
-    return _cluster(
-        profiles, k, RFM_FEATURES, seeds, max_iter, 1e-4, population=True, max_k=20, parallelism=parallelism
-    )
+    table = _feature_table(profiles, RFM_FEATURES)
+    most = min(20, table.count() - 1)
+    if not 2 <= k <= most:
+        raise ValueError(f"k must be between 2 and {most}")
 
+    def fit(points: DataFrame, names: Sequence[str]) -> tuple[list, float]:
+        best = best_runs(points, "CustomerID", names, k, range(seed, seed + n_init), max_iter, tol)[0]
+        return best.centres.tolist(), best.cost
 
-def _cluster(
-    profiles: DataFrame,
-    k: int,
-    features: Sequence[str],
-    seeds: Sequence[int],
-    max_iter: int,
-    tol: float,
-    population: bool,
-    max_k: int | None = None,
-    parallelism: int = 1,
-) -> ClusterRun:
-    spark = profiles.sparkSession
+    return _cluster(table, RFM_FEATURES, fit, population=True)
+
+
+def _feature_table(profiles: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The id and features of customers with all of them, stored in a layout fixed by the ids, so that iterations reread a
+    narrow table and a rerun of the same input sees the same partitions."""
     # Lines without a customer share one blank id; they are no customer and would be a cluster of their own.
     profiles = profiles.filter(F.trim(F.col("CustomerID").cast("string")) != "")
-    # Stored once, in a layout fixed by the ids: iterations reread a narrow table, and a rerun of the
-    # same input sees the same partitions.
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = stage(
+    partitions = int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage(
         profiles.select("CustomerID", *[F.round(F.col(f).cast("double"), 6).alias(f) for f in features])
         .na.drop()
         .repartition(partitions, "CustomerID")
         .sortWithinPartitions("CustomerID"),
         "cluster-features",
     )
+
+
+def _cluster(
+    table: DataFrame, features: Sequence[str], fit: Callable[[DataFrame, Sequence[str]], tuple[list, float]], population: bool
+) -> ClusterRun:
+    """Label a table by the centres that ``fit`` finds on its standardised features."""
     deviation = F.stddev_pop if population else F.stddev_samp
     stats = table.agg(
-        F.count(F.lit(1)).alias("n"),
         *[F.avg(f).alias(f"mean_{f}") for f in features],
         *[F.coalesce(deviation(f), F.lit(0.0)).alias(f"std_{f}") for f in features],
     ).first()
-    if max_k is not None and not 2 <= k <= min(max_k, stats["n"] - 1):
-        raise ValueError(f"k must be between 2 and {min(max_k, stats['n'] - 1)}")
 
     def standardised(f: str) -> Column:
         std = stats[f"std_{f}"]
         return ((F.col(f) - stats[f"mean_{f}"]) / std if std > 0 else F.lit(0.0)).alias(f"z_{f}")
 
-    assembler = VectorAssembler(inputCols=[f"z_{f}" for f in features], outputCol="features")
-
-    def vectors() -> DataFrame:
-        return assembler.transform(table.select("*", *[standardised(f) for f in features]))
-
-    points = vectors().select("features").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(one_seed: int) -> KMeansModel:
-        estimator = KMeans(
-            k=k, seed=one_seed, featuresCol="features", predictionCol="raw_cluster", maxIter=max_iter, tol=tol
-        )
-        return estimator.fit(points)
-
-    try:
-        with ThreadPoolExecutor(max(1, parallelism)) as pool:
-            models = list(pool.map(fit, seeds))
-        model = min(models, key=lambda m: m.summary.trainingCost)
-        silhouette = ClusteringEvaluator(
-            featuresCol="features", predictionCol="raw_cluster", distanceMeasure="squaredEuclidean"
-        ).evaluate(model.transform(points))
-    finally:
-        points.unpersist()
-
-    centers = model.clusterCenters()
+    names = [f"z_{f}" for f in features]
+    points = table.select("*", *[standardised(f) for f in features])
+    centres, cost = fit(points, names)
     by_value = list(features).index("Monetary") if "Monetary" in features else 0
-    order = sorted(range(len(centers)), key=lambda i: (-centers[i][by_value], i))
-    new_id = {old: new for new, old in enumerate(order)}
-    renumber = F.array(*[F.lit(new_id[i]) for i in range(len(centers))])
-    assignments = (
-        model.transform(vectors())
-        .withColumn("cluster", renumber[F.col("raw_cluster")])
-        .select("CustomerID", *features, "cluster")
-    )
+    centres = sorted(centres, key=lambda c: -c[by_value])
+    gaps = [
+        F.struct(sum(((F.col(z) - x) * (F.col(z) - x) for z, x in zip(names, c, strict=True)), F.lit(0.0)), F.lit(i).alias("i"))
+        for i, c in enumerate(centres)
+    ]
+    nearest = (F.least(*gaps) if len(gaps) > 1 else gaps[0])["i"]
+    labelled = points.withColumn("cluster", nearest)
     original_units = [
-        (
-            new_id[i],
-            *[float(c[j]) * stats[f"std_{f}"] + stats[f"mean_{f}"] for j, f in enumerate(features)],
-        )
-        for i, c in enumerate(centers)
+        (i, *[float(c[j]) * stats[f"std_{f}"] + stats[f"mean_{f}"] for j, f in enumerate(features)]) for i, c in enumerate(centres)
     ]
     schema = "cluster int, " + ", ".join(f"{f} double" for f in features)
-    centroids = spark.createDataFrame(sorted(original_units), schema)
-    return ClusterRun(assignments, centroids, len(centers), silhouette, model.summary.trainingCost)
+    centroids = table.sparkSession.createDataFrame(original_units, schema)
+    score = silhouette_of(labelled.select(F.col("cluster").alias("c"), *names), names).first()["score"]
+    assignments = labelled.select("CustomerID", *features, "cluster")
+    return ClusterRun(assignments, centroids, len(centres), float("nan") if score is None else score, cost)
 
 
 def check_labels(run: ClusterRun, features: Sequence[str], population: bool) -> DataFrame:
@@ -194,6 +178,86 @@ def _scaled(df: DataFrame, features: Sequence[str], cluster: str) -> DataFrame:
     return scaled.select(F.col(cluster).alias("c"), *[f"z_{f}" for f in features])
 
 
+def _least_other(stats: Column, gap: Callable[[Column], Column]) -> Column:
+    return F.array_min(F.transform(F.filter(stats, lambda s: s["c"] != F.col("c")), gap))
+
+
+def _mean_silhouette(rows: DataFrame) -> DataFrame:
+    """The mean of (b - a) / max(a, b) over rows (a, b); a row whose ``a`` is unknown, being alone, counts as 0."""
+    score = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
+    kept = rows.where(F.col("b").isNotNull())
+    return kept.agg(F.avg(F.when(F.col("a").isNull(), 0.0).otherwise(F.coalesce(score, F.lit(0.0)))).alias("score"))
+
+
+def silhouette_of(points: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The silhouette of points (c, *features) by squared distances, one row ``score``; null with fewer than two clusters.
+
+    The mean squared distance of a point to a cluster follows from the cluster's count, sums and sum of squares, so
+    the points are read twice and never joined; the clusters' figures are one short list.
+    """
+    points = points.where(F.col("c").isNotNull())
+    squares = sum((F.col(f) * F.col(f) for f in features), F.lit(0.0))
+    per_cluster = points.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum(squares).alias("q"), *[F.sum(f).alias(f) for f in features])
+    stats = per_cluster.agg(F.collect_list(F.struct("c", "n", "q", *features))).scalar()
+
+    def gap(s: Column) -> Column:
+        product = sum((F.col(f) * s[f] for f in features), F.lit(0.0))
+        return F.greatest(squares + (s["q"] - 2 * product) / s["n"], F.lit(0.0))
+
+    own = F.filter("stats", lambda s: s["c"] == F.col("c"))[0]
+    a = F.when(own["n"] > 1, gap(own) * own["n"] / (own["n"] - 1))
+    listed = points.withColumn("stats", stats)
+    return _mean_silhouette(listed.select(a.alias("a"), _least_other(F.col("stats"), gap).alias("b")))
+
+
+def silhouette(df: DataFrame, features: Sequence[str] = RFM_FEATURES, cluster: str = "cluster") -> DataFrame:
+    """Silhouette of a labelling on standardised features, by squared distances; one row ``score``."""
+    scored = silhouette_of(_scaled(df, features, cluster), [f"z_{f}" for f in features])
+    return scored.select(F.round("score", 6).alias("score"))
+
+
+def hash_share(column: str) -> Column:
+    """A number from 0 to 1 that depends on the text of a column alone."""
+    return F.conv(F.substring(F.md5(F.col(column).cast("string").cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32
+
+
+def silhouette_euclidean(
+    df: DataFrame,
+    features: Sequence[str] = RFM_FEATURES,
+    cluster: str = "cluster",
+    id_column: str = "CustomerID",
+    sample: int = 1_000,
+) -> DataFrame:
+    """Silhouette of a labelling on standardised features, by plain distances; one row ``score``.
+
+    Every row is scored, by its mean distance to a sample of each cluster's members: those whose id has a
+    ``hash_share`` below ``sample`` by the cluster's size, so all of a cluster of at most ``sample`` rows. The score is
+    exact if no cluster is larger. The sample, of some ``sample`` rows per cluster, is stored and reaches
+    every task; the work grows with the rows, not with their square.
+    """
+    names = [f"z_{f}" for f in features]
+    scaled = z_score_scale(df.where(F.col(cluster).isNotNull()), dict(zip(features, names, strict=True)), population=True)
+    points = scaled.select(F.col(cluster).alias("c"), hash_share(id_column).alias("h"), *names)
+    sizes = stage(points.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "cluster-sizes")
+    marked = points.join(F.broadcast(sizes), "c").withColumn("sampled", F.col("h") < sample / F.col("n"))  # a row per cluster
+    members = marked.where("sampled").groupBy("c").agg(F.collect_list(F.struct(*names)).alias("points"))
+    stored = stage(members.select("c", "points"), "silhouette-sample")
+    stats = stored.agg(F.collect_list(F.struct("c", "points"))).scalar()
+
+    def total(s: Column) -> Column:
+        def add(so_far: Column, p: Column) -> Column:
+            return so_far + F.sqrt(sum(((F.col(f) - p[f]) * (F.col(f) - p[f]) for f in names), F.lit(0.0)))
+
+        return F.aggregate(s["points"], F.lit(0.0), add)
+
+    own = F.filter("stats", lambda s: s["c"] == F.col("c"))[0]
+    others = F.size(own["points"]) - F.col("sampled").cast("int")
+    a = F.when(others > 0, total(own) / others)
+    b = _least_other(F.col("stats"), lambda s: total(s) / F.size(s["points"]))
+    scored = _mean_silhouette(marked.withColumn("stats", stats).select(a.alias("a"), b.alias("b")))
+    return scored.select(F.round("score", 6).alias("score"))
+
+
 def davies_bouldin(df: DataFrame, features: Sequence[str] = RFM_FEATURES, cluster: str = "cluster") -> DataFrame:
     """Davies-Bouldin index of a labelling on standardised features, one row ``score``.
 

@@ -202,6 +202,9 @@ def _with(body: str, raw: str = _CTES["raw"]) -> str:
         wanted.add(name)
         todo |= _needs(ctes[name], list(ctes)) - wanted
     frames = [f"{name} AS ({ctes[name]})" for name in ctes if name in wanted]
+    more = body.lstrip()
+    if more.startswith("WITH "):  # the body names frames of its own
+        return "WITH " + ",\n".join(frames) + ",\n" + more.removeprefix("WITH ")
     return "WITH " + ",\n".join(frames) + "\n" + body if frames else body
 
 
@@ -344,6 +347,32 @@ _CALINSKI = """
          (SELECT sum((x - cx) * (x - cx) + (y - cy) * (y - cy) + (z - cz) * (z - cz)) AS w
           FROM scaled JOIN centres USING (c))"""
 
+_SCORE = "round(avg(CASE WHEN a IS NULL THEN 0 WHEN greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS score"
+# The mean squared distance of a customer to a segment, from the segment's count, sums and sum of squares.
+_SILHOUETTE = f"""
+    SELECT {_SCORE}
+    FROM (SELECT min(CASE WHEN s.c = p.c AND s.n > 1 THEN gap * s.n / (s.n - 1) END) AS a, min(gap) FILTER (s.c <> p.c) AS b
+          FROM (SELECT *, row_number() OVER () AS r FROM scaled) p,
+               (SELECT c, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(z) AS sz, sum(x * x + y * y + z * z) AS q
+                FROM scaled GROUP BY c) s,
+               LATERAL (SELECT p.x * p.x + p.y * p.y + p.z * p.z + (s.q - 2 * (p.x * s.sx + p.y * s.sy + p.z * s.sz)) / s.n AS gap)
+          GROUP BY p.r)"""
+_EUCLIDEAN = f"""
+    WITH marked AS (
+        SELECT *, ('0x' || substr(md5(CustomerID), 1, 8))::BIGINT / 4294967296.0e0
+                  < {catalog.SILHOUETTE_SAMPLE} / count(*) OVER (PARTITION BY Cluster)::DOUBLE AS sampled FROM segs),
+    placed AS (
+        SELECT CustomerID, Cluster AS c, sampled, (Recency - mr) / sr AS x, (Frequency - mf) / sf AS y, (Monetary - mm) / sm AS z
+        FROM marked, (SELECT avg(Recency) AS mr, stddev_pop(Recency) AS sr, avg(Frequency) AS mf, stddev_pop(Frequency) AS sf,
+                             avg(Monetary) AS mm, stddev_pop(Monetary) AS sm FROM segs))
+    SELECT {_SCORE}
+    FROM (SELECT CustomerID, min(CASE WHEN own AND others > 0 THEN total / others END) AS a, min(total / n) FILTER (NOT own) AS b
+          FROM (SELECT p.CustomerID, p.c = m.c AS own, count(*) AS n,
+                       count(*) - max(CASE WHEN p.sampled AND p.c = m.c THEN 1 ELSE 0 END) AS others,
+                       sum(sqrt((p.x - m.x) ** 2 + (p.y - m.y) ** 2 + (p.z - m.z) ** 2)) AS total
+                FROM placed p JOIN placed m ON m.sampled GROUP BY p.CustomerID, p.c, m.c)
+          GROUP BY CustomerID)"""
+
 _CLUSTERED = """SELECT CustomerID, CAST(Recency AS DOUBLE) AS Recency, CAST(Frequency AS DOUBLE) AS Frequency,
     round(Monetary, 2) AS Monetary, true AS is_nearest, true AS label_fits FROM rfm WHERE trim(CustomerID) <> ''"""
 _NAMED = "(SELECT CAST(count(*) AS BIGINT) FROM rfm WHERE trim(CustomerID) <> '') AS customers"
@@ -379,7 +408,7 @@ def oracle_sql() -> dict[str, str]:
         "rfm_kmeans": _CLUSTERED,
         "kmeans_rfm3": _CLUSTERED,
         "kmeans_metrics": f"""
-            SELECT 4 AS k, {_NAMED}, true AS sse_fits, true AS silhouette_in_range, true AS davies_bouldin_fits,
+            SELECT 4 AS k, {_NAMED}, true AS sse_fits, true AS silhouette_fits, true AS davies_bouldin_fits,
                    true AS calinski_harabasz_fits""",
         "cluster_centroids": "SELECT 'Segment-' || i AS Segment, true AS is_mean FROM range(4) t(i)",
         "cluster_sizes": f"SELECT CAST(4 AS BIGINT) AS segments, true AS none_empty, {_NAMED}",
@@ -566,6 +595,8 @@ def oracle_sql() -> dict[str, str]:
         "preprocess_modular": "SELECT * FROM modular",
         "preprocess_monolith": "SELECT * FROM monolith",
         "davies_bouldin": _DAVIES,
+        "silhouette": _SILHOUETTE,
+        "silhouette_euclidean": _EUCLIDEAN,
         "calinski_harabasz": _CALINSKI,
         "end_to_end_full": _run_summary("rfm"),
         "end_to_end_basic": _run_summary("basic_rfm"),

@@ -4,7 +4,10 @@ import numpy as np
 import pytest
 from conftest import as_dict
 
-from tallyloom.operators import clustering, segments
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import VectorAssembler
+
+from tallyloom.operators import clustering, seeded_kmeans, segments
 
 FEATURES = list(clustering.RFM_FEATURES)
 
@@ -113,6 +116,104 @@ def test_indices_of_a_labelling(profiles, points):
     assert clustering.calinski_harabasz(one, cluster="same").first()["score"] is None
 
 
+def _silhouette(z, labels, distance):
+    scores = []
+    for i in range(len(z)):
+        mean = {c: distance(z[i] - z[labels == c]).sum() for c in set(labels)}
+        size = {c: (labels == c).sum() for c in mean}
+        own = labels[i]
+        if size[own] == 1:
+            scores.append(0.0)
+            continue
+        a = mean[own] / (size[own] - 1)
+        b = min(mean[c] / size[c] for c in mean if c != own)
+        scores.append((b - a) / max(a, b) if max(a, b) else 0.0)
+    return np.mean(scores)
+
+
+def test_silhouettes_against_all_pairs(spark, profiles, points):
+    x, labels = points
+    labels = labels.copy()
+    labels[:20] = 1  # some are badly placed
+    labels[5] = 7  # and one is alone
+    rows = [(f"c{i}", *map(float, r), int(c)) for i, (r, c) in enumerate(zip(x, labels, strict=True))]
+    df = spark.createDataFrame(rows, "CustomerID string, Recency double, Frequency double, Monetary double, label int")
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    squared = _silhouette(z, labels, lambda d: (d**2).sum(axis=1))
+    plain = _silhouette(z, labels, lambda d: np.sqrt((d**2).sum(axis=1)))
+    assert clustering.silhouette(df, cluster="label").first()["score"] == pytest.approx(squared, abs=1e-6)
+    assert clustering.silhouette_euclidean(df, cluster="label").first()["score"] == pytest.approx(plain, abs=1e-6)
+    sampled = clustering.silhouette_euclidean(df, cluster="label", sample=25).first()["score"]
+    assert sampled == pytest.approx(plain, abs=0.05) and sampled != pytest.approx(plain, abs=1e-6)
+    again = clustering.silhouette_euclidean(df.repartition(7), cluster="label", sample=25).first()["score"]
+    assert again == pytest.approx(sampled, abs=1e-6)
+    one = df.selectExpr("*", "1 as same", "cast(null as int) as none")
+    for wanted in ("same", "none"):
+        assert clustering.silhouette(one, cluster=wanted).first()["score"] is None
+        assert clustering.silhouette_euclidean(one, cluster=wanted).first()["score"] is None
+
+
+def test_the_silhouette_of_a_run_is_that_of_the_library(profiles, run):
+    scale = profiles.selectExpr(*[f"avg({f})" for f in FEATURES], *[f"stddev_pop({f})" for f in FEATURES]).first()
+    names = [f"z{i}" for i in range(3)]
+    z = run.assignments.selectExpr("cluster", *[f"({f} - {scale[i]!r}D) / {scale[i + 3]!r}D as z{i}" for i, f in enumerate(FEATURES)])
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(z)
+    library = ClusteringEvaluator(predictionCol="cluster").evaluate(vectors)
+    assert run.silhouette == pytest.approx(library, abs=1e-9)
+
+
+def _plus_plus(points, hashes, k, seed):
+    """The draws of one seed, worked out in memory."""
+    centres = []
+    for place in range(k):
+        weight = np.ones(len(points)) if not centres else np.min([((points - c) ** 2).sum(axis=1) for c in centres], axis=0)
+        if not weight.any():
+            break
+        with np.errstate(divide="ignore"):
+            times = -np.log(seeded_kmeans.chances(hashes, seed, place)) / weight
+        centres.append(points[np.argmin(times)])
+    return np.array(centres)
+
+
+def test_seeds_do_not_depend_on_the_layout(spark, profiles, points):
+    table = profiles.selectExpr("xxhash64(CustomerID) as h", "Recency as z0", "Frequency as z1", "Monetary as z2")
+    rows = table.collect()
+    x, h = np.array([tuple(r)[1:] for r in rows]), np.array([r["h"] for r in rows])
+    expected = {seed: _plus_plus(x, h, 5, seed) for seed in range(4)}
+    for frame in (table, table.coalesce(1), table.repartition(9).sortWithinPartitions("z1")):
+        found = seeded_kmeans.seeds_plus_plus(frame, 5, range(4), 3)
+        assert all((found[seed] == expected[seed]).all() for seed in range(4))
+    assert len({expected[seed].tobytes() for seed in range(4)}) == 4
+
+
+def test_far_points_are_drawn_in_proportion_to_their_squared_distance():
+    x = np.array([[0.0], [1.0], [3.0]])
+    drawn = {1.0: 0, 3.0: 0}
+    for seed in range(6000):
+        weight, h = (x[:, 0]) ** 2, np.arange(3)
+        with np.errstate(divide="ignore"):
+            first = np.argmin(-np.log(seeded_kmeans.chances(h, seed, 1)) / weight)
+        drawn[float(x[first, 0])] += 1
+    assert drawn[3.0] / 6000 == pytest.approx(0.9, abs=0.015)
+
+
+def test_the_cheapest_of_ten_runs_is_kept(spark):
+    random = np.random.default_rng(3)
+    x = np.vstack([random.normal(size=(40, 2)) + c for c in ([0, 0], [0, 9], [9, 0], [9, 9], [30, 30])])
+    df = spark.createDataFrame([(f"c{i}", *map(float, r)) for i, r in enumerate(x)], "id string, a double, b double")
+    runs = seeded_kmeans.best_runs(df, "id", ["a", "b"], 5, range(10))
+    assert len(runs) == 10 and [r.cost for r in runs] == sorted(r.cost for r in runs)
+    for run in runs:
+        gaps = ((x[:, None] - run.centres) ** 2).sum(axis=2)
+        assert run.cost == pytest.approx(gaps.min(axis=1).sum())
+        means = np.array([x[gaps.argmin(axis=1) == c].mean(axis=0) for c in range(5)])
+        assert np.abs(means - run.centres).max() < 0.2
+    assert runs[0].cost < 2 * 200 * 1.5  # each group has its own centre
+    copies = spark.createDataFrame([(str(i), float(i % 2), 0.0) for i in range(20)], "id string, a double, b double")
+    few = seeded_kmeans.best_runs(copies, "id", ["a", "b"], 4, [1, 2])
+    assert [len(r.centres) for r in few] == [2, 2] and [r.cost for r in few] == [0.0, 0.0]
+
+
 def test_metrics_row(run):
     row = clustering.cluster_metrics(run).first()
     assert row["k"] == 3 and row["sse"] == run.sse and row["davies_bouldin"] < 1 < row["calinski_harabasz"]
