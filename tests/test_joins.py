@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.joins import skew_join
 from tallyloom.functions.running import running_total
-from tallyloom.functions import staging
+from tallyloom.functions import joins, staging
 from tallyloom.functions.staging import clear_stages, stage, stage_path, stage_scope
 
 
@@ -70,6 +70,39 @@ def test_salts_grow_with_the_rows_of_a_key(spark):
     assert salts(1000) == 10 and salts(4000) == 40
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_more_hot_keys_than_a_list_may_hold(tables, monkeypatch, how):
+    monkeypatch.setattr(joins, "MOST_LISTED_KEYS", 5)
+    rows, lookup = tables
+    plain = sorted(map(str, rows.join(lookup, "k", how).collect()))
+    split = skew_join(rows, lookup, "k", how, task_rows=40)  # 40 keys have more
+    assert sorted(map(str, split.collect())) == plain
+    assert split.columns == rows.join(lookup, "k", how).columns
+
+
+def test_many_hot_keys_leave_no_task_above_its_share(spark, monkeypatch):
+    """Keys of 50 to 5,000 rows, nearly all of them hot; a plain join gives the largest one to one task."""
+    monkeypatch.setattr(joins, "MOST_LISTED_KEYS", 20)
+    keys = spark.range(200).select(F.col("id").alias("k"), F.expr("if(id % 40 = 0, 5000, 50)").alias("n"))
+    rows = keys.select("k", F.explode(F.expr("sequence(1, n)")).alias("x")).repartition(8)
+    lookup = spark.range(150).select(F.col("id").alias("k"), (F.col("id") * 10).alias("y"))
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        split = skew_join(rows, lookup, "k", task_rows=45)
+        assert "Broadcast" not in split._jdf.queryExecution().executedPlan().toString()
+        tasks = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+        total = rows.join(lookup, "k").count()
+        assert sum(tasks) == total == 27300 and max(tasks) < 3 * total / 64
+        plain = [r["count"] for r in rows.join(lookup, "k").groupBy(F.spark_partition_id()).count().collect()]
+        assert max(plain) >= 5000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_running_total_over_ranges(spark):
     df = spark.range(500).select((F.col("id") % 2).alias("g"), F.col("id").alias("v"), F.lit(3).alias("n"))
     got = running_total(df, ["g"], [F.desc("v")], "n", "upto").collect()
