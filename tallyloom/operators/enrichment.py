@@ -88,6 +88,11 @@ def filter_domain(
     per_country = df.groupBy("Country").agg(
         F.to_date(F.min("InvoiceTS")).alias("first"), F.to_date(F.max("InvoiceTS")).alias("last")
     )
+    return domain_of(per_country, defaults, fallback)
+
+
+def domain_of(per_country: DataFrame, defaults: Sequence[str], fallback: int) -> DataFrame:
+    """``filter_domain`` from each country's ``first`` and ``last`` day."""
     # read three times below, so it is stored once
     per_country = stage(per_country, "countries")
     wanted = F.col("Country").isin(list(defaults))

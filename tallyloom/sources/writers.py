@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tallyloom.functions.columns import year_month
 from tallyloom.schema import EXPORT_COLUMNS
+from tallyloom.sources.sales_store import sales_manifest
 
 
 def export_csv(
@@ -45,9 +46,10 @@ def write_jdbc(
 
 
 def write_sales(sales: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Store dated sales as Parquet in one folder per month (column YearMonth).
+    """Store dated sales as Parquet in one folder per month (column YearMonth), and a manifest of what each file holds.
 
     Rebalancing gives each month files of even size: small months are merged, large ones are split.
     """
     by_month = sales.withColumn("YearMonth", year_month()).hint("rebalance", "YearMonth")
     by_month.write.mode(mode).partitionBy("YearMonth").parquet(path)
+    sales_manifest(sales.sparkSession, path)
