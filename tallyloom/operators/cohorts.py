@@ -68,22 +68,16 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
     )
 
 
-def cohort_retention_wide(sales: DataFrame, indexes: Sequence[int] | None = None, whole: bool = False) -> DataFrame:
+def cohort_retention_wide(sales: DataFrame, indexes: Sequence[int] | None = None) -> DataFrame:
     """Retention with one column ``m<index>`` per cohort index.
 
     Without ``indexes`` there is a column for each index that occurs. The long form is stored first, so the sales
-    are read once and the driver sees the distinct indexes of that small table only. With ``whole``, an index that
-    occurs but is not among ``indexes`` raises an error.
+    are read once and the driver sees the distinct indexes of that small table only.
     """
     retention = stage(cohort_retention(sales), "retention")
     if indexes is None:
         indexes = sorted(r["CohortIndex"] for r in retention.select("CohortIndex").distinct().collect())
-    wanted = list(indexes)
-    if whole:
-        missing = retention.where(~F.col("CohortIndex").isin(wanted)).agg(F.min("CohortIndex"), F.max("CohortIndex")).first()
-        if missing[0] is not None:
-            raise ValueError(f"cohort indexes {missing[0]} to {missing[1]} occur beyond the columns of the table")
-    cells = [F.max(F.when(F.col("CohortIndex") == i, F.col("Retention"))).alias(f"m{i}") for i in wanted]
+    cells = [F.max(F.when(F.col("CohortIndex") == i, F.col("Retention"))).alias(f"m{i}") for i in indexes]
     if not cells:
         return retention.select("CohortMonth").distinct()
     return retention.groupBy("CohortMonth").agg(*cells)

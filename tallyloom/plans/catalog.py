@@ -28,8 +28,8 @@ from tallyloom.operators import (
     trends,
 )
 from tallyloom.plans import runs, star_schema as star
-from tallyloom.schema import MINIMAL_EXPORT_COLUMNS, RAW_COLUMNS
-from tallyloom.sources import readers, segment_store, writers
+from tallyloom.schema import EXPORT_COLUMNS, MINIMAL_EXPORT_COLUMNS, RAW_COLUMNS
+from tallyloom.sources import readers, sales_store, segment_store, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,30 +142,41 @@ def src_csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_transactions_csv(spark, path, multi_line=True, range_bytes=MULTI_LINE_RANGE)
 
 
+def _exported(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of an export, written and read back."""
+    path = stage_path(frame.sparkSession, "export")
+    writers.export_csv(frame, path, columns)
+    # with a mark of its own for nulls the reader keeps empty texts, which are written in quotes, apart from them
+    return frame.sparkSession.read.csv(path, header=True, escape='"', nullValue="\0", schema=frame.select(*columns).schema)
+
+
+def _export_modular(spark: SparkSession, sf: str) -> DataFrame:
+    return _exported(runs.preprocess_modular(raw(spark, sf), star.region_table(spark, sf)), EXPORT_COLUMNS)
+
+
+def _export_minimal(spark: SparkSession, sf: str) -> DataFrame:
+    return _exported(runs.preprocess_minimal(raw(spark, sf), star.region_table(spark, sf)), MINIMAL_EXPORT_COLUMNS)
+
+
+def export_csv_modular(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(_export_modular(spark, sf), 6, "Quantity_Normalized", "UnitPrice_Standardized")
+
+
+def export_csv_minimal(spark: SparkSession, sf: str) -> DataFrame:
+    return _export_minimal(spark, sf)
+
+
 def export_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    lines = raw(spark, sf)
-    regions = star.region_table(spark, sf)
-    summaries = []
-    for name, frame, columns in [
-        ("modular", runs.preprocess_modular(lines, regions), None),
-        ("minimal", runs.preprocess_minimal(lines, regions), MINIMAL_EXPORT_COLUMNS),
-    ]:
-        path = stage_path(spark, f"export-{name}")
-        if columns is None:
-            writers.export_csv(frame, path)
-        else:
-            writers.export_csv(frame, path, columns)
-        back = spark.read.csv(
-            path, header=True, escape='"', schema=frame.select(*(columns or frame.columns)).schema
-        )
-        summaries.append(
-            back.groupBy(F.lit(name).alias("export"), "Region").agg(
-                F.count(F.lit(1)).alias("lines"),
-                F.countDistinct("InvoiceNo").alias("invoices"),
-                F.sum("Quantity").cast("bigint").alias("quantity"),
-                F.round(F.sum("TotalAmount"), 2).alias("amount"),
-            )
+    """Figures of both exports by region; their rows are checked by the two queries above."""
+    summaries = [
+        back.groupBy(F.lit(name).alias("export"), "Region").agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.countDistinct("InvoiceNo").alias("invoices"),
+            F.sum("Quantity").cast("bigint").alias("quantity"),
+            F.round(F.sum("TotalAmount"), 2).alias("amount"),
         )
+        for name, back in (("modular", _export_modular(spark, sf)), ("minimal", _export_minimal(spark, sf)))
+    ]
     return summaries[0].union(summaries[1])
 
 
@@ -209,8 +220,13 @@ def filter_date_country(spark: SparkSession, sf: str) -> DataFrame:
 def filter_sales_by_month(spark: SparkSession, sf: str) -> DataFrame:
     path = stage_path(spark, "sales-by-month")
     writers.write_sales(sales(spark, sf), path)
-    months = spark.read.parquet(path)
-    return enrichment.filter_date_country(months, FILTER_START, FILTER_END, star.DEFAULTS)
+    return sales_store.read_sales(spark, path, FILTER_START, FILTER_END, star.DEFAULTS)
+
+
+def filter_domain_stored(spark: SparkSession, sf: str) -> DataFrame:
+    path = stage_path(spark, "sales-by-month")
+    writers.write_sales(sales(spark, sf), path)
+    return sales_store.stored_filter_domain(spark, path, defaults=star.DEFAULTS)
 
 
 def region_case(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,12 +280,8 @@ def quality_examples(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_examples(stage(raw(spark, sf), "raw"))
 
 
-#: The months of the retention table: those that the test tables can reach; the query fails if others occur.
-RETENTION_MONTHS = range(1, 81)
-
-
 def cohort_retention_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return cohorts.cohort_retention_wide(sales(spark, sf), RETENTION_MONTHS, whole=True)
+    return cohorts.cohort_retention_wide(sales(spark, sf))
 
 
 def vip_share_by_country_wide(spark: SparkSession, sf: str) -> DataFrame:
@@ -486,6 +498,8 @@ def queries() -> dict[str, Query]:
         "src_csv_inferred": src_csv_inferred,
         "src_csv_latin1": src_csv_latin1,
         "src_csv_multiline": src_csv_multiline,
+        "export_csv_modular": export_csv_modular,
+        "export_csv_minimal": export_csv_minimal,
         "export_csv_roundtrip": export_csv_roundtrip,
         "segments_documents": segments_documents,
         "segments_flatten": segments_flatten,
@@ -501,6 +515,7 @@ def queries() -> dict[str, Query]:
         "filter_date_country": filter_date_country,
         "filter_sales_by_month": filter_sales_by_month,
         "filter_domain": _on(sales, enrichment.filter_domain, defaults=star.DEFAULTS),
+        "filter_domain_stored": filter_domain_stored,
         "filter_domain_fallback": _on(dashboard, enrichment.filter_domain),
         "region_left_join": region_left_join,
         "region_case": region_case,

@@ -262,22 +262,26 @@ def _export(name: str) -> str:
         FROM {name} GROUP BY Region"""
 
 
-def _region_case() -> str:
-    from tallyloom.operators.enrichment import OTHER_REGION, REGION_COUNTRIES
-
-    branches = " ".join(
-        f"WHEN Country IN ({', '.join(repr(c) for c in members)}) THEN '{region}'"
-        for region, members in REGION_COUNTRIES.items()
-    )
-    return f"""SELECT Country, CASE {branches} ELSE '{OTHER_REGION}' END AS Region,
-        CAST(count(*) AS BIGINT) AS lines FROM clean GROUP BY 1, 2"""
-
-
-def _wide(months: int) -> str:
-    cells = ", ".join(
-        f"max(CASE WHEN CohortIndex = {i} THEN Retention END) AS m{i}" for i in range(1, months + 1)
-    )
-    return f"SELECT CohortMonth, {cells} FROM retention GROUP BY CohortMonth"
+# The regions of the 45 mapped countries.
+_REGION_PAIRS = """
+    ('UNITED KINGDOM', 'Europe'), ('GERMANY', 'Europe'), ('FRANCE', 'Europe'), ('SPAIN', 'Europe'), ('PORTUGAL', 'Europe'),
+    ('ITALY', 'Europe'), ('SWITZERLAND', 'Europe'), ('BELGIUM', 'Europe'), ('NETHERLANDS', 'Europe'), ('EIRE', 'Europe'),
+    ('ICELAND', 'Europe'), ('CHANNEL ISLANDS', 'Europe'), ('CYPRUS', 'Europe'), ('NORWAY', 'Europe'), ('POLAND', 'Europe'),
+    ('SWEDEN', 'Europe'), ('DENMARK', 'Europe'), ('AUSTRIA', 'Europe'), ('IRELAND', 'Europe'), ('ALBANIA', 'Europe'),
+    ('FINLAND', 'Europe'), ('GREECE', 'Europe'), ('CZECH REPUBLIC', 'Europe'), ('MALTA', 'Europe'),
+    ('LUXEMBOURG', 'Europe'), ('HUNGARY', 'Europe'), ('JAPAN', 'Asia'), ('SAUDI ARABIA', 'Asia'), ('LEBANON', 'Asia'),
+    ('HONG KONG', 'Asia'), ('SINGAPORE', 'Asia'), ('BAHRAIN', 'Asia'), ('MALAYSIA', 'Asia'),
+    ('UNITED ARAB EMIRATES', 'Asia'), ('ISRAEL', 'Asia'), ('KOREA, REPUBLIC OF', 'Asia'), ('USA', 'North America'),
+    ('CANADA', 'North America'), ('COSTA RICA', 'North America'), ('BRAZIL', 'South America'),
+    ('ARGENTINA', 'South America'), ('RSA', 'Africa'), ('KENYA', 'Africa'), ('EGYPT', 'Africa'), ('AUSTRALIA', 'Oceania')"""
+_REGION_CASE = f"""
+    SELECT Country, coalesce(r, 'Other') AS Region, CAST(count(*) AS BIGINT) AS lines
+    FROM clean LEFT JOIN (VALUES {_REGION_PAIRS}) AS pairs(c, r) ON Country = c GROUP BY 1, 2"""
+
+# One column for each cohort index that the tables hold.
+_WIDE = """
+    SELECT * FROM (PIVOT (SELECT CohortMonth, 'm' || CohortIndex AS cell, Retention FROM retention)
+                   ON cell USING max(Retention) GROUP BY CohortMonth)"""
 
 
 def _basket(source: str, key: str, name: str, where: str = "true") -> str:
@@ -397,6 +401,8 @@ def oracle_sql() -> dict[str, str]:
                                    THEN '"' || replace(Description, ' ', chr(10)) || '",' || chr(10)
                                    ELSE Description END AS Description) FROM raw""",
         "src_csv_inferred": "SELECT * REPLACE (CAST(StockCode AS INTEGER) AS StockCode) FROM raw",
+        "export_csv_modular": "SELECT * FROM modular",
+        "export_csv_minimal": "SELECT * FROM monolith",
         "export_csv_roundtrip": f"{_export('modular')} UNION ALL {_export('minimal')}".replace(
             "FROM minimal", "FROM monolith"
         ),
@@ -447,6 +453,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE CAST(InvoiceTS AS DATE) BETWEEN DATE '{catalog.FILTER_START}' AND DATE '{catalog.FILTER_END}'
             AND Country IN ({", ".join(f"'{c}'" for c in star.DEFAULTS)})""",
         "filter_domain": _domain("sales", star.DEFAULTS),
+        "filter_domain_stored": _domain("sales", star.DEFAULTS),
         "filter_domain_fallback": _domain("dash", ["United Kingdom", "Germany", "France", "EIRE", "Netherlands"]),
         "region_left_join": "SELECT * FROM mapped",
         "total_amount": "SELECT * FROM sales",
@@ -559,7 +566,7 @@ def oracle_sql() -> dict[str, str]:
         "cohort_assign": "SELECT * FROM cohort",
         "cohort_counts": "SELECT * FROM cells",
         "cohort_retention": "SELECT * FROM retention",
-        "cohort_retention_wide": _wide(len(catalog.RETENTION_MONTHS)),
+        "cohort_retention_wide": _WIDE,
         "cohort_ltv": f"""
             SELECT CohortMonth, {_mean('spend')} AS AvgLTV
             FROM (SELECT CohortMonth, CustomerID, sum(TotalAmount) AS spend FROM cohort GROUP BY 1, 2) GROUP BY 1""",
@@ -602,5 +609,5 @@ def oracle_sql() -> dict[str, str]:
         "end_to_end_basic": _run_summary("basic_rfm"),
     }
     sql = {name: _with(body) for name, body in bodies.items()}
-    sql["region_case"] = _with(_region_case(), raw=_raw(f"list_extract([{names}], n_nationkey + 1)"))
+    sql["region_case"] = _with(_REGION_CASE, raw=_raw(f"list_extract([{names}], n_nationkey + 1)"))
     return sql

@@ -4,7 +4,6 @@ import random
 import pytest
 from conftest import as_dict
 
-from tallyloom.plans import catalog
 from tallyloom.operators import cohorts, customers
 
 
@@ -134,14 +133,6 @@ def test_a_stray_date_adds_no_columns_but_its_own(make_sales):
     assert wide.columns == ["CohortMonth", "m1", "m24120"] and wide.count() == 2
 
 
-def test_wide_retention_refuses_months_beyond_its_columns(make_sales, sales, monkeypatch):
-    rows = [("1", "2000-01-01 10:00:00", "1", "A", "mug", 1, 1.0), ("2", "2010-12-01 10:00:00", "1", "A", "mug", 1, 1.0)]
-    monkeypatch.setattr(catalog, "sales", lambda spark, sf: make_sales(rows))
-    with pytest.raises(ValueError, match="132"):
-        catalog.cohort_retention_wide(None, "")
-    assert cohorts.cohort_retention_wide(sales, range(1, 81), whole=True).columns[-1] == "m80"
-
-
 def test_top_customers_have_one_spelling_and_an_id(make_sales):
     rows = [
         ("1", "2010-12-01 10:00:00", "", "A", "mug", 100, 1.0),

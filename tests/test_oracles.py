@@ -1,14 +1,18 @@
 """Every registered query against its SQL equivalent, on the smallest tables."""
 
+import dataclasses
 import datetime as dt
 import math
 
 import duckdb
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tallyloom.operators import clustering, enrichment
 from tallyloom.plans import catalog, oracles
+from tallyloom.sources import writers
 
 QUERIES, SQL = catalog.queries(), oracles.oracle_sql()
 TABLES = ["region", "nation", "customer", "orders", "lineitem", "part", "events"]
@@ -46,3 +50,37 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["YearMonth", "Country", "Revenue", "Transactions", "ItemsSold"]
+
+
+def _agrees(spark, duck, name):
+    frame, relation = QUERIES[name](spark, SMALL), duck.sql(SQL[name])
+    columns = sorted(frame.columns)
+    expected = [tuple(_cell(r[relation.columns.index(c)]) for c in columns) for r in relation.fetchall()]
+    return sorted(tuple(_cell(r[c]) for c in columns) for r in frame.collect()) == sorted(expected)
+
+
+@pytest.mark.parametrize("name", ["export_csv_modular", "export_csv_minimal"])
+@pytest.mark.parametrize("column", ["StockCode", "Description", "InvoiceDate", "UnitPrice"])
+def test_one_changed_value_of_an_export_is_seen(spark, duck, monkeypatch, name, column):
+    export = writers.export_csv
+
+    def shifted(df, path, columns, **options):
+        one = df.agg(F.min("InvoiceNo")).first()[0]
+        other = F.col(column) + 0.5 if column == "UnitPrice" else F.concat(F.col(column), F.lit("x"))
+        first = (F.col("InvoiceNo") == one) & (F.col("StockCode") == df.where(F.col("InvoiceNo") == one).agg(F.min("StockCode")).first()[0])
+        export(df.withColumn(column, F.when(first, other).otherwise(F.col(column))), path, columns, **options)
+
+    monkeypatch.setattr(writers, "export_csv", shifted)
+    assert not _agrees(spark, duck, name)
+
+
+def test_a_wrong_region_of_one_country_is_seen(spark, duck, monkeypatch):
+    moved = {**enrichment.REGION_COUNTRIES, "Asia": [c for c in enrichment.REGION_COUNTRIES["Asia"] if c != "ISRAEL"]}
+    monkeypatch.setattr(enrichment, "REGION_COUNTRIES", moved)
+    assert not _agrees(spark, duck, "region_case")
+
+
+def test_a_wrong_silhouette_is_seen(spark, duck, monkeypatch):
+    real = clustering._cluster
+    monkeypatch.setattr(clustering, "_cluster", lambda *a, **b: dataclasses.replace(r := real(*a, **b), silhouette=r.silhouette + 1e-4))
+    assert not _agrees(spark, duck, "kmeans_metrics")
