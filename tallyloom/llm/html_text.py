@@ -1,11 +1,12 @@
 """Main text of web pages by two passes of block rules.
 
 A page is cut into blocks of text between block-level tags. The first pass decides a block by link density, length
-and stop-word density, on every page; blocks inside a menu, advert, form or comment list are bad. What these signs
-leave open stays ambiguous: short blocks, and in the article also long ones with many links or few stop words. The
-second pass gives an ambiguous block the label of the nearest decided block, above or below, on the same side of the
-article's border; in the article it is bad only between two bad ones. Good blocks are joined in page order, so long
-prose outside an article element counts too.
+and stop-word density, on every page; blocks inside a menu, advert, form or comment list are bad, and so are short
+copyright notices outside the article. What these signs leave open stays ambiguous: short blocks, and in the article
+also long ones with many links or few stop words. The second pass gives an ambiguous block the label of the nearest
+decided block, above or below, with no border of the article between them; blocks inside menus and the like are no
+neighbours. The article's mark decides only where none is. Good blocks are joined in page order, so long prose outside
+an article element counts too. Work is in proportion to the page, whatever its markup.
 
 The stop words are those of English, French, German and Spanish. On a page in another language they do not count.
 """
@@ -13,9 +14,12 @@ The stop words are those of English, French, German and Spanish. On a page in an
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,11 +54,13 @@ _MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<hidden>{'|'.join(HIDDEN.split())})\b[^>]*(?:>.*?(?:</(?P=hidden)\s*>|\Z)|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*(?:>|\Z))"
+    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.I | re.S,
 )
+_QUOTE_OR_END = re.compile("[>\"']")
+_NOTICE = re.compile(r"©|\(c\)|copyright\b", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 #: Letters of Thai, Lao, Burmese and Khmer, kana, and Chinese characters.
 _UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
@@ -69,10 +75,47 @@ class Block:
     text: str = ""
 
 
+class _Tags:
+    """Where the tags of a page end, worked out for every ``>`` and quote of the page once, from the last to the first."""
+
+    def __init__(self, html: str):
+        marks = list(_QUOTE_OR_END.finditer(html))
+        self.places = [m.start() for m in marks]
+        n = len(marks)
+        self.quoted, self.plain = [-1] * (n + 1), [len(html)] * (n + 1)
+        later: dict[str, int] = {}
+        for i in range(n - 1, -1, -1):
+            sign = marks[i][0]
+            if sign == ">":
+                self.quoted[i] = self.plain[i] = self.places[i] + 1
+            else:
+                self.plain[i] = self.plain[i + 1]
+                if sign in later:
+                    self.quoted[i] = self.quoted[later[sign] + 1]
+                later[sign] = i
+
+    def end(self, at: int) -> int:
+        """The place after the tag whose attributes begin at ``at``. A ``>`` within quotes does not end it, unless no
+        other one does."""
+        i = bisect_left(self.places, at)
+        return self.quoted[i] if self.quoted[i] >= 0 else self.plain[i]
+
+
+def _tokens(html: str) -> Iterator[tuple[re.Match, str]]:
+    """Matches of ``_TOKEN`` one after the other, with the attributes and end of a tag."""
+    tags, at = _Tags(html), 0
+    while at < len(html):
+        token = _TOKEN.match(html, at)
+        end = tags.end(token.end()) if token["tag"] else token.end()
+        yield token, html[token.end() : end]
+        at = end
+
+
 def blocks(html: str) -> list[Block]:
     """The blocks with text, in page order. A tag or comment cut off by the end of the page is left out."""
     found, current = [], Block()
     open_tags: list[tuple[str, bool, bool]] = []  # name, inside the article, inside boilerplate
+    open_names: Counter[str] = Counter()
     links = 0
 
     def close():
@@ -83,7 +126,7 @@ def blocks(html: str) -> list[Block]:
         main, boiler = open_tags[-1][1:] if open_tags else (False, False)
         current = Block(main=main, boiler=boiler)
 
-    for token in _TOKEN.finditer(html):
+    for token, rest in _tokens(html):
         text = token["text"]
         if text is not None:
             piece = unescape(text)
@@ -100,12 +143,14 @@ def blocks(html: str) -> list[Block]:
         if tag in INLINE:
             if tag == "br":
                 current.pieces.append(" ")
-            if not _MARKED.search(token["rest"]):
+            if not _MARKED.search(rest):
                 continue
         if token["end"]:
-            if any(name == tag for name, _, _ in open_tags):
-                while open_tags.pop()[0] != tag:
-                    pass
+            if open_names[tag]:
+                closed = None
+                while closed != tag:
+                    closed = open_tags.pop()[0]
+                    open_names[closed] -= 1
                 links = 0 if tag not in INLINE else links
                 close()
             elif tag not in INLINE:
@@ -116,18 +161,20 @@ def blocks(html: str) -> list[Block]:
                 close()
             continue
         main, boiler = open_tags[-1][1:] if open_tags else (False, False)
-        names = " ".join(_MARKED.findall(token["rest"])).replace('"', " ").replace("'", " ")
+        names = " ".join(_MARKED.findall(rest)).replace('"', " ").replace("'", " ")
         if tag in MAIN or re.search(r"(?:^|\s)main(?:$|\s)", names):
             main, boiler = True, bool(_BAD.search(names)) or main and boiler
         elif tag in BOILER and not (tag == "header" and main) or names and _BAD.search(names):
             boiler = True
         elif tag == "p" and open_tags and open_tags[-1][0] == "p":
             open_tags.pop()
+            open_names["p"] -= 1
             main, boiler = open_tags[-1][1:] if open_tags else (False, False)
         if tag in INLINE:
             if not boiler or open_tags and open_tags[-1][2]:
                 continue  # an inline element matters only where it opens boilerplate
         open_tags.append((tag, main, boiler))
+        open_names[tag] += 1
         close()
     close()
     return found
@@ -169,6 +216,8 @@ def first_pass(page: list[Block]) -> list[bool | None]:
     for b, (n, stops), links in zip(page, counted, linked, strict=True):
         if b.boiler:
             first.append(False)
+        elif not b.main and n < LONG and _NOTICE.match(b.text):
+            first.append(False)
         elif links:
             first.append(None if b.main and n >= SHORT else False)
         elif n >= SHORT and (stops >= STOPS_HIGH or not fits and stops < STOPS_LOW) or n >= LONG and stops >= STOPS_LOW:
@@ -185,16 +234,12 @@ def labels(page: list[Block]) -> list[bool]:
     first = first_pass(page)
     marked = any(b.main and not b.boiler for b in page)
     result = [bool(label) for label in first]
-    for inside in (True, False):
-        # An advert within the article says nothing of the blocks beside it.
-        places = [i for i, b in enumerate(page) if b.main == inside and not (inside and b.boiler)]
+    for inside, part in groupby(range(len(page)), key=lambda i: page[i].main):
+        # A menu or an advert is no neighbour: its element parts it from the blocks beside it.
+        places = [i for i in part if not page[i].boiler]
         for i, near in _nearest(first, places).items():
-            if inside:
-                # The article speaks for its blocks, unless bad ones stand both above and below.
-                result[i] = len(near) < 2 or any(good for _, good in near)
-            else:
-                # The nearer one wins, a good one among equals; without any, all is text, or all in the article.
-                result[i] = min(near, key=lambda x: (x[0], not x[1]))[1] if near else not marked
+            # The nearer one wins, a good one among equals. Without any, the article's mark decides if the page has one.
+            result[i] = min(near, key=lambda x: (x[0], not x[1]))[1] if near else inside or not marked
     return result
 
 
