@@ -42,12 +42,12 @@ def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """The old layout is one of 16 shards by source, which the hot source makes uneven; the new one has even sizes."""
     by_source = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(16))
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
-    placed, changed = reshard.reshard(docs, by_source, 16)
-    rows = reshard.rewrite(placed.drop("source"), changed)
-    return rows.select(
-        "doc_id",
+    old = reshard.write_shards(docs, by_source, stage_path(spark, "old-shards"))
+    new = reshard.reshard(old, docs.schema, 16)
+    return reshard.sharded_rows(new.layout, docs.schema).select(
+        F.col("row.doc_id").alias("doc_id"),
         "size",
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit("bytes").alias("law"),
         "shard",
         "slot",

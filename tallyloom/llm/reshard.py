@@ -1,23 +1,26 @@
-"""Moving a table from old shards to new ones of given capacities with the fewest bytes rewritten.
+"""Moving a sharded table to new shards of given capacities with the fewest bytes moved.
 
-A minimum-cost flow from old shard sizes to new capacities, where a byte that stays costs nothing and one that
-moves costs one, says how many bytes go from which shard to which. Each old shard lies in a fixed order, and its
-flow cuts that order into one block for each target. Only shards that gain or lose a block are rewritten.
+A shard is a list of Parquet files, and a layout says which file lies in which shard. A minimum-cost flow from old
+shard sizes to new capacities, where a byte that stays costs nothing and one that moves costs one, says how many
+bytes go from which shard to which. Each old shard's files lie in a fixed order, and its flow cuts that order into one
+block for each target. A file that lies within a block goes to its new shard as it is; only the files that a cut
+goes through, at most one for each cut, are read and written anew, as one piece for each side.
 
-Places in a shard's order come from sums over many small buckets per shard and running sums inside a bucket, so a shard
-that holds most of the table is still spread over all tasks. The driver sees one number per old shard.
+A row's slot is its place in its file plus the rows of the files before it in the shard, so slots need no sort. The
+driver sees one number per old shard, and the names of the files, as any scan of them does.
 """
 
 from __future__ import annotations
 
 from collections import deque
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tallyloom.functions.staging import stage, stage_path
 
-#: Rows that a bucket holds about, and the fewest buckets of a shard.
-BUCKET_ROWS, LEAST_BUCKETS = 20_000, 256
+#: Rows that a file holds at most.
+FILE_ROWS = 20_000
 
 
 def row_size(text: Column) -> Column:
@@ -77,28 +80,52 @@ def transfers(old_sizes: dict[int, int], capacities: list[int]) -> dict[tuple[in
     return {(old, new): n for old, new, n in sent if n}
 
 
-def reshard(
-    docs: DataFrame, old_shard: Column, shards: int, capacities: list[int] | None = None
-) -> tuple[DataFrame, set[int]]:
-    """``docs`` plus ``size``, ``old_shard``, ``shard`` and ``slot``, the place in the shard without gaps from 0; and
-    the shards that gain or lose rows.
+def write_shards(docs: DataFrame, shard: Column, path: str, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Write ``docs`` as shards of files of at most ``file_rows`` rows to ``path`` and return their layout.
 
-    ``old_shard`` is a number from 0 that is null for no row. Without ``capacities`` the new shards get equal
-    sizes; a row goes where the block that its middle lies in goes, so a shard misses its capacity by half a row
-    at each of its cuts at most. Null texts have size 1. An empty table stays empty. Input columns named like the
-    added ones are replaced. Rows are ordered by bucket, id and hash of the text; equal rows are interchangeable.
+    ``shard`` is a number from 0 that is null for no row. A row keeps all its columns, in one struct, so no name clashes.
+    A hot shard is written by as many tasks as its bytes fill.
     """
-    spark = docs.sparkSession
-    docs = docs.drop("size", "old_shard", "bucket", "hash", "shard", "slot", "info")
-    buckets = max(LEAST_BUCKETS, docs.count() // BUCKET_ROWS)
-    rows = docs.select(
-        "*",
-        row_size(F.col("text")).alias("size"),
-        old_shard.cast("int").alias("old_shard"),
-        F.xxhash64("doc_id", "text").alias("hash"),
-    ).withColumn("bucket", F.pmod("hash", F.lit(buckets)).cast("int"))
-    sums = stage(rows.groupBy("old_shard", "bucket").agg(F.sum("size").alias("bytes")), "buckets")
-    sizes = {r["old_shard"]: r["n"] for r in sums.groupBy("old_shard").agg(F.sum("bytes").alias("n")).collect()}
+    rows = docs.select(F.struct("*").alias("row"), row_size(F.col("text")).alias("size"), shard.cast("int").alias("shard"))
+    rows = rows.hint("rebalance", "shard").withColumn("old_shard", F.col("shard"))
+    rows.write.option("maxRecordsPerFile", file_rows).partitionBy("shard", "old_shard").parquet(path)
+    return layout_of(docs.sparkSession, path)
+
+
+def layout_of(spark: SparkSession, path: str) -> DataFrame:
+    """(file, shard, old_shard, rows, bytes) for each file under ``path``; only the sizes of the rows are read."""
+    sizes = spark.read.schema("size long, shard int, old_shard int").parquet(path)
+    by_file = sizes.groupBy(F.col("_metadata.file_path").alias("file"), "shard", "old_shard")
+    return stage(by_file.agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes")), "layout")
+
+
+@dataclass(frozen=True)
+class Reshard:
+    """The new layout, the bytes that change their shard and the bytes that were written to that end."""
+
+    layout: DataFrame
+    moved_bytes: int
+    written_bytes: int
+
+
+def _files(spark: SparkSession, names: list[str], row: T.StructType) -> DataFrame:
+    schema = T.StructType([T.StructField("row", row), T.StructField("size", T.LongType())])
+    columns = ["row", "size", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("nth")]
+    if not names:
+        return spark.createDataFrame([], schema).select("row", "size", F.lit("").alias("file"), F.lit(0).cast("long").alias("nth"))
+    return spark.read.schema(schema).parquet(*names).select(*columns)
+
+
+def reshard(layout: DataFrame, row: T.StructType, shards: int, capacities: list[int] | None = None, path: str | None = None) -> Reshard:
+    """Move a layout to ``shards`` new shards; ``row`` is the schema of the table, ``path`` where new files go.
+
+    Without ``capacities`` the new shards get equal sizes. A row goes where the block that its middle lies in goes, so a
+    shard misses its capacity by half a row at each of its cuts at most. Null texts have size 1. An empty layout stays
+    empty. Files of the old layout are never changed.
+    """
+    spark = layout.sparkSession
+    path = path or stage_path(spark, "shards")
+    sizes = {r["shard"]: r["n"] for r in layout.groupBy("shard").agg(F.sum("bytes").alias("n")).collect()}
     moves = transfers(sizes, capacities or even_capacities(sum(sizes.values()), shards))
     cuts, reached = [], dict.fromkeys(sizes, 0)
     # What stays comes first in a shard's order, then the blocks for the others by their numbers.
@@ -106,38 +133,32 @@ def reshard(
         cuts.append((old, reached[old], reached[old] + amount, new))
         reached[old] += amount
     # One row per transfer, so at most old shards times new ones.
-    blocks = F.broadcast(spark.createDataFrame(cuts, "old_shard int, first long, past long, shard int"))
-    key = ["old_shard", "bucket"]
-    before = Window.partitionBy("old_shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stage(sums.select(*key, F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start")), "starts")
-
-    def assigned(rows: DataFrame, info: DataFrame) -> DataFrame:
-        order = Window.partitionBy(*key).orderBy("doc_id", "hash").rowsBetween(Window.unboundedPreceding, 0)
-        known = rows.join(info, key)
-        known = known.withColumn("place", F.col("start") + F.sum("size").over(order) - F.expr("(size + 1) div 2"))
-        known = known.withColumn("nth", F.count(F.lit(1)).over(order))
-        return known.join(blocks, "old_shard").where("place >= first and place < past")
-
-    counted = assigned(rows.select("doc_id", "hash", "size", *key), starts)
-    pieces = stage(
-        counted.groupBy("shard", *key).agg(F.count(F.lit(1)).alias("n"), F.min("nth").alias("least")), "pieces"
-    )
-    earlier = Window.partitionBy("shard").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
-    # A bucket's rows of one shard follow each other, so its slots are its row numbers, shifted.
-    shifted = pieces.select("shard", *key, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("least")).alias("shift"))
-    shifts = shifted.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("shard", "shift"))).alias("shifts"))
-    info = stage(starts.join(shifts, key), "places")
-    slot = (F.element_at("shifts", F.col("shard")) + F.col("nth")).alias("slot")
-    placed = assigned(rows, info).select(*docs.columns, "size", "old_shard", "shard", slot)
-    return placed, {shard for move in moves if move[0] != move[1] for shard in move}
-
-
-def rewrite(placed: DataFrame, changed: set[int], path: str | None = None) -> DataFrame:
-    """Write the rows of the changed shards to ``path``, a folder per shard, and return all rows: these from the
-    new files, the rows of the other shards from where they are."""
-    spark = placed.sparkSession
-    path = path or stage_path(spark, "shards")
-    moved = F.col("shard").isin(sorted(changed))
-    placed.where(moved).write.partitionBy("shard").parquet(path)
-    written = spark.read.schema(placed.schema).parquet(path).select(*placed.columns)
-    return written if len(changed) and placed.where(~moved).isEmpty() else written.unionByName(placed.where(~moved))
+    blocks = F.broadcast(spark.createDataFrame(cuts, "shard int, first long, past long, target int"))
+    before = Window.partitionBy("shard").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("bytes").over(before), F.lit(0))
+    met = layout.withColumn("start", start).join(blocks, "shard").where("first < start + bytes and start < past")
+    whole = F.expr("first <= start and start + bytes <= past")
+    placed = stage(met.withColumn("whole", whole), "blocks")
+    kept = placed.where("whole").select("file", F.col("target").alias("shard"), "old_shard", "rows", "bytes")
+
+    torn = placed.where("not whole")
+    names = [r["file"] for r in torn.select("file").distinct().orderBy("file").collect()]  # at most one per cut
+    order = Window.partitionBy("file").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)  # the rows of one file
+    pieces = _files(spark, names, row).withColumn("upto", F.sum("size").over(order))
+    places = torn.select("file", "old_shard", "start", "first", "past", F.col("target").alias("shard"))
+    middle = F.col("start") + F.col("upto") - F.expr("(size + 1) div 2")
+    sided = pieces.join(places, "file").where((middle >= F.col("first")) & (middle < F.col("past")))
+    sided.select("row", "size", "shard", "old_shard").write.partitionBy("shard", "old_shard").parquet(path)
+    written = layout_of(spark, path) if names else kept.limit(0)
+    changed = sum(amount for (old, new), amount in moves.items() if old != new)
+    return Reshard(stage(kept.unionByName(written), "layout"), changed, written.agg(F.sum("bytes")).first()[0] or 0)
+
+
+def sharded_rows(layout: DataFrame, row: T.StructType) -> DataFrame:
+    """The rows of a layout, each in the struct ``row``, with ``size``, ``shard``, ``old_shard`` and ``slot``, its place in
+    the shard without gaps from 0: the files of a shard follow each other by name."""
+    names = [r["file"] for r in layout.select("file").orderBy("file").collect()]  # as Spark's own scan lists them
+    before = Window.partitionBy("shard").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = layout.select("file", "shard", "old_shard", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"))
+    rows = _files(layout.sparkSession, names, row).join(stage(firsts, "firsts"), "file")
+    return rows.select("row", "size", "shard", "old_shard", (F.col("first") + F.col("nth")).alias("slot"))
