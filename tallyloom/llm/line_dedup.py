@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.functions.staging import stage
-from tallyloom.llm.tables import BLANKS, let
+from tallyloom.llm.tables import BLANKS, let, unused
 
 HASH = ["line_hash", "line_hash2"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -74,7 +74,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
 def _kept_text(text: Column, dropped: Column) -> Column:
     lines = _lines(text)
-    numbers = F.sequence(F.lit(0), F.expr("int((size(split(coalesce(text, ''), '\n')) - 1) div 64)"))
+    numbers = F.sequence(F.lit(0), F.floor((F.size(lines) - 1) / 64).cast("int"))
     bits = F.transform(numbers, lambda w: F.coalesce(F.element_at(dropped, w), F.lit(0).cast("long")))
 
     def kept(parts):
@@ -95,14 +95,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     Null and empty texts have one empty line and the kept text ''. Other columns pass through; an input column
     named like an added one is replaced.
     """
-    docs = docs.drop("n_lines", "n_dropped", "kept_text", "text_hash", "dropped")
-    left = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).alias("d")
+    docs = docs.drop("n_lines", "n_dropped", "kept_text")
+    own_hash = unused(docs, "text_hash")
+    left = docs.withColumn(own_hash, F.xxhash64(F.coalesce("text", F.lit("")))).alias("d")
     maps = keep_bitmaps(docs, min_chars, min_docs).alias("b")
-    same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d.text_hash") == F.col("b.text_hash"))
-    joined = left.join(maps, same, "left").select("d.*", "b.dropped", "b.n_dropped")
-    return joined.select(
-        *[F.col(c) for c in docs.columns],
-        F.size(_lines(F.col("text"))).cast("long").alias("n_lines"),
-        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
-        _kept_text(F.col("text"), F.col("dropped")).alias("kept_text"),
+    same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col(f"d.{own_hash}") == F.col("b.text_hash"))
+    text = F.col("d.text")
+    return left.join(maps, same, "left").select(
+        *[F.col(f"d.`{c}`") for c in docs.columns],
+        F.size(_lines(text)).cast("long").alias("n_lines"),
+        F.coalesce("b.n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        _kept_text(text, F.col("b.dropped")).alias("kept_text"),
     )

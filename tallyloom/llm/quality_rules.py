@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.llm.tables import BLANKS, let, words
+from tallyloom.llm.tables import BLANKS, let, unused, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -82,7 +82,8 @@ def _repeat_words(word_list: Column) -> Column:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """``docs`` plus the measurements, as long. A null text has no words and no lines.
+    """``docs`` plus the measurements, as long; columns of their names are replaced, all others kept. A null text has
+    no words and no lines. The length rule of words rejects long texts in a script without spaces, whose lines are words.
 
     Windows are compared by 64-bit hashes within one document.
     """
@@ -97,17 +98,18 @@ def measure(docs: DataFrame) -> DataFrame:
     line_counts = let(
         lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("d"))
     )
+    of_words, of_lines = unused(docs, "_words"), unused(docs, "_lines")
     return (
-        docs.withColumn("_words", counts)
-        .withColumn("_lines", line_counts)
+        docs.withColumn(of_words, counts)
+        .withColumn(of_lines, line_counts)
         .select(
             *docs.columns,
-            F.col("_words.n").alias("n_words"),
+            F.col(of_words)["n"].alias("n_words"),
             _without(text, BLANKS).cast("long").alias("word_chars"),
             (F.length(text) - _without(text, SYMBOLS)).cast("long").alias("n_symbols"),
-            F.col("_lines.d").cast("long").alias("n_dup_lines"),
-            F.col("_words.r").alias("n_repeat_words"),
-            F.col("_lines.n").alias("n_lines"),
+            F.col(of_lines)["d"].cast("long").alias("n_dup_lines"),
+            F.col(of_words)["r"].alias("n_repeat_words"),
+            F.col(of_lines)["n"].alias("n_lines"),
             (F.length(text) - _without(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).cast("long").alias("n_upper"),
         )
     )

@@ -14,7 +14,7 @@ keyed AS (
     SELECT *, translate(regexp_replace(line, '^[{_BLANKS}]+|[{_BLANKS}]+$', '', 'g'), {_LOWER}) AS key FROM lines),
 shared AS (
     SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
-    GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    GROUP BY key HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 3),
 marked AS (
     SELECT k.r, k.pos, k.line, s.key IS NOT NULL AND k.doc_id IS DISTINCT FROM s.keeper AS dropped
     FROM keyed k LEFT JOIN shared s ON k.key = s.key AND length(k.key) >= 20)

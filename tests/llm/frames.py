@@ -43,6 +43,22 @@ def no_docs(spark):
 
 @pytest.fixture(scope="session")
 def clashing(odd_docs):
-    """Extra columns named like the operators' own."""
-    names = ["score", "failed", "n_words", "n_lines", "kept_text", "size", "shard", "slot", "at", "node", "hash", "hashes"]
-    return odd_docs.selectExpr("*", *[f"'x' as {n}" for n in names])
+    """Extra columns named like the operators' own columns and helpers."""
+    names = """score failed n_words n_lines n_dropped kept_text size shard slot at node hash hashes start first past place nth shifts
+        shift bucket info old_shard row file upto target text_hash dropped pos key keeper line_hash line_hash2 word bits _words
+        _lines _words_ word_chars n n_shingles component_id component name digest __digest __salt signature kind group held_out
+        item_id edits end prefix middle output restored form root n_near part h score_"""
+    return odd_docs.selectExpr("*", *[f"'x' as {n}" for n in names.split()])
+
+
+@pytest.fixture(scope="session")
+def kept_columns(clashing):
+    """Whether the extra columns of ``clashing`` that a result still has are as they were; ``added`` are the result's own."""
+
+    def check(result, added=()):
+        lost = set(clashing.columns) - set(result.columns) - {"text"}
+        assert not lost, lost
+        for r in result.collect():
+            assert all(r[c] == "x" for c in clashing.columns[5:] if c not in added)
+
+    return check

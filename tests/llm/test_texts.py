@@ -34,6 +34,32 @@ def test_line_dedup(frame, request):
     assert sorted(map(tuple, got), key=str) == sorted(kept_lines(docs.collect()), key=str)
 
 
+def test_other_columns_are_kept(clashing, kept_columns, spark):
+    kept_columns(line_dedup.dedup_lines(clashing), ["n_lines", "n_dropped", "kept_text"])
+    kept_columns(quality_rules.measure(clashing), quality_rules.MEASURES)
+    kept_columns(quality_rules.ledger(clashing), [*quality_rules.MEASURES, "failed"])
+    kept_columns(ngram_join.one_of_each(clashing))
+    bench = spark.createDataFrame([(1, "nothing of the kind occurs in here")], "item_id long, text string")
+    kept_columns(decontaminate.without_hits(clashing, bench))
+    kept_columns(line_crf.score_documents(clashing, line_crf.train(clashing, spark.createDataFrame([], "doc_id long, quality int"))), ["score"])
+
+
+def test_a_line_of_two_documents_and_one_without_an_id(spark):
+    import duckdb
+
+    from tallyloom.llm import sql
+
+    line = "a line that is long enough to count"
+    rows = [(1, line), (2, f"{line}\nown"), (None, line), (None, f"x\n{line}"), (3, "a line of two documents only"), (None, "a line of two documents only")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.dedup_lines(docs).selectExpr("doc_id", "n_lines", "n_dropped", "sha2(kept_text, 256)").collect()
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.sql(sql.OP8).fetchall()))
+    assert sum(r["n_dropped"] for r in got) == 3
+
+
 def test_line_dedup_many_lines(make_docs):
     shared, spread = "A line that many documents share", "  a LINE that many documents share\t"
     texts = ["\n".join([f"own line number {i} of the text {j}" for j in range(70)] + [shared if i % 2 else spread] * 2) for i in range(9)]
