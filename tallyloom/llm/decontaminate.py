@@ -5,12 +5,17 @@ and their diagonals (place in the document less place in the item) differ by at
 bands of 2 (k + 1) that overlap by half, so one band holds them all; a band with enough shared q-grams is aligned
 in full, the others cannot hold an occurrence.
 
+Texts that repeat an item's q-grams, such as rules of dashes, share a number of them that grows as text times item. So shared
+q-grams are counted in pieces of fixed size, and for pairs that share very many, bands are counted by asking for each
+place of the item whether its q-gram lies within the band, and neighbouring bands are aligned together.
+
 Items go out in blocks of at most ``BLOCK_CHARS`` characters, one scan of the documents per block: what is sent
 to the executors has that bound however many items there are.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -25,6 +30,9 @@ Q, EDIT_SHARE = 8, 0.1
 #: Normalised characters of the items of one block; their index takes 16 bytes a character.
 BLOCK_CHARS = 4_000_000
 SLICE, FILTER_BITS = 2_000_000, 22
+#: Shared q-grams worked on at once; the number of them from which a text and an item count as repeating; and
+#: diagonals of a repeating pair aligned at once. They bound the memory of a task, not the results.
+PIECE, DENSE, MERGED = 1_000_000, 20_000, 8_192
 _POWER, _SPREAD = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -97,29 +105,72 @@ class Block:
                         free[item] = start + size
                         yield item, start, start + size
 
-    def regions(self, codes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int]]:
-        """(text, item, first diagonal) of the bands that meet the bound; ``bounds`` are the texts' first places."""
+    def _expanded(self, found: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(number, entry) for every place of an item that has the q-gram ``found[number]``, some ``PIECE`` at a time and
+        those of one number together."""
+        times = self.first[found + 1] - self.first[found]
+        total = np.cumsum(times)
+        start = 0
+        while start < len(found):
+            before = total[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(total, before + PIECE, side="right")))
+            own, ends = times[start:stop], total[start:stop] - before
+            entry = np.arange(ends[-1]) - np.repeat(ends - own, own) + np.repeat(self.first[found[start:stop]], own)
+            yield np.repeat(np.arange(start, stop), own), entry
+            start = stop
+
+    def regions(self, codes: np.ndarray, bounds: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+        """(text, item, first diagonal) of the bands that meet the bound, and the pairs (text, item) that share q-grams so
+        often that their bands have to be counted otherwise; ``bounds`` are the texts' first places."""
         hashes = gram_hashes(codes)
         at = np.flatnonzero(self.present[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
         found = np.minimum(np.searchsorted(self.grams, hashes[at]), len(self.grams) - 1)
         same = self.grams[found] == hashes[at]
         at, found = at[same], found[same]
-        times = self.first[found + 1] - self.first[found]
         if not len(at):
-            return []
-        total = np.cumsum(times)
-        entry = np.arange(total[-1]) - np.repeat(total - times, times) + np.repeat(self.first[found], times)
-        item, text = self.items[entry], np.searchsorted(bounds, at, side="right") - 1
+            return [], []
         sizes = np.array([len(c) for c in self.codes])
         budgets = np.array([edit_budget(s) for s in sizes])
         needs = np.maximum(sizes - Q + 1 - budgets * Q, 1)
-        # Fewer q-grams of an item in all of a text than one band needs: most hits go here, counted by a hash.
-        text, at = np.repeat(text, times), np.repeat(at, times)
-        pair = (text * len(sizes) + item) & ((1 << FILTER_BITS) - 1)
-        enough = np.bincount(pair, minlength=1)[pair] >= needs[item]
-        text, at, item, entry = text[enough], at[enough], item[enough], entry[enough]
+        text = np.searchsorted(bounds, at, side="right") - 1
+        kinds, kind, times = np.unique(text * len(self.grams) + found, return_inverse=True, return_counts=True)
+        text_of, gram_of = kinds // len(self.grams), kinds % len(self.grams)
+
+        def slot(text: np.ndarray, entry: np.ndarray) -> np.ndarray:
+            return (text * len(sizes) + self.items[entry]) & ((1 << FILTER_BITS) - 1)
+
+        # Fewer q-grams of an item in all of a text than one band needs: most hits go here, counted by a hash, from how
+        # often a text has each q-gram.
+        counts = np.zeros(1 << FILTER_BITS)
+        for number, entry in self._expanded(gram_of):
+            np.add.at(counts, slot(text_of[number], entry), times[number])
+        useful, dense = np.zeros(len(kinds), bool), set()
+        for number, entry in self._expanded(gram_of):
+            often = counts[slot(text_of[number], entry)]
+            many = often > DENSE
+            dense.update(np.unique(text_of[number[many]] * len(sizes) + self.items[entry[many]]).tolist())
+            useful[number[~many & (often >= needs[self.items[entry]])]] = True
+        at, found, text = at[useful[kind]], found[useful[kind]], text[useful[kind]]
+        bands, kept, size = [], [], 0
+        for number, entry in self._expanded(found):
+            often = counts[slot(text[number], entry)]
+            enough = (often <= DENSE) & (often >= needs[self.items[entry]])
+            kept.append((number[enough], entry[enough]))
+            size += len(kept[-1][0])
+            if size >= PIECE:  # the bands of whole texts can be counted at once
+                number, entry = (np.concatenate(x) for x in zip(*kept, strict=True))
+                last = int(np.searchsorted(text[number], text[number[-1]]))
+                bands += self._bands(text[number[:last]], at[number[:last]], entry[:last], bounds, sizes, budgets, needs)
+                kept, size = [(number[last:], entry[last:])], 0
+        if kept:
+            number, entry = (np.concatenate(x) for x in zip(*kept, strict=True))
+            bands += self._bands(text[number], at[number], entry, bounds, sizes, budgets, needs)
+        return bands, [(pair // len(sizes), pair % len(sizes)) for pair in sorted(dense)]
+
+    def _bands(self, text, at, entry, bounds, sizes, budgets, needs) -> list[tuple[int, int, int]]:
         if not len(at):
             return []
+        item = self.items[entry]
         # An item may begin before its text does, by as many places as it may lose characters.
         diagonal = at - bounds[text] - self.places[entry] + sizes[item]
         band = diagonal // (budgets[item] + 1)
@@ -137,6 +188,32 @@ class Block:
         return list(zip((found_keys // top // len(sizes)).tolist(), item.tolist(), start.tolist(), strict=True))
 
 
+def dense_bands(item: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The first diagonals of the bands of an item that meet the bound, for texts that repeat its q-grams very often.
+
+    For each place of the item and each band it is only asked whether the text has that q-gram at any of the places
+    that the band allows, by its sorted places; so the work is bands times the item's places, a piece at a time.
+    """
+    budget = edit_budget(len(item))
+    need, step = max(len(item) - Q + 1 - budget * Q, 1), budget + 1
+    own, every = gram_hashes(item), gram_hashes(text)
+    names, name = np.unique(own, return_inverse=True)
+    at = np.minimum(np.searchsorted(names, every), len(names) - 1)
+    (places,) = np.nonzero(names[at] == every)
+    span = len(text) + len(item) + 3 * step  # more than any place
+    known = np.sort(at[places].astype(np.int64) * span + places)
+    number = (len(text) + len(item)) // step + 1
+    chunk = max(1, PIECE // len(own))
+    found = []
+    for first in range(0, number, chunk):
+        starts = np.arange(first, min(first + chunk, number)) * step - len(item)
+        low = starts[:, None] + np.arange(len(own))
+        base = name.astype(np.int64) * span
+        ends = [np.searchsorted(known, base + np.clip(low + far, 0, span - 1)) for far in (0, 2 * step)]
+        found.append(starts[(ends[1] > ends[0]).sum(axis=1) >= need])
+    return np.concatenate(found)
+
+
 def _last_row(item: np.ndarray, window: np.ndarray, base: int, first: np.ndarray, budget: int) -> np.ndarray | None:
     """The edits of the whole ``item`` against the pieces of ``window`` that end at column ``base + len(item) + j``,
     over diagonals ``base + j``; ``first`` are the costs of starting there. None once all exceed ``budget``."""
@@ -176,13 +253,56 @@ def align(item: np.ndarray, text: np.ndarray, start: int, budget: int) -> tuple[
     if last is None:
         return None
     end = int(np.argmin(last)) + base + m
-    # Backwards from the end, which is fixed now, to the start.
+    return int(last.min()), _start_of(item, text, end, budget), end
+
+
+def dense_hits(item: np.ndarray, text: np.ndarray) -> list[tuple[int, int, int]]:
+    """(edits, start, end) of occurrences in all bands of one item that meet the bound, none overlapping another, the
+    best first and the leftmost among equals. Neighbouring bands are aligned together, ``MERGED`` diagonals at a time."""
+    m, budget = len(item), edit_budget(len(item))
+    starts = dense_bands(item, text)
+    if not len(starts):
+        return []
+    cost = np.full(len(text) + 1, budget + 1, np.int64)  # the least edits of a piece that ends at a place
+    breaks = np.flatnonzero(np.diff(starts) > budget + 1)
+    for low, high in zip(starts[np.append(0, breaks + 1)], starts[np.append(breaks, len(starts) - 1)] + 2 * (budget + 1), strict=True):
+        for start in range(int(low), int(high), MERGED):
+            base, stop = start - budget, min(start + MERGED, int(high)) + budget
+            left, right = max(0, base), min(len(text), stop + m)
+            window, width = text[left:right], stop - base
+            columns = np.arange(width) + base - left
+            first = np.where((columns >= 0) & (columns <= len(window)), 0, m + len(window) + 2)
+            last = _last_row(item, window, base - left, first, budget)
+            if last is not None:
+                ends = np.arange(width) + base + m
+                real = (ends >= 0) & (ends <= len(text))
+                np.minimum.at(cost, ends[real], last[real])
+    taken: list[tuple[int, int, int]] = []  # (start, end, edits), in order
+    for edits in range(budget + 1):
+        blocked = np.zeros(len(text) + 1, bool)
+        for start, end, _ in taken:  # a piece with so few edits that ends here must overlap
+            blocked[start + 1 : end + m - edits] = True
+        free = np.flatnonzero((cost == edits) & ~blocked)
+        k = 0
+        while k < len(free):
+            end = int(free[k])
+            start = end - m if edits == 0 else _start_of(item, text, end, budget)
+            at = bisect_left(taken, (start, end, -1))
+            clear = (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= end)
+            if clear:
+                taken.insert(at, (start, end, edits))
+            k = max(k + 1, int(np.searchsorted(free, end + m - edits))) if clear else k + 1
+    return sorted((edits, start, end) for start, end, edits in taken)
+
+
+def _start_of(item: np.ndarray, text: np.ndarray, end: int, budget: int) -> int:
+    """Where the longest of the best pieces that end at ``end`` begins."""
+    m = len(item)
     piece = text[max(0, end - m - budget) : end][::-1]
     first = np.full(2 * budget + 1, m + len(piece) + 2)
     first[budget:] = np.arange(budget + 1)
     back = _last_row(item[::-1], piece, -budget, first, budget)
-    size = int(np.flatnonzero(back == last.min())[-1]) - budget + m
-    return int(last.min()), end - size, end
+    return end - (int(np.flatnonzero(back == back.min())[-1]) - budget + m)
 
 
 def _matches(block: Block, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
@@ -192,11 +312,15 @@ def _matches(block: Block, texts: list[str]) -> Iterator[tuple[int, int, int, in
     joined = _codes("\0".join(texts))
     bounds = np.concatenate(([0], np.cumsum(np.array(sizes) + 1)))[: len(texts)]
     found: dict[tuple[int, int], set] = {}
-    for text, item, start in block.regions(joined, bounds):
+    bands, dense = block.regions(joined, bounds)
+    for text, item, start in bands:
         letters = joined[bounds[text] : bounds[text] + sizes[text]]
         hit = align(block.codes[item], letters, start, edit_budget(len(block.codes[item])))
         if hit:
             found.setdefault((text, item), set()).add(hit)
+    for text, item in dense:
+        for edits, start, end in dense_hits(block.codes[item], joined[bounds[text] : bounds[text] + sizes[text]]):
+            yield text, item, start, end, edits
     for (text, item), hits in found.items():
         taken: list[tuple[int, int]] = []
         for edits, start, end in sorted(hits):

@@ -1,5 +1,7 @@
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -267,6 +269,59 @@ def test_benchmark_hits_equal_full_alignment(spark, make_docs):
     assert best == expected and len(expected) > 20
 
 
+def _found(items, texts):
+    block = decontaminate.Block.of(list(range(len(items))), items)
+    return sorted(decontaminate._matches(block, texts))
+
+
+def test_repeating_texts_equal_full_alignment(monkeypatch):
+    """Runs, periods and noise, with every pair taken for a repeating one and with none."""
+    random.seed(12)
+    items = ["-" * 60, "ab" * 40, "-" * 30 + "the end" + "-" * 30, "x" * 9]
+    texts = ["", "-" * 7, "-" * 55, "-" * 400, "ab" * 33 + "ba" * 60, "y" * 50 + "-" * 58 + "y" * 50, "x" * 30]
+    for _ in range(25):
+        text = list(random.choice(["-" * 90, "ab" * 55, items[2] * 2, "zx" * 20 + "x" * 9]))
+        for _ in range(random.randint(0, 12)):
+            text[random.randrange(len(text))] = random.choice(["", "q", "-", "ab"])
+        texts.append("".join(text))
+    plain = _found(items, texts)
+    monkeypatch.setattr(decontaminate, "PIECE", 500)
+    assert _found(items, texts) == plain
+    monkeypatch.setattr(decontaminate, "DENSE", 0)
+    monkeypatch.setattr(decontaminate, "MERGED", 20)
+    dense = _found(items, texts)
+    for hits in (plain, dense):
+        best = {}
+        for t, i, start, end, n in hits:
+            best[t, i] = min(n, best.get((t, i), 99))
+            assert edits(items[i], texts[t][start:end]) <= n <= decontaminate.edit_budget(len(items[i]))
+        expected = {}
+        for t, text in enumerate(texts):
+            for i, item in enumerate(items):
+                n = edits(item, text)
+                if n <= decontaminate.edit_budget(len(item)):
+                    expected[t, i] = n
+        assert best == expected and len(expected) > 20
+        spans = sorted((t, i, start, end) for t, i, start, end, _ in hits)
+        assert all(a[:2] != b[:2] or a[3] <= b[2] for a, b in zip(spans, spans[1:], strict=False))
+    assert [h[2:4] for h in dense if h[:2] == (3, 0)] == [(60 * k, 60 * k + 60) for k in range(6)]
+
+
+def test_a_long_run_keeps_its_memory_bound():
+    """A run of 1,000,000 equal characters against items with runs of 600: less than 400 MB beside the interpreter."""
+    code = """
+import resource
+from tallyloom.llm import decontaminate as d
+block = d.Block.of([0, 1, 2], ["-" * 600, "=" * 200 + "-" * 400, "a short text with -------- in it"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+hits = list(d._matches(block, ["-" * 1_000_000]))
+print(len(hits), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    count, megabytes = map(int, done.stdout.split())
+    assert count == 1_000_000 // 600 and megabytes < 400
+
+
 def test_short_benchmark_items_are_found(spark, make_docs):
     items = [(0, "Aa"), (1, "b"), (2, "seven c"), (3, " "), (4, "aa"), (5, "é😀")]
     bench = spark.createDataFrame(items, "item_id long, text string")
