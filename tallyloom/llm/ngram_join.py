@@ -10,8 +10,13 @@ last: a document that has enough other text never indexes them.
 The classes hold for sizes within a band; a set signs for its own band and the next one up, so any two sets that
 can be similar share a band. In the smallest bands frequent tokens sign alone.
 
-Candidates are verified on whole sets. First each set is compared with one partner, the smallest of a signature
-it shares most with; what that links becomes one component, and then only pairs across components remain. Equal
+Sets that share no rare token share frequent ones alone, so each set's number of these bounds the sizes of the sets it can
+be similar to by combinations. Sets made of a common passage and much text of their own therefore never meet each
+other, however many there are: they would have to share some of their own text, and then meet by that.
+
+Candidates are verified on whole sets. First each set is compared with one partner, the set with the fewest
+rare tokens of a signature it shares most with; what that links becomes one component, and then only pairs across
+components remain. Equal
 sets are one node throughout, so a group of copies is never paired with itself. ``similar_pairs`` verifies all
 candidates and gives every link.
 """
@@ -38,6 +43,8 @@ FREQUENT, MOST_FREQUENT = 50, 1 << 20
 #: Tokens counted per group, tokens sorted at once in a task, and bits of the filter of candidate documents (2 MB).
 GROUP_TOKENS, SORT_TOKENS, FILTER_BITS = 2_000_000, 4_000_000, 1 << 24
 BAND, SMALL_BAND = 1.26, 10
+#: Steps of sizes per unit of their logarithm; sets meet by combinations within steps that a similar one can have.
+SIZE_STEPS = 50
 #: Bytes of text taken at once, and 64-bit words of the bitmap that stands for a set.
 SLICE, BITMAP_WORDS = 400_000, 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -141,11 +148,31 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct one of sorted numbers begins, and how many there are of it."""
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return first, np.diff(np.append(first, len(keys)))
+
+
+def _repeats(counts: np.ndarray) -> bytes:
+    """Places and numbers of the counts above 1, which are few."""
+    (at,) = np.nonzero(counts > 1)
+    return np.concatenate((at, counts[at])).astype("<u4").tobytes()
+
+
+def _counts(size: int, repeats: bytes) -> np.ndarray:
+    at, many = np.frombuffer(repeats, "<u4").reshape(2, -1).astype(np.int64)
+    counts = np.ones(size, np.uint64)
+    counts[at] = many
+    return counts
+
+
 def frequent_tokens(docs: DataFrame, total: int, size: int) -> tuple[np.ndarray, int]:
     """The leading bits (their number comes second) of the tokens in too many documents, sorted.
 
-    Every token of every document counts. Tasks sort their tokens and send them packed, by range of the leading
-    bits, so that a group merges about ``GROUP_TOKENS`` numbers. Tokens that agree in ``bits`` leading bits, 32
+    Every token of every document counts. Tasks sort and count their tokens, ``SORT_TOKENS`` at a time, and send each
+    one once with its count, packed, by range of the leading bits; so a group merges about ``GROUP_TOKENS`` numbers,
+    however many documents hold a token. Tokens that agree in ``bits`` leading bits, 32
     more than the ranges take, count as one; that may make a rare token frequent but never changes a result.
     """
     high = max(0, math.ceil(math.log2(max(total, 1) / GROUP_TOKENS)))
@@ -157,11 +184,14 @@ def frequent_tokens(docs: DataFrame, total: int, size: int) -> tuple[np.ndarray,
         def packed():
             keys = np.sort(np.concatenate(held) >> np.uint64(64 - bits))
             held.clear()
+            first, counts = _runs(keys)
+            keys = keys[first]
             groups = (keys >> np.uint64(32)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(groups)) + 1
             parts = np.split((keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), cuts)
             names = groups[np.concatenate(([0], cuts))]
-            return pa.RecordBatch.from_arrays([pa.array(names), pa.array([_pack(p) for p in parts])], ["part", "data"])
+            columns = [names, [_pack(p) for p in parts], [_repeats(c) for c in np.split(counts, cuts)]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "data", "repeats"])
 
         count = 0
         for batch in batches:
@@ -177,14 +207,17 @@ def frequent_tokens(docs: DataFrame, total: int, size: int) -> tuple[np.ndarray,
 
     def merge(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        keys = np.sort(np.concatenate([_unpack(x.as_py()) for x in table.column("data")]))
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        counts = np.diff(np.append(first, len(keys)))
+        sent = [_unpack(x.as_py()) for x in table.column("data")]
+        numbers = [_counts(len(k), x.as_py()) for k, x in zip(sent, table.column("repeats"), strict=True)]
+        both = np.sort((np.concatenate(sent).astype(np.uint64) << np.uint64(32)) | np.concatenate(numbers))
+        keys = (both >> np.uint64(32)).astype(np.uint32)
+        first, _ = _runs(keys)
+        counts = np.add.reduceat((both & np.uint64(0xFFFFFFFF)).astype(np.int64), first)
         many = counts > FREQUENT
         tokens = keys[first[many]].astype(np.int64) + (part << 32)
         return pa.table({"token": tokens, "n_docs": counts[many].astype(np.int64)})
 
-    dealt = docs.mapInArrow(deal, "part long, data binary")
+    dealt = docs.mapInArrow(deal, "part long, data binary, repeats binary")
     found = stage(dealt.groupBy("part").applyInArrow(merge, "token long, n_docs long"), "frequent")
     level = F.floor(F.log2(F.col("n_docs") / FREQUENT)).cast("int").alias("level")
     levels = {r["level"]: r["n"] for r in found.groupBy(level).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -228,7 +261,8 @@ def _signatures(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _entries(docs: DataFrame, size: int, frequent: np.ndarray, bits: int) -> DataFrame:
-    """(doc_id, n, signature, alone) rows; ``alone`` marks rare tokens of sets that need nothing else."""
+    """(doc_id, n, signature, kind, common) rows. Kind 0 is a rare token of a set that needs nothing else, 1 one of a
+    set that needs combinations, too, and 2 a combination; ``common`` is its set's number of frequent tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
@@ -237,7 +271,7 @@ def _entries(docs: DataFrame, size: int, frequent: np.ndarray, bits: int) -> Dat
         quick[(known >> np.uint64(bits - 20)).astype(np.int64)] = True
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            out_ids, sizes, signatures, kinds = [], [], [], []
+            out_ids, sizes, signatures, kinds, commons = [], [], [], [], []
             for doc, tokens in zip(ids, token_sets(batch, size), strict=True):
                 if not len(tokens):
                     continue
@@ -254,29 +288,31 @@ def _entries(docs: DataFrame, size: int, frequent: np.ndarray, bits: int) -> Dat
                         out_ids.append(np.full(len(found), doc, np.int64))
                         sizes.append(np.full(len(found), len(tokens), np.int32))
                         kinds.append(np.full(len(found), kind, np.int8))
+                        commons.append(np.full(len(found), len(tokens) - len(rare) if kind == 2 else 0, np.int32))
                 if sum(map(len, signatures)) > 500_000:
-                    yield _entry_batch(out_ids, sizes, signatures, kinds)
-                    out_ids, sizes, signatures, kinds = [], [], [], []
+                    yield _entry_batch(out_ids, sizes, signatures, kinds, commons)
+                    out_ids, sizes, signatures, kinds, commons = [], [], [], [], []
             if signatures:
-                yield _entry_batch(out_ids, sizes, signatures, kinds)
+                yield _entry_batch(out_ids, sizes, signatures, kinds, commons)
 
-    return docs.mapInArrow(run, "doc_id long, n int, signature long, kind byte")
+    return docs.mapInArrow(run, "doc_id long, n int, signature long, kind byte, common int")
 
 
-def _entry_batch(ids, sizes, signatures, kinds) -> pa.RecordBatch:
-    columns = [np.concatenate(ids), np.concatenate(sizes), np.concatenate(signatures).view(np.int64), np.concatenate(kinds)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "n", "signature", "kind"])
+def _entry_batch(ids, sizes, signatures, kinds, commons) -> pa.RecordBatch:
+    columns = [np.concatenate(c) for c in (ids, sizes, signatures, kinds, commons)]
+    columns[2] = columns[2].view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "n", "signature", "kind", "common"])
 
 
 def _postings(entries: DataFrame, members: DataFrame) -> DataFrame:
-    """(signature, node, n, kind) with one row per node, of signatures that two nodes hold."""
+    """(signature, node, n, kind, common) with one row per node, of signatures that two nodes hold."""
     by = Window.partitionBy("signature").orderBy("doc_id")
     # A rare token is in at most as many documents as make it frequent, so its rows may meet in one task.
     near = F.coalesce(F.lag("doc_id").over(by), F.lead("doc_id").over(by))
     rare = entries.where("kind < 2").withColumn("near", near).where("near is not null").drop("near")
     either = rare.unionByName(entries.where("kind = 2"))
     nodes = either.join(members.select("doc_id", "node").distinct(), "doc_id")
-    return nodes.groupBy("signature", "node").agg(F.max("n").alias("n"), F.max("kind").alias("kind"))
+    return nodes.groupBy("signature", "node").agg(*[F.max(c).alias(c) for c in ("n", "kind", "common")])
 
 
 def _overlap_bound(n: str, m: str) -> str:
@@ -350,26 +386,63 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _meeting(rest: DataFrame, settled: str) -> DataFrame:
-    """Plausible pairs (a, b) of nodes that share a signature, but for those of which ``settled`` holds; ``rest`` are
-    postings with the bitmaps of their nodes."""
-    a = rest.select("signature", *[F.col(c).alias(f"{c}_a") for c in rest.columns if c != "signature"])
-    b = rest.select("signature", *[F.col(c).alias(f"{c}_b") for c in rest.columns if c != "signature"])
+def _size_step(n: str) -> str:
+    return f"cast(floor(ln({n}) * {SIZE_STEPS}) as int)"
+
+
+def _beside(a: DataFrame, b: DataFrame, on: list[str], condition: str) -> DataFrame:
+    """Pairs of postings with columns named ``..._a`` and ``..._b`` that agree in ``on`` and meet ``condition``."""
+    sides = [
+        p.select(*on, *[F.col(c).alias(f"{c}_{side}") for c in p.columns if c not in on]) for p, side in ((a, "a"), (b, "b"))
+    ]
     # Tokens in one set only flip a bit each, so sets differ in at least as many tokens as their bitmaps in bits.
-    # Only unsettled sets whose sizes and bitmaps allow similarity meet here.
     differing = " + ".join(f"bit_count(w{k}_a ^ w{k}_b)" for k in range(BITMAP_WORDS))
-    across = a.join(
-        b,
-        (a["signature"] == b["signature"])
-        & F.expr(f"node_a < node_b and not ({settled})")
-        & F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
-        & F.expr(f"{differing} <= n_a + n_b - 2 * {_overlap_bound('n_a', 'n_b')}"),
+    same = [sides[0][c] == sides[1][c] for c in on]
+    bound = _overlap_bound("n_a", "n_b")
+    sizes = F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+    met = sides[0].join(sides[1], [*same, F.expr(condition) & sizes & F.expr(f"{differing} <= n_a + n_b - 2 * {bound}")])
+    return met.select(
+        F.least("node_a", "node_b").alias("a"),
+        F.greatest("node_a", "node_b").alias("b"),
+        F.expr("if(node_a < node_b, n_a, n_b)").alias("n_a"),
+        F.expr("if(node_a < node_b, n_b, n_a)").alias("n_b"),
+        F.greatest("kind_a", "kind_b").alias("kind"),
     )
-    pairs = across.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
-        F.max("n_a").alias("n_a"),
-        F.max("n_b").alias("n_b"),
-        F.max(F.greatest("kind_a", "kind_b")).alias("kind"),
-        F.count(F.lit(1)).alias("shared"),
+
+
+def _larger(combined: DataFrame) -> DataFrame:
+    """Postings by combinations once for each step of sizes, up to their own, that a similar set can have.
+
+    Sets that share a rare token meet by it. Any others share frequent tokens alone, so a set with ``common`` of
+    them is similar only to sets of at most ``common * (100 + PERCENT) / PERCENT - n`` tokens.
+    """
+    most = f"least(n, common * {100 + PERCENT} div {PERCENT} - n)"
+    least = f"cast(ceil(n * {PERCENT} / 100) as int)"
+    steps = F.explode(F.expr(f"sequence({_size_step('least_size')}, {_size_step('most_size')})"))
+    sized = combined.withColumns({"least_size": F.expr(least), "most_size": F.expr(most)}).where("least_size <= most_size")
+    return sized.withColumn("step", steps).drop("least_size", "most_size")
+
+
+def _smaller(combined: DataFrame) -> DataFrame:
+    return combined.withColumn("step", F.expr(_size_step("n")))
+
+
+def _meeting(rest: DataFrame, settled: str) -> DataFrame:
+    """Plausible pairs (a, b) of nodes that share a signature, but for those of which ``settled`` holds; ``rest`` are
+    postings with the bitmaps of their nodes, of which ``other`` marks those that are not of their signature's main
+    component, whose nodes need not meet each other."""
+    rare, combined = rest.where("kind < 2").drop("common", "other"), rest.where("kind = 2")
+    larger, smaller = _larger(combined), _smaller(combined)
+    open_ = f"not ({settled})"
+    by_size = f"{open_} and (n_b < n_a or n_b = n_a and node_b < node_a) and least(common_a, common_b) >= {_overlap_bound('n_a', 'n_b')}"
+    on = ["signature", "step"]
+    made = (
+        _beside(rare, rare, ["signature"], f"node_a < node_b and {open_}")
+        .unionByName(_beside(larger, smaller.where("other"), on, by_size))
+        .unionByName(_beside(larger.where("other"), smaller.where("not other"), on, by_size))
+    )
+    pairs = made.groupBy("a", "b").agg(
+        F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"), F.max("kind").alias("kind"), F.count(F.lit(1)).alias("shared")
     )
     return _plausible(pairs).select("a", "b")
 
@@ -381,9 +454,14 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
 
 def _links(docs: DataFrame, postings: DataFrame, size: int) -> DataFrame:
     """Enough similar pairs (a, b) to connect every component."""
-    firsts = postings.groupBy("signature").agg(F.min_by(F.struct("node", "n", "kind"), "node").alias("p"), F.count(F.lit(1)).alias("held"))
+    # The set with the fewest rare tokens is the likeliest to be similar to the others of a combination.
+    order = F.struct(F.expr("if(kind = 2, n - common, 0)"), F.col("node"))
+    firsts = postings.groupBy("signature").agg(
+        F.min_by(F.struct("node", "n", "kind", "common"), order).alias("p"), F.count(F.lit(1)).alias("held")
+    )
     pivots = stage(firsts.where("held > 1").select("signature", "p"), "pivots")
-    met = postings.join(pivots, "signature").where("node <> p.node")
+    possible = f"kind < 2 or least(common, p.common) >= {_overlap_bound('n', 'p.n')}"
+    met = postings.join(pivots, "signature").where("node <> p.node").where(possible)
     counted = met.groupBy(F.col("p.node").alias("a"), F.col("node").alias("b")).agg(
         F.max("p.n").alias("n_a"),
         F.max("n").alias("n_b"),
@@ -391,13 +469,17 @@ def _links(docs: DataFrame, postings: DataFrame, size: int) -> DataFrame:
         F.count(F.lit(1)).alias("shared"),
     )
     best = _plausible(counted).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
-    chosen = stage(best.select("a", "b"), "first-pairs")
+    chosen = stage(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "first-pairs")
     linked = _verify(docs, chosen, size)
     found = components(linked)
     placed = postings.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stage(placed, "placed")
-    mixed = placed.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rest = stage(placed.join(mixed.select("signature"), "signature", "left_semi"), "unsettled")
+    spread = placed.groupBy("signature").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.min_by("component", order).alias("main")
+    )
+    mixed = spread.where("x <> y").select("signature", "main")
+    rest = placed.join(mixed, "signature").withColumn("other", F.col("component") != F.col("main")).drop("main")
+    rest = stage(rest, "unsettled")
     if rest.isEmpty():
         return linked
     bitmaps = _bitmaps(docs, rest.select("node").distinct(), size)
@@ -458,7 +540,8 @@ def similar_pairs(docs: DataFrame, size: int = 5) -> DataFrame:
     shared = postings.groupBy("signature").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     rest = stage(postings.join(shared.select("signature"), "signature", "left_semi"), "shared")
     bitmaps = _bitmaps(docs, rest.select("node").distinct(), size)
-    pairs = stage(_meeting(stage(rest.join(bitmaps, "node"), "shared-bits"), "false"), "pairs")
+    met = stage(rest.join(bitmaps, "node").withColumn("other", F.lit(True)), "shared-bits")
+    pairs = stage(_meeting(met, "false"), "pairs")
     links = _verify(docs, pairs, size)
     for end in ("a", "b") if names is not None else ():
         known = names.select(F.col("name").alias(end), "doc_id")
