@@ -180,6 +180,66 @@ def test_similar_pairs_are_all_links(copies, monkeypatch, limit):
     assert len(expected) > len(linked)  # far more links than a component needs
 
 
+def _family(template, own, count, first, seed):
+    """Texts of a common passage and words of their own."""
+    chosen = random.Random(seed)
+    return [
+        (first + i, " ".join(template + [f"w{chosen.randrange(10**9)}" for _ in range(own)]), None, None, None) for i in range(count)
+    ]
+
+
+@pytest.mark.parametrize("mixed", [False, True])
+def test_a_template_family_grows_in_proportion(spark, monkeypatch, mixed):
+    """Pages of one template, too different to be similar: what meets grows as the family does, not as its square. With
+    ``mixed``, pages with less text of their own, which are similar to each other, lie between them."""
+    template = [f"t{i}" for i in range(104)]
+    counted = []
+    meeting = ngram_join._meeting
+
+    def watched(rest, settled):
+        often, rare = rest.where("kind = 2"), rest.where("kind < 2")
+        larger, smaller, on = ngram_join._larger(often), ngram_join._smaller(often), ["signature", "step"]
+        sides = [(larger, smaller.where("other"), on), (larger.where("other"), smaller.where("not other"), on), (rare, rare, ["signature"])]
+        sums = []
+        for a, b, keys in sides:
+            held = [x.groupBy(keys).agg(F.count(F.lit(1)).alias(n)) for x, n in ((a, "m"), (b, "n"))]
+            sums.append(held[0].join(held[1], keys).agg(F.sum(F.col("m") * F.col("n"))).first()[0] or 0)
+        counted[-1] += sum(sums)
+        return meeting(rest, settled)
+
+    monkeypatch.setattr(ngram_join, "_meeting", watched)
+    for count in (300, 600):
+        counted.append(0)
+        rows = _family(template, 16, count, 0, 1)
+        rows += _family(template, 12, count // 3, 10_000, 2) if mixed else []
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_documents(docs).collect()}
+        assert all(found[i] == (116, i) for i in range(count))
+        assert all(v[1] == 10_000 for i, v in found.items() if i >= 10_000) and len(found) == len(rows)
+    assert counted[1] <= 2.2 * counted[0] + 1_000, counted
+
+
+def test_no_group_holds_every_occurrence_of_a_token(spark, monkeypatch):
+    """A passage in all documents is sent once for each run of tokens that a task sorts."""
+    from pyspark.sql import DataFrame
+
+    sent = []
+    group_by = DataFrame.groupBy
+
+    def watched(self, *keys):
+        if keys == ("part",):
+            rows = self.collect()
+            sent.append(sum(len(ngram_join._unpack(bytes(r["data"]))) for r in rows))
+        return group_by(self, *keys)
+
+    monkeypatch.setattr(DataFrame, "groupBy", watched)
+    docs = spark.createDataFrame([(i, " ".join(f"t{j}" for j in range(54))) for i in range(400)], "doc_id long, text string").coalesce(1)
+    found, bits = ngram_join.frequent_tokens(docs, 20_000, 5)
+    assert len(found) == 50 and sent == [50]
+    two = docs.unionByName(spark.createDataFrame([(1000 + i, "some other words of a text") for i in range(50)], "doc_id long, text string"))
+    assert (ngram_join.frequent_tokens(two, 20_000, 5)[0] == found).all()  # a token in 50 documents is not frequent
+
+
 def test_similar_pairs_of_odd_rows(odd_docs, no_docs):
     assert sorted(map(tuple, ngram_join.similar_pairs(odd_docs).collect())) == brute_pairs(odd_docs.collect())
     assert ngram_join.similar_pairs(no_docs).count() == 0
