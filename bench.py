@@ -34,7 +34,7 @@ from tallyloom.plans.runs import preprocess_modular
 from tallyloom.sources import segment_store
 
 
-REGISTERED = ["sales_monthly", "stage_counts", "minmax_quantity", "quality_examples", "numeric_summary", "cohort_assign"]
+REGISTERED = ["sales_monthly", "stage_counts", "minmax_quantity", "quality_examples", "numeric_summary", "cohort_assign", "src_csv_multiline"]
 
 
 def cases(spark: SparkSession, sf: str, work: str) -> dict[str, Callable[[], DataFrame]]:
@@ -54,6 +54,12 @@ def cases(spark: SparkSession, sf: str, work: str) -> dict[str, Callable[[], Dat
     registered = catalog.queries()
     coded = features.encode_by_frequency(sales, "Country", "Country_Encoded")
     wide = stored("wide-profiles", customers.compute_rfm(coded, extra_features=["Country_Encoded"]))
+    store = segment_store.SegmentStore(spark, f"{work}/store-{uuid.uuid4().hex}")
+    store.upsert(documents)
+
+    def upsert() -> DataFrame:
+        return store.read(store.upsert(batch))
+
     return {
         "clean_modular": lambda: cleaning.clean_modular(raw),
         "clean_dashboard": lambda: cleaning.clean_dashboard(raw, on_bad_date="null"),
@@ -83,9 +89,10 @@ def cases(spark: SparkSession, sf: str, work: str) -> dict[str, Callable[[], Dat
         "vip_share_by_country": lambda: insights.vip_share_by_country(sales, insight),
         "cancellations_by_segment": lambda: segments.cancellations_by_segment(raw, frame),
         "segment_monetary_box": lambda: segments.segment_box_stats(frame),
-        "segments_upsert": lambda: segment_store.upsert_segments(batch, f"{work}/store-{uuid.uuid4().hex}", f"{work}/documents"),
+        "segments_upsert": upsert,
         "zscore_price": lambda: features.z_score_scale(sales, {"UnitPrice": "UnitPrice_Standardized"}),
         "preprocess_modular": lambda: preprocess_modular(raw, regions),
+        "silhouette": lambda: clustering.silhouette(frame, cluster="Cluster"),
         "davies_bouldin": lambda: clustering.davies_bouldin(frame, cluster="Cluster"),
         "rfm_kmeans": lambda: clustering.rfm_kmeans(wide, 5).assignments,
         "kmeans_rfm3": lambda: clustering.kmeans_rfm3(profiles, 4).assignments,
