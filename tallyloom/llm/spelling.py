@@ -30,6 +30,8 @@ DELETE_EVERY, TIMES = 31, 10
 #: Words counted before a task sends them, words of a group and of a tree leaf, the sample of the dealing tree (bounds
 #: of memory that change no result), and the radius.
 COUNTED, GROUP_WORDS, LEAF_WORDS, SAMPLE, RADIUS = 300_000, 50_000, 16, 100_000, 2
+#: Pairs that a task holds before it sends what they say of each word.
+PAIRS = 1_000_000
 _PIECE = 1 << 20
 _LATIN = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _RUN = re.compile(rb"[a-z\xc0-\xff]{%d,}" % SHORTEST)
@@ -231,8 +233,8 @@ def _search(held: pa.Table):
     def answer(asked: pa.Table):
         text, n = asked.column("word").combine_chunks(), asked.column("n").to_numpy()
         words = Words(text)
-        found = list(group.near(words))
-        if found:
+
+        def partial(found: list[tuple[np.ndarray, np.ndarray]]):
             a, b = (np.concatenate(side) for side in zip(*found, strict=True))
             if len(a):
                 yield _best(a, b, group.n, group.text, text)
@@ -240,6 +242,16 @@ def _search(held: pa.Table):
                 if longer.any():
                     yield _best(b[longer], a[longer], n, text, group.text)
 
+        found, size = [], 0
+        for pair in group.near(words):
+            found.append(pair)
+            size += len(pair[0])
+            if size >= PAIRS:
+                yield from partial(found)
+                found, size = [], 0
+        if found:
+            yield from partial(found)
+
     return answer
 
 

@@ -207,4 +207,4 @@ def read_archives(
                     yield pa.RecordBatch.from_pylist(held, target)
 
     ranges = byte_ranges(spark, path, split_bytes)
-    return ranges.repartition(max(1, min(ranges.count(), 10_000))).mapInArrow(run, schema)
+    return ranges.repartition(max(1, ranges.count())).mapInArrow(run, schema)

@@ -55,7 +55,7 @@ def result(docs):
 
 @pytest.fixture
 def small_groups(monkeypatch):
-    for name, value in (("GROUP_WORDS", 30), ("LEAF_WORDS", 3), ("COUNTED", 50), ("SAMPLE", 60), ("_PIECE", 37)):
+    for name, value in (("GROUP_WORDS", 30), ("LEAF_WORDS", 3), ("COUNTED", 50), ("SAMPLE", 60), ("PAIRS", 5), ("_PIECE", 37)):
         monkeypatch.setattr(spelling, name, value)
 
 
