@@ -68,7 +68,9 @@ def _described(path: str | Sequence[str] | None) -> list[str]:
     return [path] if isinstance(path, str) else list(path or [])
 
 
-def _log(raw: DataFrame, work_path: str | None, inputs: str | Sequence[str] | None, **settings: object) -> RunLog:
+def _log(
+    raw: DataFrame, work_path: str | None, inputs: str | Sequence[str] | None, regions: DataFrame | None = None, **settings: object
+) -> RunLog:
     """The log of a run; with ``work_path`` it outlives the application and is found again by the same inputs."""
     spark = raw.sparkSession
     if work_path is None:
@@ -76,7 +78,8 @@ def _log(raw: DataFrame, work_path: str | None, inputs: str | Sequence[str] | No
     files = _described(inputs) or raw.inputFiles()
     if not files:
         raise ValueError("name the inputs of the raw lines, so that a later run can see whether they changed")
-    return RunLog(spark, work_path, fingerprint(spark, files, **settings))
+    more = [] if regions is None else regions.inputFiles()
+    return RunLog(spark, work_path, fingerprint(spark, [*files, *more], regions=regions is not None, **settings))
 
 
 def _clean_sales(log: RunLog, raw: DataFrame, clean: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, dict[str, int]]:
@@ -103,9 +106,9 @@ def run_full(
     """The whole run; sinks that are not given are skipped. ``store_path`` is the folder of a ``SegmentStore``.
 
     With ``work_path`` a run that was killed goes on after its last whole stage if it is started again with the same
-    settings while the files of ``inputs`` (by default those that ``raw`` names) are the same.
+    settings while the files of ``inputs`` (by default those that ``raw`` names) and of ``regions`` are the same.
     """
-    log = _log(raw, work_path, inputs, run="full", k=k, sinks=[export_path, store_path, monthly_sink is not None])
+    log = _log(raw, work_path, inputs, regions, run="full", k=k, sinks=[export_path, store_path, monthly_sink is not None])
 
     def clean(lines: DataFrame) -> DataFrame:
         return add_region(clean_modular(lines), regions)
