@@ -14,7 +14,8 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(sql.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     frame = llm_queries.queries()[name](spark, SMALL)
     relation = con.sql(sql.oracle_sql()[name])
     columns = sorted(frame.columns)
@@ -23,7 +24,7 @@ def test_query_equals_sql(spark, name):
     assert sorted(str(tuple(r[c] for c in columns)) for r in frame.collect()) == expected
 
 
-@pytest.mark.parametrize("name", sorted(set(llm_queries.QUERIES) - set(sql.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(llm_queries.QUERIES) - set(sql.oracle_sql()) - {"op13_spelling_variants"}))
 def test_query_returns_all_rows(spark, name):
     frame = llm_queries.queries()[name](spark, SMALL)
     table = "pages" if name in ("op4_warc", "op5_html_text") else "documents"
