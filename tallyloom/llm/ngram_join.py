@@ -410,20 +410,20 @@ def _beside(a: DataFrame, b: DataFrame, on: list[str], condition: str) -> DataFr
     )
 
 
-def _larger(combined: DataFrame) -> DataFrame:
-    """Postings by combinations once for each step of sizes, up to their own, that a similar set can have.
+def _reaching(combined: DataFrame, upward: bool) -> DataFrame:
+    """Postings by combinations once for each step of sizes, from their own up or down, that a similar set can have.
 
     Sets that share a rare token meet by it. Any others share frequent tokens alone, so a set with ``common`` of
     them is similar only to sets of at most ``common * (100 + PERCENT) / PERCENT - n`` tokens.
     """
-    most = f"least(n, common * {100 + PERCENT} div {PERCENT} - n)"
-    least = f"cast(ceil(n * {PERCENT} / 100) as int)"
+    least, most = ("n", f"n * 100 div {PERCENT}") if upward else (f"cast(ceil(n * {PERCENT} / 100) as int)", "n")
+    most = f"least({most}, common * {100 + PERCENT} div {PERCENT} - n)"
     steps = F.explode(F.expr(f"sequence({_size_step('least_size')}, {_size_step('most_size')})"))
     sized = combined.withColumns({"least_size": F.expr(least), "most_size": F.expr(most)}).where("least_size <= most_size")
     return sized.withColumn("step", steps).drop("least_size", "most_size")
 
 
-def _smaller(combined: DataFrame) -> DataFrame:
+def _sized(combined: DataFrame) -> DataFrame:
     return combined.withColumn("step", F.expr(_size_step("n")))
 
 
@@ -432,14 +432,17 @@ def _meeting(rest: DataFrame, settled: str) -> DataFrame:
     postings with the bitmaps of their nodes, of which ``other`` marks those that are not of their signature's main
     component, whose nodes need not meet each other."""
     rare, combined = rest.where("kind < 2").drop("common", "other"), rest.where("kind = 2")
-    larger, smaller = _larger(combined), _smaller(combined)
+    others, sized = combined.where("other"), _sized(combined)
     open_ = f"not ({settled})"
-    by_size = f"{open_} and (n_b < n_a or n_b = n_a and node_b < node_a) and least(common_a, common_b) >= {_overlap_bound('n_a', 'n_b')}"
+    allowed = f"{open_} and least(common_a, common_b) >= {_overlap_bound('n_a', 'n_b')}"
+    after = "(n_a < n_b or n_a = n_b and node_a < node_b)"
     on = ["signature", "step"]
+    # A pair has a node that is not of the main component. It looks upward among all, and downward in the main component
+    # (downward among the others, they have looked upward).
     made = (
         _beside(rare, rare, ["signature"], f"node_a < node_b and {open_}")
-        .unionByName(_beside(larger, smaller.where("other"), on, by_size))
-        .unionByName(_beside(larger.where("other"), smaller.where("not other"), on, by_size))
+        .unionByName(_beside(_reaching(others, True), sized, on, f"{allowed} and {after}"))
+        .unionByName(_beside(_reaching(others, False), sized.where("not other"), on, f"{allowed} and not {after}"))
     )
     pairs = made.groupBy("a", "b").agg(
         F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"), F.max("kind").alias("kind"), F.count(F.lit(1)).alias("shared")

@@ -198,8 +198,9 @@ def test_a_template_family_grows_in_proportion(spark, monkeypatch, mixed):
 
     def watched(rest, settled):
         often, rare = rest.where("kind = 2"), rest.where("kind < 2")
-        larger, smaller, on = ngram_join._larger(often), ngram_join._smaller(often), ["signature", "step"]
-        sides = [(larger, smaller.where("other"), on), (larger.where("other"), smaller.where("not other"), on), (rare, rare, ["signature"])]
+        others, sized, on = often.where("other"), ngram_join._sized(often), ["signature", "step"]
+        sides = [(ngram_join._reaching(others, True), sized, on), (ngram_join._reaching(others, False), sized.where("not other"), on)]
+        sides.append((rare, rare, ["signature"]))
         sums = []
         for a, b, keys in sides:
             held = [x.groupBy(keys).agg(F.count(F.lit(1)).alias(n)) for x, n in ((a, "m"), (b, "n"))]
