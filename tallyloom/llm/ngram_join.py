@@ -41,7 +41,9 @@ PERCENT = 80
 #: A token in more documents is frequent; the limit doubles until at most MOST_FREQUENT tokens are (8 MB, broadcast).
 FREQUENT, MOST_FREQUENT = 50, 1 << 20
 #: Tokens counted per group, tokens sorted at once in a task, and bits of the filter of candidate documents (2 MB).
-GROUP_TOKENS, SORT_TOKENS, FILTER_BITS = 2_000_000, 4_000_000, 1 << 24
+GROUP_TOKENS, SORT_TOKENS, FILTER_BITS = 2_000_000, 2_000_000, 1 << 24
+#: Signatures sent to Spark at once.
+SEND_ENTRIES = 250_000
 BAND, SMALL_BAND = 1.26, 10
 #: Steps of sizes per unit of their logarithm; sets meet by combinations within steps that a similar one can have.
 SIZE_STEPS = 50
@@ -56,6 +58,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; once they are done, the worker, which Spark keeps for later tasks, returns the memory it has freed."""
+    yield from batches
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def _word_tables() -> tuple[np.ndarray, np.ndarray]:
     """A number for each byte, the same for both cases of A-Z, and which bytes are white space."""
     numbers = _mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
@@ -134,7 +143,7 @@ def _fingerprints(docs: DataFrame, size: int) -> DataFrame:
                 ["doc_id", "n", "f1", "f2"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long")
+    return docs.mapInArrow(lambda batches: _released(run(batches)), "doc_id long, n long, f1 long, f2 long")
 
 
 def _pack(tokens: np.ndarray) -> bytes:
@@ -182,8 +191,10 @@ def frequent_tokens(docs: DataFrame, total: int, size: int) -> tuple[np.ndarray,
         held: list[np.ndarray] = []
 
         def packed():
-            keys = np.sort(np.concatenate(held) >> np.uint64(64 - bits))
+            keys = np.concatenate(held)
             held.clear()
+            keys >>= np.uint64(64 - bits)
+            keys.sort()
             first, counts = _runs(keys)
             keys = keys[first]
             groups = (keys >> np.uint64(32)).astype(np.int64)
@@ -209,7 +220,11 @@ def frequent_tokens(docs: DataFrame, total: int, size: int) -> tuple[np.ndarray,
         part = table.column("part")[0].as_py()
         sent = [_unpack(x.as_py()) for x in table.column("data")]
         numbers = [_counts(len(k), x.as_py()) for k, x in zip(sent, table.column("repeats"), strict=True)]
-        both = np.sort((np.concatenate(sent).astype(np.uint64) << np.uint64(32)) | np.concatenate(numbers))
+        both = np.concatenate(sent).astype(np.uint64)
+        both <<= np.uint64(32)
+        both |= np.concatenate(numbers)
+        del sent, numbers
+        both.sort()
         keys = (both >> np.uint64(32)).astype(np.uint32)
         first, _ = _runs(keys)
         counts = np.add.reduceat((both & np.uint64(0xFFFFFFFF)).astype(np.int64), first)
@@ -217,7 +232,7 @@ def frequent_tokens(docs: DataFrame, total: int, size: int) -> tuple[np.ndarray,
         tokens = keys[first[many]].astype(np.int64) + (part << 32)
         return pa.table({"token": tokens, "n_docs": counts[many].astype(np.int64)})
 
-    dealt = docs.mapInArrow(deal, "part long, data binary, repeats binary")
+    dealt = docs.mapInArrow(lambda batches: _released(deal(batches)), "part long, data binary, repeats binary")
     found = stage(dealt.groupBy("part").applyInArrow(merge, "token long, n_docs long"), "frequent")
     level = F.floor(F.log2(F.col("n_docs") / FREQUENT)).cast("int").alias("level")
     levels = {r["level"]: r["n"] for r in found.groupBy(level).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -289,13 +304,13 @@ def _entries(docs: DataFrame, size: int, frequent: np.ndarray, bits: int) -> Dat
                         sizes.append(np.full(len(found), len(tokens), np.int32))
                         kinds.append(np.full(len(found), kind, np.int8))
                         commons.append(np.full(len(found), len(tokens) - len(rare) if kind == 2 else 0, np.int32))
-                if sum(map(len, signatures)) > 500_000:
+                if sum(map(len, signatures)) > SEND_ENTRIES:
                     yield _entry_batch(out_ids, sizes, signatures, kinds, commons)
                     out_ids, sizes, signatures, kinds, commons = [], [], [], [], []
             if signatures:
                 yield _entry_batch(out_ids, sizes, signatures, kinds, commons)
 
-    return docs.mapInArrow(run, "doc_id long, n int, signature long, kind byte, common int")
+    return docs.mapInArrow(lambda batches: _released(run(batches)), "doc_id long, n int, signature long, kind byte, common int")
 
 
 def _entry_batch(ids, sizes, signatures, kinds, commons) -> pa.RecordBatch:
@@ -340,14 +355,15 @@ def _of_nodes(docs: DataFrame, nodes: DataFrame, schema: str, values) -> DataFra
     passed = docs.sparkSession.sparkContext.broadcast(filled.view(np.uint8))
 
     def run(batches):
-        bits = np.unpackbits(passed.value, bitorder="little").view(bool)
+        bits = passed.value
         for batch in batches:
-            batch = batch.filter(pa.array(bits[batch.column("at").to_numpy()]))
+            at = batch.column("at").to_numpy()
+            batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *values(batch)], names)
 
     names = ["node", *(field.split()[0] for field in schema.split(", "))]
     marked = docs.withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int"))
-    found = marked.mapInArrow(run, f"node long, {schema}")
+    found = marked.mapInArrow(lambda batches: _released(run(batches)), f"node long, {schema}")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -383,7 +399,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     first = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("left")), "a")
     both = first.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "left", "right").mapInArrow(lambda batches: _released(run(batches)), "a long, b long")
 
 
 def _size_step(n: str) -> str:
@@ -410,17 +426,24 @@ def _beside(a: DataFrame, b: DataFrame, on: list[str], condition: str) -> DataFr
     )
 
 
-def _reaching(combined: DataFrame, upward: bool) -> DataFrame:
+def _reaching(combined: DataFrame, upward: bool, among: DataFrame | None = None) -> DataFrame:
     """Postings by combinations once for each step of sizes, from their own up or down, that a similar set can have.
 
     Sets that share a rare token meet by it. Any others share frequent tokens alone, so a set with ``common`` of
-    them is similar only to sets of at most ``common * (100 + PERCENT) / PERCENT - n`` tokens.
+    them is similar only to sets of at most ``common * (100 + PERCENT) / PERCENT - n`` tokens. With ``among``, the
+    postings to look for, only sizes between the least and the largest of their signature count, so a posting that can
+    meet none of them reaches nowhere.
     """
     least, most = ("n", f"n * 100 div {PERCENT}") if upward else (f"cast(ceil(n * {PERCENT} / 100) as int)", "n")
-    most = f"least({most}, common * {100 + PERCENT} div {PERCENT} - n)"
+    shared = "common"
+    if among is not None:
+        ends = [F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("common").alias("most_common")]
+        combined = combined.join(among.groupBy("signature").agg(*ends), "signature")
+        least, most, shared = f"greatest({least}, least_n)", f"least({most}, most_n)", "least(common, most_common)"
+    most = f"least({most}, {shared} * {100 + PERCENT} div {PERCENT} - n)"
     steps = F.explode(F.expr(f"sequence({_size_step('least_size')}, {_size_step('most_size')})"))
     sized = combined.withColumns({"least_size": F.expr(least), "most_size": F.expr(most)}).where("least_size <= most_size")
-    return sized.withColumn("step", steps).drop("least_size", "most_size")
+    return sized.withColumn("step", steps).drop("least_size", "most_size", "least_n", "most_n", "most_common")
 
 
 def _sized(combined: DataFrame) -> DataFrame:
@@ -437,12 +460,13 @@ def _meeting(rest: DataFrame, settled: str) -> DataFrame:
     allowed = f"{open_} and least(common_a, common_b) >= {_overlap_bound('n_a', 'n_b')}"
     after = "(n_a < n_b or n_a = n_b and node_a < node_b)"
     on = ["signature", "step"]
+    main = sized.where("not other")
     # A pair has a node that is not of the main component. It looks upward among all, and downward in the main component
     # (downward among the others, they have looked upward).
     made = (
         _beside(rare, rare, ["signature"], f"node_a < node_b and {open_}")
-        .unionByName(_beside(_reaching(others, True), sized, on, f"{allowed} and {after}"))
-        .unionByName(_beside(_reaching(others, False), sized.where("not other"), on, f"{allowed} and not {after}"))
+        .unionByName(_beside(_reaching(others, True, combined), sized, on, f"{allowed} and {after}"))
+        .unionByName(_beside(_reaching(others, False, main), main, on, f"{allowed} and not {after}"))
     )
     pairs = made.groupBy("a", "b").agg(
         F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"), F.max("kind").alias("kind"), F.count(F.lit(1)).alias("shared")
@@ -450,6 +474,16 @@ def _meeting(rest: DataFrame, settled: str) -> DataFrame:
     return _plausible(pairs).select("a", "b")
 
 
+def _with_others(rest: DataFrame) -> DataFrame:
+    """Postings with ``other``: whether their component is not the main one of their signature, that with most of its
+    nodes (with the smallest id, if several have). So a large group of near copies never is what looks for the few
+    other sets of its signatures. Only combinations need it; rare tokens have few nodes."""
+    held = rest.where("kind = 2").groupBy("signature", "component").agg(F.count(F.lit(1)).alias("held"))
+    main = held.groupBy("signature").agg(F.max_by("component", F.struct("held", -F.col("component"))).alias("main"))
+    marked = rest.join(main, "signature", "left").withColumn("other", F.coalesce(F.col("component") != F.col("main"), F.lit(True)))
+    return marked.drop("main")
+
+
 def _verify(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     return stage(_verified(pairs, stage(_sets(docs, nodes, size), "sets")), "links")
@@ -477,16 +511,12 @@ def _links(docs: DataFrame, postings: DataFrame, size: int) -> DataFrame:
     found = components(linked)
     placed = postings.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stage(placed, "placed")
-    spread = placed.groupBy("signature").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.min_by("component", order).alias("main")
-    )
-    mixed = spread.where("x <> y").select("signature", "main")
-    rest = placed.join(mixed, "signature").withColumn("other", F.col("component") != F.col("main")).drop("main")
-    rest = stage(rest, "unsettled")
+    spread = placed.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    rest = stage(placed.join(spread.where("x <> y").select("signature"), "signature"), "unsettled")
     if rest.isEmpty():
         return linked
     bitmaps = _bitmaps(docs, rest.select("node").distinct(), size)
-    rest = stage(rest.join(bitmaps, "node"), "unsettled-bits")
+    rest = stage(_with_others(rest).join(bitmaps, "node"), "unsettled-bits")
     pairs = _meeting(rest, "component_a = component_b")
     left = stage(pairs.join(chosen, ["a", "b"], "left_anti"), "second-pairs")
     return linked if left.isEmpty() else linked.unionByName(_verify(docs, left, size))

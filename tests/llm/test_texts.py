@@ -220,15 +220,51 @@ def test_a_template_family_grows_in_proportion(spark, monkeypatch, mixed):
     assert counted[1] <= 2.2 * counted[0] + 1_000, counted
 
 
+def _posting(signature, node, n, common, component):
+    return signature, node, n, 2, common, component
+
+
+def test_postings_reach_only_sizes_that_their_signature_has(spark):
+    """Sets that are far from all of a group's sizes, or share too little, take no step of sizes at all."""
+    family = [_posting(1, i, 100, 100, 0) for i in range(50)]
+    far = [_posting(1, 100 + i, 1000, 900, 100 + i) for i in range(20)]
+    near = [_posting(1, 200, 110, 110, 200), _posting(1, 201, 110, 60, 201)]
+    schema = "signature long, node long, n int, kind int, common int, component long"
+    rest = ngram_join._with_others(spark.createDataFrame(family + far + near, schema))
+    others, main = rest.where("other"), rest.where("not other")
+    assert ngram_join._reaching(others, False).count() > 100
+    reached = ngram_join._reaching(others, False, main)
+    assert [r["node"] for r in reached.collect()] == [200] and reached.columns == [*rest.columns, "step"]
+    assert reached.join(ngram_join._sized(main).select("signature", "step").distinct(), ["signature", "step"]).count() == 1
+
+
+def test_the_main_component_of_a_signature_is_the_largest(spark):
+    """The one set with the fewest rare tokens does not make a large group look for it."""
+    rows = [_posting(1, i, 100, 90, 5) for i in range(5, 45)] + [_posting(1, 1, 100, 100, 1), _posting(2, 1, 9, 9, 1), _posting(2, 5, 9, 9, 5)]
+    schema = "signature long, node long, n int, kind int, common int, component long"
+    rest = ngram_join._with_others(spark.createDataFrame(rows, schema))
+    assert sorted((r["signature"], r["node"]) for r in rest.where("other").collect()) == [(1, 1), (2, 5)]
+    assert rest.count() == len(rows) and "main" not in rest.columns
+
+
+def test_a_worker_returns_freed_memory_after_its_batches():
+    import pyarrow as pa
+
+    held = pa.default_memory_pool().bytes_allocated()
+    batches = [pa.RecordBatch.from_pydict({"x": [i]}) for i in range(3)]
+    assert [b.to_pydict() for b in ngram_join._released(iter(batches))] == [{"x": [i]} for i in range(3)]
+    del batches
+    assert pa.default_memory_pool().bytes_allocated() <= held
+
+
 def test_no_group_holds_every_occurrence_of_a_token(spark, monkeypatch):
     """A passage in all documents is sent once for each run of tokens that a task sorts."""
-    from pyspark.sql import DataFrame
-
+    DataFrame = type(spark.range(0))  # the class whose methods the session's tables have
     sent = []
     group_by = DataFrame.groupBy
 
     def watched(self, *keys):
-        if keys == ("part",):
+        if isinstance(keys[0], str) and keys == ("part",):
             rows = self.collect()
             sent.append(sum(len(ngram_join._unpack(bytes(r["data"]))) for r in rows))
         return group_by(self, *keys)
