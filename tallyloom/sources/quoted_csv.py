@@ -19,8 +19,10 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window, functi
 from tallyloom.functions.shipping import ship_package
 from tallyloom.functions.staging import stage
 
-#: Bytes of a range, of a block read at once, and of the records sent to Spark at once.
-RANGE_BYTES, BLOCK, SEND = 64 << 20, 4 << 20, 2 << 20
+#: Bytes of a range, of a block read at once, of the first one read beyond a range, and of the records sent to Spark at once.
+RANGE_BYTES, BLOCK, BEYOND, SEND = 64 << 20, 4 << 20, 1 << 14, 2 << 20
+#: Ranges go one to a task up to so many tasks for each core, then as many to a task as make up RANGE_BYTES.
+TASKS_A_CORE = 4
 BREAK, QUOTE, COMMA = b"\n", b'"', b","
 #: Names of files that only one reader can unpack.
 _PACKED = r"\.(gz|gzip|bz2|zst|zstd|lz4|snappy|deflate|xz)$"
@@ -60,13 +62,18 @@ def ends_inside(line: bytes, inside: bool) -> bool:
             return False
 
 
-def _whole_lines(file: pa.NativeFile, place: int) -> Iterator[tuple[int, bytes]]:
-    """(place, lines) from a place at which a line begins to the end of the file, some whole lines at a time."""
-    size = file.size()
+def _whole_lines(file: pa.NativeFile, place: int, stop: int) -> Iterator[tuple[int, bytes]]:
+    """(place, lines) from a place at which a line begins to the end of the file, some whole lines at a time: as much as
+    there is up to ``stop``, where the range ends, and little at first beyond it, where mostly one line is wanted."""
+    size, more = file.size(), min(BEYOND, BLOCK)
     while place < size:
         parts, read, end = [], place, 0
         while not end and read < size:
-            data = file.read_at(min(BLOCK, size - read), read)
+            if read < stop:
+                wanted = min(BLOCK, stop - read)
+            else:
+                wanted, more = more, min(2 * more, BLOCK)
+            data = file.read_at(min(wanted, size - read), read)
             end = data.rfind(BREAK) + 1 if read + len(data) < size else len(data)
             parts.append(data[:end] if end else data)
             read += len(parts[-1])
@@ -78,12 +85,12 @@ def _first_line(file: pa.NativeFile, start: int) -> int:
     """Where the first line begins that does so at ``start`` or later."""
     if not start:
         return 0
-    place = start - 1
-    while data := file.read_at(BLOCK, place):
+    place, more = start - 1, min(BEYOND, BLOCK)
+    while data := file.read_at(more, place):
         at = data.find(BREAK)
         if at >= 0:
             return place + at + 1
-        place += len(data)
+        place, more = place + len(data), min(2 * more, BLOCK)
     return place
 
 
@@ -104,7 +111,7 @@ def _line_at(lines: bytes, at: int) -> tuple[int, int]:
 def range_ends(file: pa.NativeFile, start: int, stop: int) -> tuple[bool, bool]:
     """Whether a quoted field is open after the lines that begin in a range, if none was before and if one was."""
     outside, inside = False, True
-    for place, lines in _whole_lines(file, _first_line(file, start)):
+    for place, lines in _whole_lines(file, _first_line(file, start), stop):
         length = _own_length(place, lines, stop)
         at = lines.find(QUOTE, 0, length)
         while at >= 0:  # lines without quotes change nothing
@@ -120,7 +127,7 @@ def range_records(file: pa.NativeFile, start: int, stop: int, inside: bool) -> I
     """The records that begin in a range, without their last line break; ``inside`` says how the range begins."""
     held: list[bytes] = []
     foreign = inside  # the range begins in a record of an earlier one
-    for place, lines in _whole_lines(file, _first_line(file, start)):
+    for place, lines in _whole_lines(file, _first_line(file, start), stop):
         at, length = 0, _own_length(place, lines, stop)
         if foreign and not length:
             return
@@ -179,8 +186,10 @@ def _with_beginnings(ends: DataFrame) -> DataFrame:
 
 
 def _spread(ranges: DataFrame) -> DataFrame:
-    """One range a task."""
-    return ranges.repartition(max(1, ranges.count()))
+    """One range a task, or some, where ranges are many and small: a task costs more than such a range."""
+    found = ranges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.expr("stop - start")).alias("bytes")).first()
+    least = TASKS_A_CORE * ranges.sparkSession.sparkContext.defaultParallelism
+    return ranges.repartition(max(1, min(found["n"], max(least, -(-(found["bytes"] or 0) // RANGE_BYTES)))))
 
 
 def splittable(spark: SparkSession, path: str, encoding: str) -> bool:

@@ -119,3 +119,41 @@ def test_inferred_schema_and_unsplittable_files(spark, tmp_path):
     (tmp_path / "wide").mkdir()
     (tmp_path / "wide" / "a.csv").write_bytes(text.decode().encode("utf-16"))
     assert as_rows(read_quoted_csv(spark, str(tmp_path / "wide"), RAW, "UTF-16")) == as_rows(whole(spark, str(tmp_path / "plain")))
+
+
+def test_small_ranges_read_little_more_than_their_bytes(tmp_path):
+    line = '1,S,"two\nlines",6,2010-12-01 08:26:00,2.5,17850,France\n'
+    (tmp_path / "a.csv").write_text(HEADER + line * 40_000)
+
+    class Counted:
+        def __init__(self, file):
+            self.file, self.read = file, 0
+
+        def size(self):
+            return self.file.size()
+
+        def read_at(self, count, place):
+            data = self.file.read_at(count, place)
+            self.read += len(data)
+            return data
+
+    with open_file((tmp_path / "a.csv").as_uri()) as plain:
+        size, records = plain.size(), 0
+        for work in (range_ends, range_records):
+            file, state = Counted(plain), False
+            for start in range(0, size, 1 << 18):
+                if work is range_records:
+                    records += sum(1 for _ in range_records(file, start, min(size, start + (1 << 18)), state))
+                state = range_ends(file if work is range_ends else plain, start, min(size, start + (1 << 18)))[state]
+            assert file.read <= 1.3 * size, (work, file.read, size)
+    assert records == 40_001
+
+
+def test_many_small_ranges_share_tasks(spark):
+    """One range a task up to some tasks for each core; then tasks grow with the bytes, not with the number of ranges."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(cores * 100).selectExpr("'x' as path", "id * 1000 as start", "id * 1000 + 1000 as stop")
+    assert quoted_csv._spread(rows).rdd.getNumPartitions() == 4 * cores
+    assert quoted_csv._spread(rows.limit(3)).rdd.getNumPartitions() == 3 and quoted_csv._spread(rows.limit(0)).rdd.getNumPartitions() == 1
+    large = rows.selectExpr("path", f"start div 1000 * {64 << 20} as start", f"(start div 1000 + 1) * {64 << 20} as stop")
+    assert quoted_csv._spread(large).rdd.getNumPartitions() == cores * 100
