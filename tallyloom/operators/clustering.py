@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +19,8 @@ from tallyloom.operators.seeded_kmeans import best_runs
 
 PROFILE_FEATURES = ("Recency", "Frequency", "Monetary", "Country_Encoded", "Sum_Qty")
 RFM_FEATURES = ("Recency", "Frequency", "Monetary")
+#: Rows of which a task takes the distances to a sample, and distances taken at once (8 MB).
+SCORED_ROWS, DISTANCES = 20_000, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -240,22 +245,61 @@ def silhouette_euclidean(
     points = scaled.select(F.col(cluster).alias("c"), hash_share(id_column).alias("h"), *names)
     sizes = stage(points.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "cluster-sizes")
     marked = points.join(F.broadcast(sizes), "c").withColumn("sampled", F.col("h") < sample / F.col("n"))  # a row per cluster
-    members = marked.where("sampled").groupBy("c").agg(F.collect_list(F.struct(*names)).alias("points"))
-    stored = stage(members.select("c", "points"), "silhouette-sample")
-    stats = stored.agg(F.collect_list(F.struct("c", "points"))).scalar()
-
-    def total(s: Column) -> Column:
-        def add(so_far: Column, p: Column) -> Column:
-            return so_far + F.sqrt(sum(((F.col(f) - p[f]) * (F.col(f) - p[f]) for f in names), F.lit(0.0)))
-
-        return F.aggregate(s["points"], F.lit(0.0), add)
-
-    own = F.filter("stats", lambda s: s["c"] == F.col("c"))[0]
-    others = F.size(own["points"]) - F.col("sampled").cast("int")
-    a = F.when(others > 0, total(own) / others)
-    b = _least_other(F.col("stats"), lambda s: total(s) / F.size(s["points"]))
-    scored = _mean_silhouette(marked.withColumn("stats", stats).select(a.alias("a"), b.alias("b")))
-    return scored.select(F.round("score", 6).alias("score"))
+    stored = stage(marked.where("sampled").select("c", *names), "silhouette-sample")
+    # The stored segments may be one small file; their rows are dealt out, since each one meets the whole sample.
+    rows = sizes.agg(F.sum("n")).first()[0] or 0
+    dealt = marked.select("c", "sampled", *names).repartition(max(1, math.ceil(rows / SCORED_ROWS)))
+    return _mean_silhouette(_mean_distances(dealt, stored, names)).select(F.round("score", 6).alias("score"))
+
+
+def _mean_distances(points: DataFrame, sample: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(a, b) for each point (c, sampled, *features): its mean distance to the sampled points of its own cluster, itself
+    left out, and the least one to those of another cluster. A distance to or from a null is null."""
+    width = len(features)
+
+    def matrix(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        columns = [table.column(f) for f in features]
+        unknown = np.zeros(table.num_rows, bool)
+        for column in columns:
+            unknown |= np.asarray(column.is_null())
+        values = [column.fill_null(0.0).to_numpy() for column in columns]
+        return np.array(values, np.float64).reshape(width, table.num_rows), unknown
+
+    # The sample, which the caller bounds, is sent to every task.
+    held = sample.orderBy("c").toArrow()
+    clusters, firsts = np.unique(held.column("c").to_numpy(), return_index=True)
+    shared = points.sparkSession.sparkContext.broadcast((clusters, firsts, *matrix(held)))
+
+    def run(batches):
+        clusters, firsts, others, unknown = shared.value
+        many = np.diff(np.append(firsts, len(unknown)))
+        lacking = np.add.reduceat(unknown, firsts) > 0 if len(clusters) else np.zeros(0, bool)
+        step = max(1, DISTANCES // max(1, len(unknown)))
+        for batch in batches:
+            if not len(clusters):
+                nothing = pa.nulls(batch.num_rows, pa.float64())
+                yield pa.RecordBatch.from_arrays([nothing, nothing], ["a", "b"])
+                continue
+            mine, missing = matrix(batch)
+            labels = batch.column("c").to_numpy()
+            # whether a row is in the sample is unknown, if it has no id
+            sampled = batch.column("sampled").cast(pa.float64()).to_numpy(zero_copy_only=False)
+            for at in range(0, batch.num_rows, step):
+                part = slice(at, at + step)
+                squares = sum((np.subtract.outer(x, y) ** 2 for x, y in zip(mine[:, part], others, strict=True)), 0.0)
+                totals = np.add.reduceat(np.sqrt(squares), firsts, axis=1)
+                known = ~(missing[part, None] | lacking)
+                own = clusters == labels[part, None]
+                count = (own * many).sum(axis=1) - sampled[part]
+                with np.errstate(all="ignore"):
+                    a = np.where(own, totals, 0.0).sum(axis=1) / count
+                    away = np.where(known & ~own, totals / many, np.nan)
+                    b = np.fmin.reduce(away, axis=1)
+                found_a = (count > 0) & (own & known).any(axis=1)
+                found_b = (known & ~own).any(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a, mask=~found_a), pa.array(b, mask=~found_b)], ["a", "b"])
+
+    return points.mapInArrow(run, "a double, b double")
 
 
 def davies_bouldin(df: DataFrame, features: Sequence[str] = RFM_FEATURES, cluster: str = "cluster") -> DataFrame:

@@ -263,3 +263,33 @@ def test_cancellations_by_segment(spark, raw):
     labels = spark.createDataFrame([("17850", "gold"), ("17851", "tin")], "CustomerID string, Segment string")
     got = [tuple(r) for r in segments.cancellations_by_segment(raw, labels).collect()]
     assert got == [("gold", 2)]
+
+
+def test_distances_to_a_sample_are_dealt_out_and_keep_nulls(spark, monkeypatch):
+    rows = [(i % 3, float(i), float(i * i % 7), str(i)) for i in range(60)] + [(1, None, 2.0, "x")]
+    df = spark.createDataFrame(rows, "label int, p double, q double, CustomerID string").coalesce(1)
+    monkeypatch.setattr(clustering, "SCORED_ROWS", 10)
+    monkeypatch.setattr(clustering, "DISTANCES", 50)
+    seen = []
+    real = clustering._mean_distances
+
+    def watched(points, sample, features):
+        seen.append(points.rdd.getNumPartitions())
+        found = real(points, sample, features)
+        seen.append([tuple(r) for r in found.collect()])
+        return found
+
+    monkeypatch.setattr(clustering, "_mean_distances", watched)
+    score = clustering.silhouette_euclidean(df, ["p", "q"], cluster="label").first()["score"]
+    known = [r for r in rows if r[1] is not None]
+    p, q = np.array([r[1] for r in known]), np.array([r[2] for r in rows])
+    x = np.array([[(r[1] - p.mean()) / p.std(), (r[2] - q.mean()) / q.std()] for r in known])
+    gaps, of = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2)), np.array([r[0] for r in known])
+    scores = []
+    for i, c in enumerate(of):
+        # cluster 1 holds a null, so no mean distance to it is known: its rows count as 0
+        a = None if c == 1 else gaps[i, of == c].sum() / ((of == c).sum() - 1)
+        b = min(gaps[i, of == d].mean() for d in {0, 2} - {c})
+        scores.append(0.0 if a is None else (b - a) / max(a, b))
+    assert seen[0] == 7 and len(seen[1]) == 61 and seen[1].count((None, None)) == 1
+    assert score == pytest.approx(np.mean(scores), abs=1e-6)
