@@ -2,7 +2,7 @@
 
 Merging keeps the symbols of a pre-token in a doubly linked list and the possible merges in a priority queue of
 (rank, position); an entry whose symbols have changed since is stale and skipped. Texts are cut at white space
-first and the merges of short chunks are remembered per worker, up to a fixed number of chunks.
+first and the merges of short chunks are remembered during a task, up to a fixed number of chunks.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tallyloom.llm.tables import slices
+from tallyloom.llm.tables import released, slices
 
 #: The pre-token pattern of byte-level tokenizers, and Unicode's white space.
 SPACE = "\t-\r\x20\x85\xa0  -     　"
@@ -27,7 +27,7 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
-CACHE_CHUNKS, CACHE_CHARS, SLICE = 400_000, 40, 8_000_000
+CACHE_CHUNKS, CACHE_CHARS, SLICE = 400_000, 40, 1_000_000
 
 
 def byte_letters() -> list[str]:
@@ -144,7 +144,7 @@ class ByteBpe:
 
 @lru_cache(maxsize=1)
 def coder_of(vocabulary: str) -> ByteBpe:
-    """One encoder per Python worker, so that its remembered chunks serve all the worker's tasks."""
+    """One encoder per Python worker; Spark keeps the worker for later tasks, also other ones."""
     return ByteBpe(vocabulary)
 
 
@@ -179,6 +179,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, with_ids: bool = False) -
                 columns += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        coder.known.clear()
 
     narrow = docs.select("doc_id", "text")
-    return narrow.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {SCHEMA}{extra}")
+    return narrow.mapInArrow(lambda batches: released(run(batches)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {SCHEMA}{extra}")

@@ -24,12 +24,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallyloom.llm.tables import slices
+from tallyloom.llm.tables import released, slices
 
 Q, EDIT_SHARE = 8, 0.1
 #: Normalised characters of the items of one block; their index takes 16 bytes a character.
 BLOCK_CHARS = 4_000_000
-SLICE, FILTER_BITS = 2_000_000, 22
+SLICE, FILTER_BITS = 500_000, 22
 #: Shared q-grams worked on at once; the number of them from which a text and an item count as repeating; and
 #: diagonals of a repeating pair aligned at once. They bound the memory of a task, not the results.
 PIECE, DENSE, MERGED = 1_000_000, 20_000, 8_192
@@ -376,7 +376,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 names = ["doc_id", "item_id", "start", "end", "edits"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-        results.append(narrow.mapInArrow(run, SCHEMA))
+        results.append(narrow.mapInArrow(lambda batches, run=run: released(run(batches)), SCHEMA))
     return reduce(DataFrame.unionByName, results) if results else spark.createDataFrame([], SCHEMA)
 
 
@@ -392,5 +392,5 @@ def without_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 hit = {match[0] for match in _matches(block, texts)}
                 yield batch.filter(pa.array([t not in hit for t in range(len(texts))], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lambda batches, run=run: released(run(batches)), docs.schema)
     return docs

@@ -17,11 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.tables import slices
+from tallyloom.llm.tables import released, slices
 
 #: How many labelled documents the weights are fitted on; a bound for the driver, part of the method.
 SAMPLE_DOCS = 3_000
-SLICE = 4_000_000
+#: Bytes of text scored at once, which bounds a task's memory.
+SLICE = 1_000_000
 LOWER, UPPER, DIGIT, BLANK, STOP, SHOUT, PIPE, SYMBOL, BREAK, OTHER = range(10)
 NEIGHBOURS = ["lower", "upper", "shouts", "pipes", "symbols", "repeats"]
 OWN = ["chars", "lower", "upper", "digit", "stops", "other", "shouts", "pipes", "symbols", "word_length", "capitals", "repeats", "ends", "empty"]
@@ -244,4 +245,4 @@ def score_documents(docs: DataFrame, model: LineCrf) -> DataFrame:
             scores = model.scores(texts) if texts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, f"{fields}, score double")
+    return docs.mapInArrow(lambda batches: released(run(batches)), f"{fields}, score double")

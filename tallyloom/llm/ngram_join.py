@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallyloom.functions.joins import skew_join
 from tallyloom.functions.staging import stage
 from tallyloom.llm.components import components
-from tallyloom.llm.tables import slices
+from tallyloom.llm.tables import release_memory, released as _released, slices
 
 PERCENT = 80
 #: A token in more documents is frequent; the limit doubles until at most MOST_FREQUENT tokens are (8 MB, broadcast).
@@ -58,13 +58,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches; once they are done, the worker, which Spark keeps for later tasks, returns the memory it has freed."""
-    yield from batches
-    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
-        pool.release_unused()
-
-
 def _word_tables() -> tuple[np.ndarray, np.ndarray]:
     """A number for each byte, the same for both cases of A-Z, and which bytes are white space."""
     numbers = _mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
@@ -230,6 +223,8 @@ def frequent_tokens(docs: DataFrame, total: int, size: int) -> tuple[np.ndarray,
         counts = np.add.reduceat((both & np.uint64(0xFFFFFFFF)).astype(np.int64), first)
         many = counts > FREQUENT
         tokens = keys[first[many]].astype(np.int64) + (part << 32)
+        del both, keys, first
+        release_memory()
         return pa.table({"token": tokens, "n_docs": counts[many].astype(np.int64)})
 
     dealt = docs.mapInArrow(lambda batches: _released(deal(batches)), "part long, data binary, repeats binary")

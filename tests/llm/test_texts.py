@@ -257,6 +257,33 @@ def test_a_worker_returns_freed_memory_after_its_batches():
     assert pa.default_memory_pool().bytes_allocated() <= held
 
 
+FREED = """
+import re
+import numpy as np
+from tallyloom.llm.tables import released
+
+def anonymous():
+    with open("/proc/self/smaps_rollup") as file:
+        return int(re.search(r"Anonymous:\\s+(\\d+)", file.read()).group(1)) // 1024
+
+def run():
+    global last
+    arrays = [np.ones(8_000) for _ in range(3_000)]
+    last = arrays[-1]
+    yield len(arrays)
+
+before = anonymous()
+list(released(run()))
+print(anonymous() - before)
+"""
+
+
+def test_a_worker_returns_the_memory_of_its_arrays():
+    """192 MB of arrays below the C library's threshold, of which the one that lies last is still held."""
+    out = subprocess.run([sys.executable, "-c", FREED], capture_output=True, text=True, check=True, timeout=60).stdout
+    assert int(out) < 60, out
+
+
 def test_no_group_holds_every_occurrence_of_a_token(spark, monkeypatch):
     """A passage in all documents is sent once for each run of tokens that a task sorts."""
     DataFrame = type(spark.range(0))  # the class whose methods the session's tables have

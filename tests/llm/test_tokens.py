@@ -67,3 +67,16 @@ def test_unigram_over_documents(frame, request):
     own = unigram.counter_of(PIECES)
     got = sorted(map(tuple, unigram.count_tokens(docs, PIECES).collect()), key=str)
     assert got == sorted(((r["doc_id"], own.count(r["text"] or "")) for r in docs.collect()), key=str)
+
+
+def test_a_worker_keeps_no_chunks_of_a_task_that_is_done(spark):
+    """Spark keeps its workers for other stages, whose memory the remembered chunks would take."""
+    import pyarrow as pa
+
+    def known(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(bpe.coder_of(BPE).known)]})
+
+    docs = spark.range(0, 3200, 1, 32).selectExpr("id AS doc_id", "concat('some words ', hex(id * 7919)) AS text")
+    assert bpe.encode_documents(docs, BPE).count() == 3200
+    assert {r["n"] for r in docs.mapInArrow(known, "n long").collect()} == {0}
