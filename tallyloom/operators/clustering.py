@@ -13,14 +13,16 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.functions.shipping import ship_package
 from tallyloom.functions.staging import stage
+from tallyloom.operators import block_distances
 from tallyloom.operators.features import z_score_scale
 from tallyloom.operators.seeded_kmeans import best_runs
 
 PROFILE_FEATURES = ("Recency", "Frequency", "Monetary", "Country_Encoded", "Sum_Qty")
 RFM_FEATURES = ("Recency", "Frequency", "Monetary")
-#: Rows of which a task takes the distances to a sample, and distances taken at once (8 MB).
-SCORED_ROWS, DISTANCES = 20_000, 1 << 20
+#: Rows of a block whose distances are taken, most blocks of all rows, and distances taken at once (0.5 MB).
+SCORED_ROWS, MOST_BLOCKS, DISTANCES = 20_000, 256, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -231,17 +233,23 @@ def silhouette_euclidean(
     features: Sequence[str] = RFM_FEATURES,
     cluster: str = "cluster",
     id_column: str = "CustomerID",
-    sample: int = 1_000,
+    sample: int | None = None,
 ) -> DataFrame:
     """Silhouette of a labelling on standardised features, by plain distances; one row ``score``.
 
-    Every row is scored, by its mean distance to a sample of each cluster's members: those whose id has a
-    ``hash_share`` below ``sample`` by the cluster's size, so all of a cluster of at most ``sample`` rows. The score is
-    exact if no cluster is larger. The sample, of some ``sample`` rows per cluster, is stored and reaches
-    every task; the work grows with the rows, not with their square.
+    Every row is scored by its distances to all others, so the work grows with the square of the rows.
+
+    With ``sample`` the score is an estimate: a row's mean distance to a cluster is that to a sample of its members, those
+    whose id in ``id_column`` has a ``hash_share`` below ``sample`` by the cluster's size. The sample reaches every task.
     """
     names = [f"z_{f}" for f in features]
     scaled = z_score_scale(df.where(F.col(cluster).isNotNull()), dict(zip(features, names, strict=True)), population=True)
+    if sample is None:
+        points = stage(scaled.select(F.col(cluster).alias("label"), F.monotonically_increasing_id().alias("r"), *names), "silhouette-points")
+        numbers = stage(points.select("label").distinct().withColumn("c", F.monotonically_increasing_id()), "cluster-numbers")
+        blocks = min(MOST_BLOCKS, max(1, math.ceil(points.count() / SCORED_ROWS)))
+        dealt = points.join(numbers, "label").repartitionByRange(blocks, "c", "r").sortWithinPartitions("c", "r")
+        return _mean_silhouette(_mean_distances(dealt, None, names)).select(F.round("score", 6).alias("score"))
     points = scaled.select(F.col(cluster).alias("c"), hash_share(id_column).alias("h"), *names)
     sizes = stage(points.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "cluster-sizes")
     marked = points.join(F.broadcast(sizes), "c").withColumn("sampled", F.col("h") < sample / F.col("n"))  # a row per cluster
@@ -252,23 +260,20 @@ def silhouette_euclidean(
     return _mean_silhouette(_mean_distances(dealt, stored, names)).select(F.round("score", 6).alias("score"))
 
 
-def _mean_distances(points: DataFrame, sample: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(a, b) for each point (c, sampled, *features): its mean distance to the sampled points of its own cluster, itself
-    left out, and the least one to those of another cluster. A distance to or from a null is null."""
-    width = len(features)
-
-    def matrix(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        columns = [table.column(f) for f in features]
-        unknown = np.zeros(table.num_rows, bool)
-        for column in columns:
-            unknown |= np.asarray(column.is_null())
-        values = [column.fill_null(0.0).to_numpy() for column in columns]
-        return np.array(values, np.float64).reshape(width, table.num_rows), unknown
+def _mean_distances(points: DataFrame, sample: DataFrame | None, features: Sequence[str]) -> DataFrame:
+    """(a, b) for each point: its mean distance to the points of its own cluster, itself left out, and the least one to those
+    of another cluster. A distance to or from a null is null.
 
+    Without a sample all points (c, *features) are meant, dealt by ranges of ``c``, a number. With one, only its
+    points are, and each point is (c, sampled, *features).
+    """
+    if sample is None:
+        return block_distances.mean_distances(points, features, DISTANCES)
+    ship_package(points.sparkSession)
     # The sample, which the caller bounds, is sent to every task.
     held = sample.orderBy("c").toArrow()
     clusters, firsts = np.unique(held.column("c").to_numpy(), return_index=True)
-    shared = points.sparkSession.sparkContext.broadcast((clusters, firsts, *matrix(held)))
+    shared = points.sparkSession.sparkContext.broadcast((clusters, firsts, *block_distances.matrix(held, features)))
 
     def run(batches):
         clusters, firsts, others, unknown = shared.value
@@ -280,7 +285,7 @@ def _mean_distances(points: DataFrame, sample: DataFrame, features: Sequence[str
                 nothing = pa.nulls(batch.num_rows, pa.float64())
                 yield pa.RecordBatch.from_arrays([nothing, nothing], ["a", "b"])
                 continue
-            mine, missing = matrix(batch)
+            mine, missing = block_distances.matrix(batch, features)
             labels = batch.column("c").to_numpy()
             # whether a row is in the sample is unknown, if it has no id
             sampled = batch.column("sampled").cast(pa.float64()).to_numpy(zero_copy_only=False)

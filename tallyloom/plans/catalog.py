@@ -38,8 +38,6 @@ FILTER_COUNTRIES = [f"nation_{i}" for i in range(5)]
 REFERENCE_DATE = "2001-12-10"
 # So small that the files of the smallest tables are cut, too.
 MULTI_LINE_RANGE = 1 << 18
-# Customers of a segment that every customer's distances are taken to.
-SILHOUETTE_SAMPLE = 200
 # The stored segments come from the sales before this date, the upserted ones from the sales since.
 STORE_UNTIL = "1998-01-01"
 
@@ -453,7 +451,7 @@ def silhouette(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silhouette_euclidean(spark: SparkSession, sf: str) -> DataFrame:
-    return clustering.silhouette_euclidean(segment_frame(spark, sf), cluster="Cluster", sample=SILHOUETTE_SAMPLE)
+    return clustering.silhouette_euclidean(segment_frame(spark, sf), cluster="Cluster")
 
 
 def _run_summary(result: runs.RunResult, k: int) -> DataFrame:

@@ -362,19 +362,16 @@ _SILHOUETTE = f"""
                LATERAL (SELECT p.x * p.x + p.y * p.y + p.z * p.z + (s.q - 2 * (p.x * s.sx + p.y * s.sy + p.z * s.sz)) / s.n AS gap)
           GROUP BY p.r)"""
 _EUCLIDEAN = f"""
-    WITH marked AS (
-        SELECT *, ('0x' || substr(md5(CustomerID), 1, 8))::BIGINT / 4294967296.0e0
-                  < {catalog.SILHOUETTE_SAMPLE} / count(*) OVER (PARTITION BY Cluster)::DOUBLE AS sampled FROM segs),
-    placed AS (
-        SELECT CustomerID, Cluster AS c, sampled, (Recency - mr) / sr AS x, (Frequency - mf) / sf AS y, (Monetary - mm) / sm AS z
-        FROM marked, (SELECT avg(Recency) AS mr, stddev_pop(Recency) AS sr, avg(Frequency) AS mf, stddev_pop(Frequency) AS sf,
-                             avg(Monetary) AS mm, stddev_pop(Monetary) AS sm FROM segs))
+    WITH placed AS (
+        SELECT CustomerID, Cluster AS c, (Recency - mr) / sr AS x, (Frequency - mf) / sf AS y, (Monetary - mm) / sm AS z
+        FROM segs, (SELECT avg(Recency) AS mr, stddev_pop(Recency) AS sr, avg(Frequency) AS mf, stddev_pop(Frequency) AS sf,
+                           avg(Monetary) AS mm, stddev_pop(Monetary) AS sm FROM segs))
     SELECT {_SCORE}
     FROM (SELECT CustomerID, min(CASE WHEN own AND others > 0 THEN total / others END) AS a, min(total / n) FILTER (NOT own) AS b
           FROM (SELECT p.CustomerID, p.c = m.c AS own, count(*) AS n,
-                       count(*) - max(CASE WHEN p.sampled AND p.c = m.c THEN 1 ELSE 0 END) AS others,
+                       count(*) - max(CASE WHEN p.c = m.c THEN 1 ELSE 0 END) AS others,
                        sum(sqrt((p.x - m.x) ** 2 + (p.y - m.y) ** 2 + (p.z - m.z) ** 2)) AS total
-                FROM placed p JOIN placed m ON m.sampled GROUP BY p.CustomerID, p.c, m.c)
+                FROM placed p CROSS JOIN placed m GROUP BY p.CustomerID, p.c, m.c)
           GROUP BY CustomerID)"""
 
 _CLUSTERED = """SELECT CustomerID, CAST(Recency AS DOUBLE) AS Recency, CAST(Frequency AS DOUBLE) AS Frequency,

@@ -293,3 +293,38 @@ def test_distances_to_a_sample_are_dealt_out_and_keep_nulls(spark, monkeypatch):
         scores.append(0.0 if a is None else (b - a) / max(a, b))
     assert seen[0] == 7 and len(seen[1]) == 61 and seen[1].count((None, None)) == 1
     assert score == pytest.approx(np.mean(scores), abs=1e-6)
+
+
+def test_every_row_meets_every_other_one_in_blocks(spark, monkeypatch):
+    random = np.random.default_rng(17)
+    # two clusters of more than 1,000 rows over several blocks, many within one block, and one row alone
+    labels = np.concatenate([np.zeros(1300, int), np.repeat(np.arange(1, 60), 5), np.full(1205, 60), [99]])
+    x = np.vstack([random.normal(size=(len(labels) - 200, 3)) ** 3 + labels[200:, None] % 7, np.ones((200, 3))])
+    rows = [(f"c{i}", *map(float, r), int(c)) for i, (r, c) in enumerate(zip(x, labels, strict=True))]
+    schema = "CustomerID string, Recency double, Frequency double, Monetary double, label int"
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    expected = _silhouette(z, labels, lambda d: np.sqrt((d**2).sum(axis=1)))
+    assert clustering.silhouette_euclidean(df, cluster="label").first()["score"] == pytest.approx(expected, abs=1.1e-6)
+    monkeypatch.setattr(clustering, "SCORED_ROWS", 250)
+    monkeypatch.setattr(clustering, "DISTANCES", 1000)
+    assert clustering.silhouette_euclidean(df, cluster="label").first()["score"] == pytest.approx(expected, abs=1.1e-6)
+    monkeypatch.setattr(clustering, "MOST_BLOCKS", 4)
+    named = df.drop("CustomerID").selectExpr("*", "concat('l', label) as name")
+    assert clustering.silhouette_euclidean(named, cluster="name").first()["score"] == pytest.approx(expected, abs=1.1e-6)
+
+
+def test_a_null_between_blocks_makes_the_means_to_its_cluster_unknown(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "SCORED_ROWS", 4)
+    rows = [(c, float(i * c % 5), float(i)) for c in range(4) for i in range(7)] + [(1, None, 1.0), (None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "label int, p double, q double")
+    known = [r for r in rows if r[0] is not None]
+    p, q = np.array([r[1] for r in known if r[1] is not None]), np.array([r[2] for r in known])
+    x = {r: ((r[1] - p.mean()) / p.std(), (r[2] - q.mean()) / q.std()) for r in known if r[1] is not None}
+    gap = lambda r, s: np.hypot(x[r][0] - x[s][0], x[r][1] - x[s][1])
+    scores = []
+    for r in x:
+        mean = {c: np.sum([gap(r, s) for s in x if s[0] == c]) / (6 if c == r[0] else 7) for c in (0, 2, 3)}
+        a, b = mean.get(r[0]), min(m for c, m in mean.items() if c != r[0])
+        scores.append(0.0 if a is None else (b - a) / max(a, b))
+    assert clustering.silhouette_euclidean(df, ["p", "q"], cluster="label").first()["score"] == pytest.approx(np.mean(scores), abs=1e-6)

@@ -5,6 +5,7 @@ import datetime as dt
 import math
 
 import duckdb
+import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -84,3 +85,23 @@ def test_a_wrong_silhouette_is_seen(spark, duck, monkeypatch):
     real = clustering._cluster
     monkeypatch.setattr(clustering, "_cluster", lambda *a, **b: dataclasses.replace(r := real(*a, **b), silhouette=r.silhouette + 1e-4))
     assert not _agrees(spark, duck, "kmeans_metrics")
+
+
+def test_the_plain_silhouette_and_its_sql_take_all_members_of_large_segments(spark, duck, monkeypatch):
+    random = np.random.default_rng(23)
+    labels = np.repeat([0, 1], [700, 500])
+    x = random.normal(size=(1200, 3)) ** 3 + labels[:, None]
+    rows = [(f"c{i}", *map(float, r), int(c)) for i, (r, c) in enumerate(zip(x, labels, strict=True))]
+    frame = spark.createDataFrame(rows, "CustomerID string, Recency double, Frequency double, Monetary double, Cluster int")
+    monkeypatch.setattr(catalog, "segment_frame", lambda spark, sf: frame)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    gaps = np.sqrt(((z[:, None] - z[None]) ** 2).sum(axis=2))
+    own, other = (gaps[:, labels == 0].sum(axis=1), gaps[:, labels == 1].sum(axis=1)), np.array([700, 500])
+    a = np.where(labels == 0, own[0] / 699, own[1] / 499)
+    b = np.where(labels == 0, own[1] / other[1], own[0] / other[0])
+    expected = np.mean((b - a) / np.maximum(a, b))
+    assert QUERIES["silhouette_euclidean"](spark, SMALL).first()["score"] == pytest.approx(expected, abs=1.1e-6)
+    values = ", ".join(f"('{r[0]}', {r[1]!r}::DOUBLE, {r[2]!r}::DOUBLE, {r[3]!r}::DOUBLE, {r[4]})" for r in rows)
+    segs = f"SELECT * FROM (VALUES {values}) AS t(CustomerID, Recency, Frequency, Monetary, Cluster)"
+    ((score,),) = duck.sql(f"WITH segs AS ({segs}) SELECT * FROM ({oracles._EUCLIDEAN})").fetchall()
+    assert score == pytest.approx(expected, abs=1.1e-6)
